@@ -35,7 +35,8 @@ def total(cols) -> Column:
 
 
 def r6(c) -> Column:
-    return F.round(col(c), 6)
+    """Round to 6 places; adding 0.0 normalises -0.0 to 0.0."""
+    return F.round(col(c), 6) + F.lit(0.0)
 
 
 def money(c) -> Column:

@@ -16,7 +16,7 @@ from .registry import register
 
 FLAGSHIP_SQL = S.with_h(f"""
 SELECT CAST(hour(ts) AS INTEGER) AS hour_of_day,
-       round(avg(spike_lead_2), 6) AS spike_rate,
+       (round(avg(spike_lead_2), 6) + 0.0) AS spike_rate,
        count(spike_lead_2) AS hours
 FROM l GROUP BY 1""", extra=f"""
 f AS (SELECT ts, CAST(price > {P.SPIKE_THRESHOLD} AS INTEGER) AS spike FROM h),
@@ -36,7 +36,7 @@ def spike_rate_by_hour(spark, sf_dir):
 # --- sources -------------------------------------------------------------------------------
 
 @register("src_generation_scan", S.with_h("""
-SELECT event_type AS fuel_type, count(*) AS readings, round(sum(value), 6) AS volume
+SELECT event_type AS fuel_type, count(*) AS readings, (round(sum(value), 6) + 0.0) AS volume
 FROM events WHERE event_type IN ('click', 'view', 'purchase', 'signup', 'error') GROUP BY 1"""))
 def src_generation_scan(spark, sf_dir):
     g = tables.generation_long(spark, sf_dir)
@@ -77,7 +77,7 @@ def pivot_dense(spark, sf_dir):
 
 
 @register("dead_band", S.with_h("""
-SELECT ts, solar_total, round(volume, 6) AS raw_volume FROM gw
+SELECT ts, solar_total, (round(volume, 6) + 0.0) AS raw_volume FROM gw
 JOIN (SELECT ts, volume FROM g WHERE event_type = 'purchase') r USING (ts)"""))
 def dead_band(spark, sf_dir):
     """Solar volume after clip-at-0 and the 0.5 dead band, next to the raw value."""

@@ -48,6 +48,11 @@ h AS (
   FROM pr JOIN gw ON pr.ts = gw.ts)"""
 
 
+def r6(expr: str) -> str:
+    """round to 6 places; + 0.0 turns DuckDB's -0.0 into 0.0 like Spark's round."""
+    return f"(round({expr}, 6) + 0.0)"
+
+
 def _sum(cols) -> str:
     return "(" + " + ".join(cols) + ")"
 
@@ -138,3 +143,56 @@ d AS (
   SELECT CAST(o_orderdate AS TIMESTAMP) AS ts, MAX(o_totalprice) AS price,
          CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS load, {types}
   FROM orders GROUP BY 1)"""
+
+
+def window_ctes(src: str = "s") -> str:
+    """sp (spike flag) and wl (all row-position window features) over ``src``."""
+    n = P.LEAD_LAG_HOURS
+    leads = ", ".join(f"LEAD(spike, {k}) OVER w AS spike_lead_{k}" for k in range(1, n + 1))
+    lags = ", ".join(f"LAG(spike, {k}) OVER w AS spike_lag_{k}" for k in range(1, n + 1))
+    plags = ", ".join(f"LAG(price, {k}) OVER w AS price_lag_{k}h" for k in P.PRICE_LAGS)
+    m = P.ROLLING_WINDOW
+    frame = f"(w ROWS BETWEEN {m} PRECEDING AND 1 PRECEDING)"
+    return f"""
+sp AS (SELECT *, CAST(price > {P.SPIKE_THRESHOLD} AS INTEGER) AS spike FROM {src}),
+wl AS (
+  SELECT *, {leads}, {lags},
+    net_load - LAG(net_load, {P.NET_LOAD_DIFF}) OVER w AS net_load_3h_change,
+    {plags},
+    CASE WHEN count(price) OVER {frame} = {m} THEN avg(price) OVER {frame} END AS price_rolling_mean_6h
+  FROM sp WINDOW w AS (ORDER BY ts))"""
+
+
+def calendar_sql(ts: str = "ts") -> str:
+    return (f"CAST(hour({ts}) AS INTEGER) AS hour_of_day, {weekday(ts)} AS day_of_week, "
+            f"CAST(month({ts}) AS INTEGER) AS month, CAST(year({ts}) AS INTEGER) AS year, "
+            f"CAST({weekday(ts)} >= 5 AS INTEGER) AS is_weekend")
+
+
+def fourier_sql(ts: str = "ts", leap_adjust: bool = True) -> str:
+    doy = f"CAST(dayofyear({ts}) AS DOUBLE)"
+    if leap_adjust:
+        doy = f"({doy} - CAST({leap(ts)} AND month({ts}) >= 3 AS INTEGER))"
+    h = f"CAST(hour({ts}) AS DOUBLE)"
+    d = f"CAST({weekday(ts)} AS DOUBLE)"
+    two_pi = "(2 * pi())"
+    parts = [f"sin({two_pi} * {h} / 24.0) AS sin_day", f"cos({two_pi} * {h} / 24.0) AS cos_day",
+             f"sin({two_pi} * {d} / 7.0) AS sin_week", f"cos({two_pi} * {d} / 7.0) AS cos_week"]
+    for k in (1, 2):
+        parts.append(f"sin((2 * pi() * {k}) * {doy} / {float(P.YEAR_PERIOD_DAYS)}) AS sin_year_{k}")
+        parts.append(f"cos((2 * pi() * {k}) * {doy} / {float(P.YEAR_PERIOD_DAYS)}) AS cos_year_{k}")
+    return ", ".join(parts)
+
+
+def event_sql(ranges=P.HOURLY_EVENT_RANGES, ts: str = "ts") -> str:
+    conds = " OR ".join(f"({ts} >= TIMESTAMP '{s} 00:00:00' AND {ts} <= TIMESTAMP '{e} 00:00:00')" for s, e in ranges)
+    return f"CAST(({conds}) AS INTEGER) AS is_event"
+
+
+def wide_ctes() -> str:
+    """wt: the engineered wide hourly table (after leap drop and edge trim)."""
+    n = P.LEAD_LAG_HOURS
+    return (sys_cte("h", "s") + "," + window_ctes("s") + f""",
+wc AS (SELECT *, {calendar_sql()} FROM wl WHERE NOT (month(ts) = 2 AND day(ts) = 29)),
+wt AS (SELECT *, {fourier_sql()}, {event_sql()} FROM wc
+       WHERE spike_lead_{n} IS NOT NULL AND spike_lag_{n} IS NOT NULL)""")
