@@ -96,8 +96,8 @@ def score_table(preds: DataFrame, groups: Sequence[str], score: str = "y_prob",
         F.sum(F.col(label).cast("long")).alias("pos"), F.sum((1 - F.col(label)).cast("long")).alias("neg"))
     blk = F.floor(F.col("score") * F.lit(SCORE_BLOCKS))
     cum = series.prefix_sums(by_score, ["pos", "neg"], "score", groups, block=blk)
-    totals = by_score.groupBy(*groups).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return cum.join(totals, groups, "inner")
+    totals = by_score.groupBy(*groups).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
+    return series.attach_totals(cum, totals, groups)
 
 
 def roc_auc_ap(preds: DataFrame, groups: Sequence[str] = ("model",), score: str = "y_prob",
@@ -105,19 +105,19 @@ def roc_auc_ap(preds: DataFrame, groups: Sequence[str] = ("model",), score: str
     """ROC-AUC with ties (rank statistic) and average precision (step sum)."""
     t = score_table(preds, groups, score, label)
     neg_below = F.col("neg_cum") - F.col("neg")
-    tp_ge = F.col("P") - F.col("pos_cum") + F.col("pos")
-    fp_ge = F.col("N") - F.col("neg_cum") + F.col("neg")
+    tp_ge = F.col("n_pos") - F.col("pos_cum") + F.col("pos")
+    fp_ge = F.col("n_neg") - F.col("neg_cum") + F.col("neg")
     t = t.withColumns({
         "_auc": F.col("pos").cast("double") * (neg_below.cast("double") + 0.5 * F.col("neg").cast("double")),
         "_ap": F.col("pos").cast("double") * F.try_divide(tp_ge.cast("double"), (tp_ge + fp_ge).cast("double")),
     })
     agg = t.groupBy(*groups).agg(F.sum("_auc").alias("_auc"), F.sum("_ap").alias("_ap"),
-                                 F.first("P").alias("P"), F.first("N").alias("N"))
-    one_class = (F.col("P") == 0) | (F.col("N") == 0)
+                                 F.first("n_pos").alias("n_pos"), F.first("n_neg").alias("n_neg"))
+    one_class = (F.col("n_pos") == 0) | (F.col("n_neg") == 0)
     return agg.select(*groups,
-                      F.when(~one_class, F.col("_auc") / (F.col("P") * F.col("N")).cast("double")).alias("roc_auc"),
-                      F.when(F.col("P") > 0, F.col("_ap") / F.col("P").cast("double")).alias("average_precision"),
-                      F.col("P").alias("positives"), F.col("N").alias("negatives"))
+                      F.when(~one_class, F.col("_auc") / (F.col("n_pos") * F.col("n_neg")).cast("double")).alias("roc_auc"),
+                      F.when(F.col("n_pos") > 0, F.col("_ap") / F.col("n_pos").cast("double")).alias("average_precision"),
+                      F.col("n_pos").alias("positives"), F.col("n_neg").alias("negatives"))
 
 
 def roc_curve(preds: DataFrame, groups: Sequence[str] = ("model",), score: str = "y_prob",
@@ -126,11 +126,11 @@ def roc_curve(preds: DataFrame, groups: Sequence[str] = ("model",), score: str =
     plus the origin (threshold NULL); intermediate points are kept."""
     groups = list(groups)
     t = score_table(preds, groups, score, label)
-    tp_ge = F.col("P") - F.col("pos_cum") + F.col("pos")
-    fp_ge = F.col("N") - F.col("neg_cum") + F.col("neg")
+    tp_ge = F.col("n_pos") - F.col("pos_cum") + F.col("pos")
+    fp_ge = F.col("n_neg") - F.col("neg_cum") + F.col("neg")
     pts = t.select(*groups, F.col("score").alias("threshold"),
-                   F.try_divide(fp_ge.cast("double"), F.col("N").cast("double")).alias("fpr"),
-                   F.try_divide(tp_ge.cast("double"), F.col("P").cast("double")).alias("tpr"))
+                   F.try_divide(fp_ge.cast("double"), F.col("n_neg").cast("double")).alias("fpr"),
+                   F.try_divide(tp_ge.cast("double"), F.col("n_pos").cast("double")).alias("tpr"))
     origin = t.select(*groups).distinct().select(*groups, F.lit(None).cast("double").alias("threshold"),
                                                  F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return pts.unionByName(origin)

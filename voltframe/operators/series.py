@@ -158,6 +158,20 @@ def prefix_sums(df: DataFrame, cols: Sequence[str], order: str, keys: Sequence[s
     return out.drop("_pblk", *[f"_loc_{c}" for c in cols], *[f"_off_{c}" for c in cols])
 
 
+def attach_totals(df: DataFrame, totals: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join per-group totals back to rows.
+
+    Without keys ``totals`` is a global aggregate -- exactly one row, a proven
+    size -- so it is broadcast on a constant key (a hash join, no shuffle of
+    ``df``).  With keys it is one row per group and AQE sizes the join.
+    """
+    keys = list(keys)
+    if keys:
+        return df.join(totals, keys, "inner")
+    return (df.withColumn("_g", F.lit(0))
+              .join(F.broadcast(totals.withColumn("_g", F.lit(0))), "_g", "inner").drop("_g"))
+
+
 # --- gaps, folds, tails ---------------------------------------------------------------
 
 def axis_gaps(df: DataFrame, order: str = "ts", keys: Sequence[str] = (), step_seconds: int = 3600,

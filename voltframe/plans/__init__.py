@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import features, integrate  # noqa: F401  (registration side effects)
+from . import describe_q, features, integrate  # noqa: F401  (registration side effects)
 from .registry import HEADLINE, ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES", "HEADLINE"]
