@@ -114,28 +114,29 @@ def box_stats(df: DataFrame, value: str, group: str, block_width: float = 1.0) -
     return out.select(group, *[r6(c).alias(c) for c in ("q1", "median", "q3", "whisker_low", "whisker_high")], "rows")
 
 
-def correlation_long(df: DataFrame, cols: Sequence[str], lower_only: bool = True) -> DataFrame:
-    """A16 (T9): pairwise-complete Pearson correlation in one aggregate pass.
-
-    Each pair is masked to rows where both values are present; a constant
-    column yields NULL instead of an ANSI division error.
+def correlation_long(df: DataFrame, cols: Sequence[str], lower_only: bool = True, pairs=None) -> DataFrame:
+    """A16 (T9): pairwise-complete Pearson correlation.
+
+    Each row is exploded into one (pair, x, y) record per requested pair and
+    reduced by ``groupBy(pair)`` -- partial aggregation happens map-side, so
+    the shuffle carries one row per pair per task.  Rows where either value
+    is NULL are dropped per pair; a constant column gives NULL instead of an
+    ANSI division error.
     """
-    aggs, pairs = [], []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            if (lower_only and j >= i) or (not lower_only and j == i):
-                continue
-            both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            va = F.when(both, F.col(a).cast("double"))
-            vb = F.when(both, F.col(b).cast("double"))
-            k = len(pairs)
-            aggs.append(F.try_divide(F.covar_pop(va, vb), F.stddev_pop(va) * F.stddev_pop(vb)).alias(f"c{k}"))
-            pairs.append((a, b))
-    row = df.agg(*aggs)
-    stack = F.explode(F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                                         F.col(f"c{k}").alias("corr")) for k, (a, b) in enumerate(pairs)]))
-    out = row.select(stack.alias("_s")).select("_s.*")
-    return out.withColumn("corr", r6("corr"))
+    if pairs is None:
+        pairs = [(a, b) for i, a in enumerate(cols) for j, b in enumerate(cols)
+                 if (j < i if lower_only else j != i)]
+    recs = F.array(*[F.struct(F.lit(k).alias("pair"), F.col(a).cast("double").alias("x"),
+                              F.col(b).cast("double").alias("y")) for k, (a, b) in enumerate(pairs)])
+    long = (df.select(F.explode(recs).alias("_r")).select("_r.*")
+              .filter(F.col("x").isNotNull() & F.col("y").isNotNull()))
+    agg = long.groupBy("pair").agg(
+        F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y")).alias("corr"))
+    names = df.sparkSession.createDataFrame([(k, a, b) for k, (a, b) in enumerate(pairs)],
+                                            "pair int, feature_a string, feature_b string")
+    # the pair list is a driver-side literal (size = number of pairs): broadcast it
+    out = F.broadcast(names).join(agg, "pair", "left")
+    return out.select("feature_a", "feature_b", r6("corr").alias("corr"))
 
 
 def month_spine(df: DataFrame, ts: str = "ts") -> DataFrame:
