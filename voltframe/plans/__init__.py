@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import describe_q, evaluate_q, features, integrate, prepare_q  # noqa: F401  (registration side effects)
+from . import align_q, describe_q, evaluate_q, features, integrate, prepare_q  # noqa: F401  (registration side effects)
 from .registry import HEADLINE, ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES", "HEADLINE"]
