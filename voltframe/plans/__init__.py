@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import align_q, describe_q, evaluate_q, features, integrate, models_q, prepare_q  # noqa: F401  (registration side effects)
+from . import align_q, describe_q, evaluate_q, features, integrate, models_q, prepare_q, streams_q  # noqa: F401
 from .registry import HEADLINE, ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES", "HEADLINE"]
