@@ -78,9 +78,11 @@ def sigmoid(z) -> Column:
 
 
 def grid_value(i, start: float, stop: float, count: int) -> Column:
-    """linspace(start, stop, count)[i] with the same double arithmetic."""
+    """linspace(start, stop, count)[i] with the same double arithmetic
+    (i * step + start; the endpoint is exactly ``stop``)."""
     step = (stop - start) / (count - 1)
-    return F.lit(float(start)) + col(i).cast("double") * F.lit(step)
+    i = col(i)
+    return F.when(i == count - 1, F.lit(float(stop))).otherwise(i.cast("double") * F.lit(step) + F.lit(float(start)))
 
 
 def grid_bucket(score, start: float, stop: float, count: int) -> Column:
@@ -97,6 +99,6 @@ def grid_bucket(score, start: float, stop: float, count: int) -> Column:
     extra = F.lit(0)
     for d in (-1, 0, 1, 2):
         k = guess + F.lit(d)
-        tk = F.lit(float(start)) + k.cast("double") * F.lit(step)
+        tk = grid_value(k, start, stop, count)
         extra = extra + F.when((k >= 0) & (k < count) & (k >= guess - 1) & (tk <= s), 1).otherwise(0)
     return F.when(s.isNull(), F.lit(None)).otherwise(base + extra)

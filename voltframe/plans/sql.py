@@ -116,7 +116,8 @@ def leap(ts: str = "ts") -> str:
 def grid_value(i: str, grid) -> str:
     start, stop, n = grid
     step = (stop - start) / (n - 1)
-    return f"(CAST({start!r} AS DOUBLE) + CAST({i} AS DOUBLE) * CAST({step!r} AS DOUBLE))"
+    return (f"(CASE WHEN {i} = {n - 1} THEN CAST({stop!r} AS DOUBLE) "
+            f"ELSE CAST({i} AS DOUBLE) * CAST({step!r} AS DOUBLE) + CAST({start!r} AS DOUBLE) END)")
 
 
 def pred_ctes() -> str:
