@@ -11,6 +11,7 @@ from ..functions.columns import flag_above, normal_sf, r6, sigmoid
 from ..operators import evaluate as E
 from ..operators import prepare, series
 from . import sql as S
+from ..session import materialize
 from .inputs import hourly_system, predictions, wide_features
 from .registry import register
 
@@ -140,8 +141,9 @@ def _baseline_frame(spark, sf_dir):
     h = prepare.assign_split(h, P.HOURLY_SPLITS)
     rate = h.filter(F.col("split") == "train").agg(F.avg("y_true").alias("mean_prob"))
     h = series.attach_totals(h, rate, [])
-    return h.select("ts", "split", "price", "y_true", F.col("spike").cast("double").alias("naive_prob"),
-                    F.col("seasonal").cast("double").alias("seasonal_naive_prob"), "mean_prob")
+    b = h.select("ts", "split", "price", "y_true", F.col("spike").cast("double").alias("naive_prob"),
+                 F.col("seasonal").cast("double").alias("seasonal_naive_prob"), "mean_prob")
+    return materialize(b, "baselines")
 
 
 BASE_CTES = f"""

@@ -19,16 +19,17 @@ from ..functions import calendar as cal
 from ..functions.columns import flag_above
 from ..operators import series, system
 from ..operators.prepare import assign_split
+from ..session import materialize
 from ..sources import tables
 
 
 def hourly_system(spark: SparkSession, sf_dir: str) -> DataFrame:
     gen = system.pivot_fuels(system.hourly_by_type(tables.generation_long(spark, sf_dir)))
-    return system.merge_hourly(tables.price_wide(spark, sf_dir), gen)
+    return materialize(system.merge_hourly(tables.price_wide(spark, sf_dir), gen), "hourly")
 
 
 def daily_system(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.daily_system(spark, sf_dir)
+    return materialize(tables.daily_system(spark, sf_dir), "daily")
 
 
 def wide_features(spark: SparkSession, sf_dir: str, drop_leap: str = "after",
@@ -52,7 +53,8 @@ def wide_features(spark: SparkSession, sf_dir: str, drop_leap: str = "after",
         w = w.filter(~cal.is_leap_day("ts"))
     w = w.withColumns(cal.fourier_terms("ts", leap_adjust=leap_adjust))
     w = cal.event_flag(w, event_ranges, "ts", "is_event")
-    return w.filter(F.col(f"spike_lead_{n}").isNotNull() & F.col(f"spike_lag_{n}").isNotNull())
+    w = w.filter(F.col(f"spike_lead_{n}").isNotNull() & F.col(f"spike_lag_{n}").isNotNull())
+    return materialize(w, "wide")
 
 
 def predictions(spark: SparkSession, sf_dir: str, layout: str = "halo") -> DataFrame:
@@ -67,6 +69,7 @@ def predictions(spark: SparkSession, sf_dir: str, layout: str = "halo") -> DataF
         F.struct(F.lit("load_ratio").alias("model"), prob.alias("y_prob")),
         F.struct(F.lit("naive").alias("model"), F.col("spike").cast("double").alias("y_prob")),
     )
-    return (h.withColumn("_m", F.explode(models))
-             .select(F.col("_m.model").alias("model"), "ts", "split", "price",
-                     F.col("y_true").cast("int").alias("y_true"), F.col("_m.y_prob").alias("y_prob")))
+    p = (h.withColumn("_m", F.explode(models))
+          .select(F.col("_m.model").alias("model"), "ts", "split", "price",
+                  F.col("y_true").cast("int").alias("y_true"), F.col("_m.y_prob").alias("y_prob")))
+    return materialize(p, "predictions")

@@ -9,15 +9,17 @@ from ..functions.columns import r6
 from ..streaming import jobs
 from .registry import register
 
-FIRST_ROUND = F.dayofmonth("day") <= 15
+
+def first_round():
+    return F.dayofmonth("day") <= 15
 
 
 def _two_rounds(spark, sf_dir, name, run):
     run_dir = jobs.new_run_dir(spark, name)
     src = run_dir + "/input"
-    jobs.stage_event_files(spark, sf_dir, src, day_filter=FIRST_ROUND)
+    jobs.stage_event_files(spark, sf_dir, src, day_filter=first_round())
     run(src, run_dir)
-    jobs.stage_event_files(spark, sf_dir, src, day_filter=~FIRST_ROUND)
+    jobs.stage_event_files(spark, sf_dir, src, day_filter=~first_round())
     run(src, run_dir)
     return run_dir
 

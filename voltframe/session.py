@@ -68,3 +68,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss), never localCheckpoint."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a derived stage table (hourly, daily, engineered, predictions) as
+    Parquet under the shared checkpoint folder and read it back.
+
+    Downstream branches of one plan then scan this small table instead of
+    re-deriving it from the raw input (which Catalyst cannot always dedupe
+    across differently shaped branches), lineage is cut, a lost executor
+    re-reads files instead of recomputing from the raw scan, and AQE sees
+    exact file sizes for its join choices.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, f"tables/{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
