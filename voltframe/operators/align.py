@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window  # noqa: F401
 from pyspark.sql import functions as F
 
 from ..functions.columns import r6
@@ -49,14 +49,21 @@ def nearest_point(df: DataFrame, group: Sequence[str], lat: str, lon: str, targe
 def parse_inventory(lines: DataFrame, file_col: str = "file") -> DataFrame:
     """``n:offset:d=date:var:level:...`` -> (file, n, var, level, start, end).
 
-    end = next line's offset - 1 within the file (NULL for the last line).
+    end = next line's offset - 1 within the file (NULL for the last line).  The
+    line number is a dense position, so the lead runs as a halo window on it:
+    a very long inventory is split into bounded blocks.
     """
+    from . import series
     parts = F.split(F.col("value"), ":")
     d = lines.select(file_col, parts.getItem(0).cast("long").alias("n"), parts.getItem(1).cast("long").alias("start"),
                      F.regexp_replace(parts.getItem(2), "^d=", "").alias("run"), parts.getItem(3).alias("var"),
                      F.trim(parts.getItem(4)).alias("level"))
-    w = Window.partitionBy(file_col).orderBy("n")
-    return d.withColumn("end", F.lead("start").over(w) - 1)
+
+    def build(w):
+        nxt_ok = F.lead("n", 1).over(w) == F.col("n") + 1
+        return {"end": F.when(nxt_ok, F.lead("start", 1).over(w) - 1)}
+
+    return series.ordered(d, build, order="n", keys=[file_col], reach=1, idx="n", block_rows=1 << 16)
 
 
 def resume_backfill(requested: DataFrame, existing: DataFrame, key: str, compute, max_new: int | None = None,
