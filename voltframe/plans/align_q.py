@@ -67,7 +67,7 @@ def coverage_summary(spark, sf_dir):
 
 # --- wind components on a lattice (stand-in for the gridded forecast) -----------------
 
-TARGET_LAT, TARGET_LON = 51.05, -114.07
+TARGET_LAT, TARGET_LON = 50.6, -113.4
 
 
 def _wind(spark, sf_dir):

@@ -184,15 +184,20 @@ def cv_search(spark, sf_dir):
     d = series.add_row_index(w, "ts", idx="idx")
     n = d.count()
     d = series.expanding_folds(d, n, P.CV_SPLITS).cache()
-    rows = []
-    for cand in CV_CANDIDATES:
-        for fold in range(P.CV_SPLITS):
-            part = d.filter(F.col("fold") == fold)
-            m = M.fit_classifier(part.filter(F.col("role") == "train"), CLF_FEATURES, "y_true", weight="w",
-                                 reg_param=cand)
-            s = M.score(m, part.filter(F.col("role") == "test"))
-            c = E.confusion(s, [], (F.col("y_prob") >= 0.5).cast("int")).first()
-            rows.append((float(cand), fold, float(c["f1"])))
+    def run(task):
+        cand, fold = task
+        part = d.filter(F.col("fold") == fold)
+        m = M.fit_classifier(part.filter(F.col("role") == "train"), CLF_FEATURES, "y_true", weight="w",
+                             reg_param=cand)
+        s = M.score(m, part.filter(F.col("role") == "test"))
+        c = E.confusion(s, [], (F.col("y_prob") >= 0.5).cast("int")).first()
+        return (float(cand), fold, float(c["f1"]))
+
+    # independent (candidate, fold) fits are submitted as concurrent Spark jobs
+    from concurrent.futures import ThreadPoolExecutor
+    tasks = [(c, f) for c in CV_CANDIDATES for f in range(P.CV_SPLITS)]
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        rows = list(pool.map(run, tasks))
     scores = spark.createDataFrame(rows, "candidate double, fold int, f1 double")
     summ = E.cv_summary(scores, "candidate", "f1")
     # the summary has one row per candidate (a literal list of 3): a global order is fine here
