@@ -246,7 +246,7 @@ def scalar_math(spark, sf_dir):
 
 @register("scalar_json", """
 SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
-       to_json({'k': CAST(json_extract(props, '$.k') AS BIGINT), 'type': event_type}) AS props_out
+       CAST(to_json({'k': CAST(json_extract(props, '$.k') AS BIGINT), 'type': event_type}) AS VARCHAR) AS props_out
 FROM events""")
 def scalar_json(spark, sf_dir):
     """JSON family: path extraction, typed parse, struct back to JSON text."""

@@ -244,8 +244,8 @@ def event_flag(spark, sf_dir):
 
 
 @register("drop_leap_day", "WITH " + S.d_ctes() + """
-SELECT count(*) AS rows_before, sum(CASE WHEN month(ts) = 2 AND day(ts) = 29 THEN 1 ELSE 0 END) AS leap_rows,
-       sum(CASE WHEN month(ts) = 2 AND day(ts) = 29 THEN 0 ELSE 1 END) AS rows_after FROM d""")
+SELECT count(*) AS rows_before, CAST(sum(CASE WHEN month(ts) = 2 AND day(ts) = 29 THEN 1 ELSE 0 END) AS BIGINT) AS leap_rows,
+       CAST(sum(CASE WHEN month(ts) = 2 AND day(ts) = 29 THEN 0 ELSE 1 END) AS BIGINT) AS rows_after FROM d""")
 def drop_leap_day(spark, sf_dir):
     """Rows removed by the Feb 29 filter (counted in one pass)."""
     d = daily_system(spark, sf_dir)

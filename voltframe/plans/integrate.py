@@ -67,7 +67,7 @@ def pivot_two_measures(spark, sf_dir):
 
 @register("pivot_dense", S.with_h(f"""
 SELECT count(*) AS hours,
-  {", ".join(f"sum(CASE WHEN {f}_total = 0 THEN 1 ELSE 0 END) AS zero_{f}" for f in P.FUELS)}
+  {", ".join(f"CAST(sum(CASE WHEN {f}_total = 0 THEN 1 ELSE 0 END) AS BIGINT) AS zero_{f}" for f in P.FUELS)}
 FROM gw"""))
 def pivot_dense(spark, sf_dir):
     """Zero-filled cells per fuel after the dense pivot."""
