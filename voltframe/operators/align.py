@@ -5,10 +5,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window  # noqa: F401
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import r6
 
 
 def align_to_axis(axis: DataFrame, forecast: DataFrame, ts: str = "ts", provenance: dict | None = None) -> DataFrame:
@@ -104,4 +103,4 @@ def coverage_rows(aligned: DataFrame, dataset: str, value: str, ts: str = "ts")
 
 
 __all__ = ["align_to_axis", "wind_speed", "wrap_longitude", "nearest_point", "parse_inventory",
-           "resume_backfill", "dedupe_first", "coverage_rows", "r6"]
+           "resume_backfill", "dedupe_first", "coverage_rows"]

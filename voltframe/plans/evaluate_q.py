@@ -3,16 +3,15 @@ O02-O04, P19, P21, P34-P36, S11, U01, W08, W13)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import params as P
-from ..functions.columns import flag_above, normal_sf, r6, sigmoid
+from ..functions.columns import flag_above, r6
 from ..operators import evaluate as E
 from ..operators import prepare, series
 from . import sql as S
 from ..session import materialize
-from .inputs import hourly_system, predictions, wide_features
+from .inputs import hourly_system, predictions
 from .registry import register
 
 PRED = S.pred_ctes()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions import calendar as cal
-from ..functions.columns import flag_above, normal_sf, r6
+from ..functions.columns import normal_sf, r6
 from ..operators import evaluate as E
 from ..operators import models as M
 from ..operators import prepare, series

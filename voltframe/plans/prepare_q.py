@@ -3,8 +3,6 @@ A21, A22, A29, W09, W13, S09, S11, O03, O04, M11)."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import functions as F
 
 from .. import params as P
