@@ -86,3 +86,25 @@ def test_halo_window_is_partitioned_by_block(spark):
     # the raw rows are shuffled by target block, never gathered in one partition
     assert "hashpartitioning(_tgt" in plan
     assert "hashpartitioning(_blk" in plan
+
+
+def test_multi_series_equals_single_series(spark):
+    """Metamorphic: a second series under another key must not change the first."""
+    a = _gappy(spark, 120, seed=5).withColumn("sid", F.lit("a"))
+    b = _gappy(spark, 90, seed=9).withColumn("sid", F.lit("b"))
+    both = a.unionByName(b)
+    build = series.combine(series.lags("price", [1, 3], name="lag_{k}"), series.leads("price", [2], name="lead_{k}"))
+    multi = series.ordered(both, build, keys=["sid"], reach=3, block_rows=16).filter(F.col("sid") == "a")
+    single = series.ordered(a, build, reach=3, block_rows=50)
+    cols = ["ts", "price", "lag_1", "lag_3", "lead_2"]
+    assert multi.select(cols).exceptAll(single.select(cols)).count() == 0
+    assert single.select(cols).exceptAll(multi.select(cols)).count() == 0
+
+
+def test_attach_totals_is_a_scalar_subquery(spark):
+    df = spark.range(5).withColumn("v", F.col("id") * 2)
+    tot = df.agg(F.sum("v").alias("s"), F.count(F.lit(1)).alias("n"))
+    out = series.attach_totals(df, tot, [])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert {(r["s"], r["n"]) for r in out.collect()} == {(20, 5)}

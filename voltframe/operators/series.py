@@ -159,17 +159,19 @@ def prefix_sums(df: DataFrame, cols: Sequence[str], order: str, keys: Sequence[s
 
 
 def attach_totals(df: DataFrame, totals: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Join per-group totals back to rows.
+    """Attach per-group totals to rows.
 
-    Without keys ``totals`` is a global aggregate -- exactly one row, a proven
-    size -- so it is broadcast on a constant key (a hash join, no shuffle of
-    ``df``).  With keys it is one row per group and AQE sizes the join.
+    Without keys ``totals`` is a global aggregate (exactly one row): it becomes a
+    scalar subquery (``DataFrame.scalar()``), which Spark evaluates once and
+    inlines -- no join at all.  With keys it is one row per group and an equi
+    join whose strategy AQE picks from the measured size.
     """
     keys = list(keys)
     if keys:
         return df.join(totals, keys, "inner")
-    return (df.withColumn("_g", F.lit(0))
-              .join(F.broadcast(totals.withColumn("_g", F.lit(0))), "_g", "inner").drop("_g"))
+    cols = totals.columns
+    packed = totals.select(F.struct(*cols).alias("_tot")).scalar()
+    return df.withColumn("_tot", packed).select(*df.columns, *[F.col(f"_tot.{c}").alias(c) for c in cols])
 
 
 # --- gaps, folds, tails ---------------------------------------------------------------
