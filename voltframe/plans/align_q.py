@@ -24,7 +24,9 @@ PRED = S.pred_ctes()
 
 
 def _tag(sf_dir: str) -> str:
-    return os.path.basename(os.path.normpath(sf_dir)).replace(".", "_")
+    """Unique scratch name per run (scale factor + random suffix): concurrent runs never share a folder."""
+    import uuid
+    return os.path.basename(os.path.normpath(sf_dir)).replace(".", "_") + "_" + uuid.uuid4().hex[:10]
 
 
 def _view_forecast(spark, sf_dir):

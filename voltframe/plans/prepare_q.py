@@ -55,7 +55,8 @@ def _fit(spark, sf_dir):
 def scaler_stats(spark, sf_dir):
     """A21 + S09: fit on train rows (ddof 1, zero std -> 1), persisted as Parquet and read back."""
     _, stats = _fit(spark, sf_dir)
-    path = scratch_path(spark, "scaler_stats")
+    import uuid
+    path = scratch_path(spark, f"scaler_stats_{uuid.uuid4().hex[:10]}")
     stats.write.mode("overwrite").parquet(path)
     back = spark.read.parquet(path)
     return back.select("column", r6("mean").alias("mean"), r6("std").alias("std"))
