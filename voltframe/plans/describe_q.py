@@ -17,8 +17,8 @@ WIDE = S.wide_ctes()
 HOURS = list(range(24))
 
 
-def _h_cal(spark, sf_dir):
-    h = hourly_system(spark, sf_dir)
+def _h_cal(spark, sf_dir, materialized=True):
+    h = hourly_system(spark, sf_dir, materialized)
     return h.withColumns(cal.calendar_parts("ts")).withColumn("spike", flag_above("price", P.SPIKE_THRESHOLD))
 
 
@@ -30,13 +30,13 @@ def _pivot_sql(expr: str) -> str:
 @register("heatmap_month_hour", _pivot_sql("price"))
 def heatmap_month_hour(spark, sf_dir):
     """Mean price, month x hour (fixed 24 hour columns)."""
-    return D.pivot_mean(_h_cal(spark, sf_dir), "month", "hour_of_day", "price", HOURS)
+    return D.pivot_mean(_h_cal(spark, sf_dir, False), "month", "hour_of_day", "price", HOURS)
 
 
 @register("spike_heatmap", _pivot_sql(f"CAST(price > {P.SPIKE_THRESHOLD} AS INTEGER) * 100.0"))
 def spike_heatmap(spark, sf_dir):
     """Spike rate in percent, month x hour."""
-    return D.pivot_mean(_h_cal(spark, sf_dir), "month", "hour_of_day", "spike", HOURS, scale=100.0)
+    return D.pivot_mean(_h_cal(spark, sf_dir, False), "month", "hour_of_day", "spike", HOURS, scale=100.0)
 
 
 def _mean_by_sql():
@@ -60,7 +60,7 @@ SELECT year, CAST(spike_count AS BIGINT) AS spike_count, {S.r6('rate')} AS spike
        printf('%.2f%%', round(rate * 100, 2)) AS spike_rate_pct FROM y""")
 def spike_by_year(spark, sf_dir):
     """A06 + P37: yearly spike count and rate, with a percent label."""
-    d = daily_system(spark, sf_dir).withColumn("spike", flag_above("price", P.DAILY_SPIKE_THRESHOLD))
+    d = daily_system(spark, sf_dir, materialized=False).withColumn("spike", flag_above("price", P.DAILY_SPIKE_THRESHOLD))
     y = d.groupBy(F.year("ts").alias("year")).agg(F.sum("spike").cast("long").alias("spike_count"),
                                                   F.avg("spike").alias("rate"))
     return y.select("year", "spike_count", r6("rate").alias("spike_rate"),

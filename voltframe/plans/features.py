@@ -15,8 +15,8 @@ from .registry import register
 N = P.LEAD_LAG_HOURS
 
 
-def _sys(spark, sf_dir):
-    return system.system_features(hourly_system(spark, sf_dir))
+def _sys(spark, sf_dir, materialized=True):
+    return system.system_features(hourly_system(spark, sf_dir, materialized))
 
 
 def _r6_all(df, keep=("ts",)):
@@ -30,7 +30,7 @@ SYS = S.sys_cte("h", "s")
 @register("spike_flag", S.with_h(f"SELECT ts, price, CAST(price > {P.SPIKE_THRESHOLD} AS INTEGER) AS spike FROM h"))
 def spike_flag(spark, sf_dir):
     """Strict price > threshold as int."""
-    return hourly_system(spark, sf_dir).select("ts", "price", flag_above("price", P.SPIKE_THRESHOLD).alias("spike"))
+    return hourly_system(spark, sf_dir, materialized=False).select("ts", "price", flag_above("price", P.SPIKE_THRESHOLD).alias("spike"))
 
 
 _TOTALS = ("net_export", "total_generation", "total_capability", "dispatchable_generation",
@@ -40,7 +40,7 @@ _TOTALS = ("net_export", "total_generation", "total_capability", "dispatchable_g
 @register("system_totals", S.with_h("SELECT ts, " + ", ".join(f"{S.r6(c)} AS {c}" for c in _TOTALS) + " FROM s",
                                     extra=SYS))
 def system_totals(spark, sf_dir):
-    return _r6_all(system.system_totals(hourly_system(spark, sf_dir)).select("ts", *_TOTALS))
+    return _r6_all(system.system_totals(hourly_system(spark, sf_dir, materialized=False)).select("ts", *_TOTALS))
 
 
 _MIX = tuple(f"{f}_mix" for f in P.FUELS)
@@ -49,7 +49,7 @@ _MIX = tuple(f"{f}_mix" for f in P.FUELS)
 @register("generation_mix", S.with_h("SELECT ts, " + ", ".join(f"{S.r6(c)} AS {c}" for c in _MIX) + " FROM s",
                                      extra=SYS))
 def generation_mix(spark, sf_dir):
-    return _r6_all(_sys(spark, sf_dir).select("ts", *_MIX))
+    return _r6_all(_sys(spark, sf_dir, False).select("ts", *_MIX))
 
 
 _DEM = ("renewables_share", "dispatchable_ratio", "gas_ratio", "intertie_support")
@@ -58,7 +58,7 @@ _DEM = ("renewables_share", "dispatchable_ratio", "gas_ratio", "intertie_support
 @register("demand_ratios", S.with_h("SELECT ts, " + ", ".join(f"{S.r6(c)} AS {c}" for c in _DEM) + " FROM s",
                                     extra=SYS))
 def demand_ratios(spark, sf_dir):
-    return _r6_all(_sys(spark, sf_dir).select("ts", *_DEM))
+    return _r6_all(_sys(spark, sf_dir, False).select("ts", *_DEM))
 
 
 _CAP = ("capacity_renewable", "capacity_dispatchable", "capacity_gas")
@@ -67,7 +67,7 @@ _CAP = ("capacity_renewable", "capacity_dispatchable", "capacity_gas")
 @register("capacity_ratios", S.with_h("SELECT ts, " + ", ".join(f"{S.r6(c)} AS {c}" for c in _CAP) + " FROM s",
                                       extra=SYS))
 def capacity_ratios(spark, sf_dir):
-    return _r6_all(_sys(spark, sf_dir).select("ts", *_CAP))
+    return _r6_all(_sys(spark, sf_dir, False).select("ts", *_CAP))
 
 
 _RES = ("net_load", "resilience_buffer", "reserve_margin")
@@ -76,7 +76,7 @@ _RES = ("net_load", "resilience_buffer", "reserve_margin")
 @register("reserve_margin", S.with_h("SELECT ts, " + ", ".join(f"{S.r6(c)} AS {c}" for c in _RES) + " FROM s",
                                      extra=SYS))
 def reserve_margin(spark, sf_dir):
-    return _r6_all(_sys(spark, sf_dir).select("ts", *_RES))
+    return _r6_all(_sys(spark, sf_dir, False).select("ts", *_RES))
 
 
 WIN = SYS + "," + S.window_ctes("s")
@@ -191,14 +191,14 @@ def complete_rows(spark, sf_dir):
 @register("calendar_parts", "WITH " + S.d_ctes() + f" SELECT ts, {S.calendar_sql()} FROM d")
 def calendar_parts(spark, sf_dir):
     """P26 on the daily table (several calendar years)."""
-    return daily_system(spark, sf_dir).select("ts", *[v.alias(k) for k, v in cal.calendar_parts("ts").items()])
+    return daily_system(spark, sf_dir, materialized=False).select("ts", *[v.alias(k) for k, v in cal.calendar_parts("ts").items()])
 
 
 @register("fourier_calendar", "WITH " + S.d_ctes() + ", f AS (SELECT ts, " + S.fourier_sql() + " FROM d) SELECT ts, "
           + ", ".join(f"{S.r6(c)} AS {c}" for c in P.CYCLICAL) + " FROM f")
 def fourier_calendar(spark, sf_dir):
     """P27 (T13 leap adjustment) on the daily table."""
-    d = daily_system(spark, sf_dir).select("ts")
+    d = daily_system(spark, sf_dir, materialized=False).select("ts")
     return d.select("ts", *[r6(v).alias(k) for k, v in cal.fourier_terms("ts", leap_adjust=True).items()])
 
 
@@ -217,7 +217,7 @@ def _fwh_sql():
 @register("fourier_week_hours", _fwh_sql())
 def fourier_week_hours(spark, sf_dir):
     """Daily k=1,2 on the fractional hour, weekly on hour of week."""
-    h = hourly_system(spark, sf_dir).select("ts")
+    h = hourly_system(spark, sf_dir, materialized=False).select("ts")
     return h.select("ts", *[r6(v).alias(k) for k, v in cal.fourier_week_hours("ts").items()])
 
 
@@ -232,14 +232,14 @@ def _one_hot_sql():
 @register("calendar_one_hot", _one_hot_sql())
 def calendar_one_hot(spark, sf_dir):
     """P25: 43 fixed-category indicators (hour 0-23, weekday 0-6, month 1-12)."""
-    h = hourly_system(spark, sf_dir).select("ts").withColumns(cal.calendar_parts("ts"))
+    h = hourly_system(spark, sf_dir, materialized=False).select("ts").withColumns(cal.calendar_parts("ts"))
     return h.select("ts", *[v.alias(k) for k, v in cal.one_hot().items()])
 
 
 @register("event_flag", S.with_h(f"SELECT ts, {S.event_sql()} FROM h"))
 def event_flag(spark, sf_dir):
     """Inclusive date ranges; last day counts for its 00:00 row only."""
-    h = hourly_system(spark, sf_dir).select("ts")
+    h = hourly_system(spark, sf_dir, materialized=False).select("ts")
     return cal.event_flag(h, P.HOURLY_EVENT_RANGES, "ts", "is_event")
 
 
@@ -248,7 +248,7 @@ SELECT count(*) AS rows_before, CAST(sum(CASE WHEN month(ts) = 2 AND day(ts) = 2
        CAST(sum(CASE WHEN month(ts) = 2 AND day(ts) = 29 THEN 0 ELSE 1 END) AS BIGINT) AS rows_after FROM d""")
 def drop_leap_day(spark, sf_dir):
     """Rows removed by the Feb 29 filter (counted in one pass)."""
-    d = daily_system(spark, sf_dir)
+    d = daily_system(spark, sf_dir, materialized=False)
     leap = cal.is_leap_day("ts")
     return d.agg(F.count(F.lit(1)).alias("rows_before"), F.sum(leap.cast("long")).alias("leap_rows"),
                  F.sum((~leap).cast("long")).alias("rows_after"))

@@ -23,13 +23,19 @@ from ..session import materialize
 from ..sources import tables
 
 
-def hourly_system(spark: SparkSession, sf_dir: str) -> DataFrame:
+def hourly_system(spark: SparkSession, sf_dir: str, materialized: bool = True) -> DataFrame:
+    """H, written once as a stage table by default: window and quantile operators
+    consume their input in several differently pruned branches, which Catalyst
+    cannot dedupe, so a lazy H would re-scan the raw table per branch.  Plain
+    single-consumer projections pass ``materialized=False`` and fuse it instead."""
     gen = system.pivot_fuels(system.hourly_by_type(tables.generation_long(spark, sf_dir)))
-    return materialize(system.merge_hourly(tables.price_wide(spark, sf_dir), gen), "hourly")
+    h = system.merge_hourly(tables.price_wide(spark, sf_dir), gen)
+    return materialize(h, "hourly") if materialized else h
 
 
-def daily_system(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialize(tables.daily_system(spark, sf_dir), "daily")
+def daily_system(spark: SparkSession, sf_dir: str, materialized: bool = True) -> DataFrame:
+    d = tables.daily_system(spark, sf_dir)
+    return materialize(d, "daily") if materialized else d
 
 
 def wide_features(spark: SparkSession, sf_dir: str, drop_leap: str = "after",

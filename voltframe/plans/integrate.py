@@ -89,7 +89,7 @@ def dead_band(spark, sf_dir):
 
 @register("merge_hourly", S.with_h(f"SELECT ts, price, load, {S.fuel_cols()}, imp, exp FROM h"), headline=True)
 def merge_hourly(spark, sf_dir):
-    return hourly_system(spark, sf_dir)
+    return hourly_system(spark, sf_dir, materialized=False)
 
 
 @register("src_file_counts", S.with_h("""

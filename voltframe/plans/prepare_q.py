@@ -22,7 +22,7 @@ PRED = S.pred_ctes()
 @register("split_assign", S.with_h(f"SELECT ts, {S.split_case()} AS split FROM h"))
 def split_assign(spark, sf_dir):
     """Time-bound split label."""
-    return prepare.assign_split(hourly_system(spark, sf_dir).select("ts"), P.HOURLY_SPLITS)
+    return prepare.assign_split(hourly_system(spark, sf_dir, materialized=False).select("ts"), P.HOURLY_SPLITS)
 
 
 @register("union_splits", S.with_h(f"""
@@ -302,7 +302,7 @@ SELECT ts, {S.r6('1.0 / (1.0 + exp(-((price - 200.0) / 50.0)))')} AS y_prob,
        CAST(1.0 / (1.0 + exp(-((price - 200.0) / 50.0))) >= 0.5 AS INTEGER) AS y_pred FROM h"""))
 def sigmoid_label(spark, sf_dir):
     """Logistic score of a linear index and the hard label at 0.5 (>=)."""
-    h = hourly_system(spark, sf_dir).select("ts", "price")
+    h = hourly_system(spark, sf_dir, materialized=False).select("ts", "price")
     p = sigmoid((F.col("price") - 200.0) / 50.0)
     return h.select("ts", r6(p).alias("y_prob"), (p >= 0.5).cast("int").alias("y_pred"))
 
