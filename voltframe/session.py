@@ -20,7 +20,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Runtime (measured) size check for broadcast conversion of join sides.
+    # Broadcasts are decided on MEASURED sizes only: no static (estimate-based)
+    # broadcast; AQE converts a join after its shuffle stage reports <= 32MB.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
@@ -43,6 +45,15 @@ def build_session(master: str | None = None, app: str = "voltframe",
     return spark
 
 
+def apply_sql_defaults(spark: SparkSession) -> None:
+    """Apply the runtime SQL settings the library relies on to an existing
+    session (UTC, AQE, measured-size broadcasts); shuffle partitions are left
+    to the caller."""
+    for k, v in DEFAULT_CONF.items():
+        if k.startswith("spark.sql.") and "arrow" not in k:
+            spark.conf.set(k, v)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; set a temporary one only if unset."""
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
