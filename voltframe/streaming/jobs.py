@@ -49,6 +49,16 @@ def _source(spark: SparkSession, path: str, max_files: int | None = None) -> Dat
     return r.load(path)
 
 
+def _finish(q, timeout_s: int) -> None:
+    """Wait for an availableNow run; never leave a query running past the bound."""
+    done = q.awaitTermination(timeout_s)
+    if not done:
+        q.stop()
+        raise TimeoutError(f"streaming query {q.name or q.id} did not finish in {timeout_s}s")
+    if q.exception() is not None:
+        raise q.exception()
+
+
 def _batch_sink(out: str):
     """Idempotent foreachBatch sink: a replayed batch overwrites its own folder."""
     def write(df: DataFrame, batch_id: int) -> None:
@@ -66,7 +76,7 @@ def hourly_totals_stream(spark: SparkSession, src: str, run_dir: str, delay: str
     out = os.path.join(run_dir, "out")
     q = (agg.writeStream.outputMode("update").foreachBatch(_batch_sink(out))
             .option("checkpointLocation", os.path.join(run_dir, "ckpt")).trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
+    _finish(q, timeout_s)
     res = spark.read.parquet(out)
     w = Window.partitionBy("w", "event_type").orderBy(F.col("batch_id").desc())
     latest = res.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
@@ -81,7 +91,7 @@ def dedupe_stream(spark: SparkSession, src: str, run_dir: str, delay: str = "1 d
     out = os.path.join(run_dir, "out")
     q = (d.writeStream.outputMode("append").format("parquet").option("path", out)
           .option("checkpointLocation", os.path.join(run_dir, "ckpt")).trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
+    _finish(q, timeout_s)
     return spark.read.schema(EVENT_SCHEMA + ", day DATE").parquet(out)
 
 
@@ -98,7 +108,7 @@ def incremental_daily(spark: SparkSession, src: str, run_dir: str, timeout_s: in
 
     q = (daily.writeStream.foreachBatch(write).option("checkpointLocation", os.path.join(run_dir, "ckpt"))
               .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
+    _finish(q, timeout_s)
     progress = q.recentProgress
     return len([p for p in progress if p.get("numInputRows", 0) > 0])
 
