@@ -309,3 +309,27 @@ def regression_metrics(spark, sf_dir):
     r = E.regression_metrics(h, "actual", "price", ["split"], P.SPIKE_THRESHOLD)
     return r.withColumns({c: r6(c) for c in ("rmse", "mae", "spike_f1", "spike_precision", "spike_recall",
                                              "predicted_spike_rate")})
+
+
+# --- parameter variants of the modelled code copies --------------------------------------------
+
+def _first_max_sql():
+    grid = P.GRID_PIPELINE
+    start, stop, n = grid
+    return S.with_h(f"""
+SELECT model, threshold_index, threshold, {S.r6('f1')} AS f1 FROM (
+  SELECT model, i AS threshold_index, round({S.grid_value('i', grid)}, 2) AS threshold,
+         COALESCE(CAST(2 * tp AS DOUBLE) / NULLIF(CAST(2 * tp + fp + fn AS DOUBLE), 0), 0.0) AS f1
+  FROM (SELECT model, i, {_counts_sql('y_prob >= t')}
+        FROM (SELECT * FROM p WHERE split = 'validation') v
+        CROSS JOIN (SELECT i, {S.grid_value('i', grid)} AS t FROM range({n}) r(i)) g GROUP BY model, i))
+QUALIFY row_number() OVER (PARTITION BY model ORDER BY f1 DESC, threshold_index ASC) = 1""", extra=PRED)
+
+
+@register("threshold_select_first_max", _first_max_sql())
+def threshold_select_first_max(spark, sf_dir):
+    """T21/T22 variant: 81-point grid 0.10..0.90, first maximum of F1 (smallest threshold)."""
+    p = predictions(spark, sf_dir).filter(F.col("split") == "validation")
+    sw = E.threshold_sweep(p, ["model"], P.GRID_PIPELINE)
+    best = E.threshold_select(sw, ["model"], tie="low")
+    return best.select("model", "threshold_index", "threshold", r6("f1").alias("f1"))

@@ -357,3 +357,58 @@ def linear_score(spark, sf_dir):
     for c, b in LINEAR_COEF.items():
         s = s + F.lit(b) * F.col(c)
     return w.select("ts", r6(s).alias("price_hat"))
+
+
+# --- parameter variants of the modelled code copies --------------------------------------------
+
+@register("sequence_windows_split", S.with_h(f"""
+SELECT split, end_ts, "window", label FROM (
+  SELECT split, ts AS end_ts, list([CAST(price AS DOUBLE), CAST(load AS DOUBLE)]) OVER w AS "window",
+         count(*) OVER w AS n, y_true AS label
+  FROM (SELECT *, {S.split_case()} AS split FROM hl)
+  WINDOW w AS (PARTITION BY split ORDER BY ts ROWS BETWEEN {SEQ_LEN - 1} PRECEDING AND CURRENT ROW))
+WHERE n = {SEQ_LEN} AND label IS NOT NULL""", extra=PRED))
+def sequence_windows_split(spark, sf_dir):
+    """T19 variant: windows cut per split (each split loses its first L-1 rows)."""
+    h = hourly_system(spark, sf_dir).select("ts", "price", "load")
+    h = h.withColumn("spike", (F.col("price") > P.SPIKE_THRESHOLD).cast("int"))
+    h = series.ordered(h, series.leads("spike", [P.HORIZON], name="y_true"), reach=P.HORIZON)
+    h = prepare.assign_split(h, P.HOURLY_SPLITS)
+    w = prepare.sequence_windows(h, SEQ_FEATURES, SEQ_LEN, label="y_true", scope_col="split")
+    return w.filter(F.col("label").isNotNull())
+
+
+@register("class_weight_variants", S.with_h(f"""
+SELECT {S.r6('neg / NULLIF(pos, 0)')} AS weight_unguarded, {S.r6('neg / GREATEST(pos, 1.0)')} AS weight_guarded,
+       {S.r6('GREATEST(neg / GREATEST(pos, 1.0), 1.0)')} AS weight_floored
+FROM (SELECT CAST(sum(spike_lead_2) AS DOUBLE) AS pos, CAST(count(spike_lead_2) - sum(spike_lead_2) AS DOUBLE) AS neg
+      FROM wt WHERE ts < TIMESTAMP '{P.HOURLY_SPLITS[0]}')""", extra=WIDE))
+def class_weight_variants(spark, sf_dir):
+    """neg/pos unguarded, neg/max(pos,1), max(neg/max(pos,1), 1) on the train rows."""
+    w = prepare.assign_split(wide_features(spark, sf_dir), P.HOURLY_SPLITS).filter(F.col("split") == "train")
+    a = prepare.class_weight(w, "spike_lead_2", guard_pos=False).select(r6("pos_weight").alias("weight_unguarded"))
+    b = prepare.class_weight(w, "spike_lead_2", guard_pos=True).select(r6("pos_weight").alias("weight_guarded"))
+    c = prepare.class_weight(w, "spike_lead_2", guard_pos=True, floor_one=True).select(
+        r6("pos_weight").alias("weight_floored"))
+    # three single-row aggregates: attach b and c to a as scalar subqueries (no join)
+    return a.select("weight_unguarded", b.scalar().alias("weight_guarded"), c.scalar().alias("weight_floored"))
+
+
+def _scaler0_sql():
+    b1 = P.HOURLY_SPLITS[0]
+    parts = " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", {S.r6(f'avg(COALESCE({c}, 0.0))')} AS mean, "
+        f"{S.r6(f'COALESCE(NULLIF(stddev_pop(COALESCE({c}, 0.0)), 0), 1.0)')} AS std FROM wt "
+        f"WHERE ts < TIMESTAMP '{b1}'" for c in SCALED_NULLABLE)
+    return S.with_h(parts, extra=WIDE)
+
+
+SCALED_NULLABLE = ("price", "reserve_margin", "capacity_gas", "price_lag_24h", "price_rolling_mean_6h")
+
+
+@register("scaler_stats_ddof0", _scaler0_sql())
+def scaler_stats_ddof0(spark, sf_dir):
+    """T10 variant: StandardScaler-style ddof 0 with NULL filled as 0 before the fit."""
+    w = prepare.assign_split(wide_features(spark, sf_dir), P.HOURLY_SPLITS).filter(F.col("split") == "train")
+    stats = prepare.scaler_fit(w, SCALED_NULLABLE, ddof=0, fill_na=0.0)
+    return stats.select("column", r6("mean").alias("mean"), r6("std").alias("std"))
