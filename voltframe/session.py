@@ -19,6 +19,8 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # coalesce small shuffle outputs by size (advisory 64MB), not by core count
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Broadcasts are decided on MEASURED sizes only: no static (estimate-based)
     # broadcast; AQE converts a join after its shuffle stage reports <= 32MB.
