@@ -80,25 +80,27 @@ def null_profile(df: DataFrame, top: int | None = None) -> DataFrame:
 def histogram(df: DataFrame, value: str, bins: int, clip_upper: float | None = None) -> DataFrame:
     """A17 (T26): equal-width bins over [min, max], last bin closed, empty bins kept.
 
-    The two bounds are one global aggregate (an action returning two numbers);
-    the per-row bucket is then a plain column expression.
+    The bounds are one global aggregate attached as a scalar subquery (evaluated
+    once, inlined); the per-row bucket is then a plain column expression.  The
+    dense bin list is the aggregate exploded into ``bins`` rows.
     """
     v = F.col(value).cast("double")
     if clip_upper is not None:
         v = F.least(v, F.lit(float(clip_upper)))
     d = df.select(v.alias("_v")).filter(F.col("_v").isNotNull())
-    mn, mx = d.agg(F.min("_v"), F.max("_v")).first()
-    if mn is None:
-        return df.sparkSession.createDataFrame([], "bin int, lower double, upper double, count long")
-    width = (mx - mn) if mx > mn else 1.0
-    b = F.least(F.floor((F.col("_v") - F.lit(mn)) * F.lit(float(bins)) / F.lit(width)).cast("int") + 1, F.lit(bins))
-    counts = d.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    dense = (d.sparkSession.range(1).select(F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"),
-                                              F.lit(0).cast("long").alias("count")))
-    out = counts.unionByName(dense).groupBy("bin").agg(F.sum("count").alias("count"))
-    lower = F.lit(mn) + (F.col("bin") - 1).cast("double") * F.lit(width) / F.lit(float(bins))
-    upper = F.lit(mn) + F.col("bin").cast("double") * F.lit(width) / F.lit(float(bins))
-    return out.select("bin", r6(lower).alias("lower"), r6(upper).alias("upper"), "count")
+    bounds = d.agg(F.min("_v").alias("mn"),
+                   F.when(F.max("_v") > F.min("_v"), F.max("_v") - F.min("_v")).otherwise(F.lit(1.0)).alias("w"))
+    b = series.attach_totals(d, bounds, [])
+    nb = F.lit(float(bins))
+    bucket = F.least(F.floor((F.col("_v") - F.col("mn")) * nb / F.col("w")).cast("int") + 1, F.lit(bins))
+    counts = b.groupBy(bucket.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    dense = (bounds.filter(F.col("mn").isNotNull())
+                   .select("mn", "w", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin")))
+    out = dense.join(counts, "bin", "left")
+    lower = F.col("mn") + (F.col("bin") - 1).cast("double") * F.col("w") / nb
+    upper = F.col("mn") + F.col("bin").cast("double") * F.col("w") / nb
+    return out.select("bin", r6(lower).alias("lower"), r6(upper).alias("upper"),
+                      F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"))
 
 
 def box_stats(df: DataFrame, value: str, group: str, block_width: float = 1.0) -> DataFrame:
