@@ -197,3 +197,30 @@ def test_dedupe_first_keeps_earliest(spark):
     df = spark.createDataFrame(rows, "k int, d string, o int, v double")
     out = {r["k"]: (r["d"], r["o"], r["v"]) for r in align.dedupe_first(df, ["k"], ["d", "o"], ["v"]).collect()}
     assert out == {1: ("2024-01-01", 9, 3.0), 2: ("2024-01-05", 1, 4.0)}
+
+
+def _ref_roc(y, s):
+    """Reference ROC points: distinct thresholds descending, collinear points dropped, origin at +inf."""
+    import numpy as np
+    order = np.argsort(-np.asarray(s), kind="mergesort")
+    ys, ss = np.asarray(y)[order], np.asarray(s)[order]
+    last = np.r_[np.where(np.diff(ss))[0], len(ss) - 1]
+    tps = np.cumsum(ys)[last]
+    fps = (1 + last) - tps
+    thr = ss[last]
+    if len(fps) > 2:
+        keep = np.where(np.r_[True, np.logical_or(np.diff(fps, 2), np.diff(tps, 2)), True])[0]
+        fps, tps, thr = fps[keep], tps[keep], thr[keep]
+    return sorted([(float("inf"), 0.0, 0.0)] + [(float(t), f / fps[-1], p / tps[-1]) for t, f, p in zip(thr, fps, tps)])
+
+
+def test_roc_curve_drops_collinear_points(spark):
+    import random
+    rnd = random.Random(13)
+    rows = [("m", rnd.randint(0, 1), round(rnd.random(), 1)) for _ in range(120)]
+    got = evaluate.roc_curve(_preds(spark, rows), ["model"]).collect()
+    got = sorted((r["threshold"], r["fpr"], r["tpr"]) for r in got)
+    exp = _ref_roc([y for _, y, _ in rows], [s for _, _, s in rows])
+    assert len(got) == len(exp)
+    for g, e in zip(got, exp):
+        assert g[0] == e[0] and g[1] == pytest.approx(e[1]) and g[2] == pytest.approx(e[2])

@@ -121,19 +121,33 @@ def roc_auc_ap(preds: DataFrame, groups: Sequence[str] = ("model",), score: str
 
 
 def roc_curve(preds: DataFrame, groups: Sequence[str] = ("model",), score: str = "y_prob",
-              label: str = "y_true") -> DataFrame:
-    """One point per distinct score (predict positive at score >= threshold),
-    plus the origin (threshold NULL); intermediate points are kept."""
+              label: str = "y_true", drop_intermediate: bool = True) -> DataFrame:
+    """ROC points (predict positive at score >= threshold) plus the origin
+    at threshold +inf.  With ``drop_intermediate`` a point is kept only where
+    the cumulative FP or TP counts bend (non-zero second difference in score
+    order), the first and last points always -- the usual ROC-curve default.
+    Neighbouring points come from a halo window over the distinct scores."""
     groups = list(groups)
     t = score_table(preds, groups, score, label)
     tp_ge = F.col("n_pos") - F.col("pos_cum") + F.col("pos")
     fp_ge = F.col("n_neg") - F.col("neg_cum") + F.col("neg")
-    pts = t.select(*groups, F.col("score").alias("threshold"),
-                   F.try_divide(fp_ge.cast("double"), F.col("n_neg").cast("double")).alias("fpr"),
-                   F.try_divide(tp_ge.cast("double"), F.col("n_pos").cast("double")).alias("tpr"))
-    origin = t.select(*groups).distinct().select(*groups, F.lit(None).cast("double").alias("threshold"),
+    pts = t.select(*groups, "score", tp_ge.alias("tps"), fp_ge.alias("fps"), "n_pos", "n_neg")
+    if drop_intermediate:
+        def build(w):
+            return {"_fp_lo": F.lag("fps").over(w), "_fp_hi": F.lead("fps").over(w),
+                    "_tp_lo": F.lag("tps").over(w), "_tp_hi": F.lead("tps").over(w)}
+
+        pts = series.ordered(pts, build, order="score", keys=groups, reach=1,
+                             index_block_width=1.0 / SCORE_BLOCKS)
+        bend = ((F.col("_fp_hi") - 2 * F.col("fps") + F.col("_fp_lo")) != 0) | \
+               ((F.col("_tp_hi") - 2 * F.col("tps") + F.col("_tp_lo")) != 0)
+        pts = pts.filter(F.col("_fp_lo").isNull() | F.col("_fp_hi").isNull() | bend)
+    out = pts.select(*groups, F.col("score").alias("threshold"),
+                     F.try_divide(F.col("fps").cast("double"), F.col("n_neg").cast("double")).alias("fpr"),
+                     F.try_divide(F.col("tps").cast("double"), F.col("n_pos").cast("double")).alias("tpr"))
+    origin = t.select(*groups).distinct().select(*groups, F.lit(float("inf")).alias("threshold"),
                                                  F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
-    return pts.unionByName(origin)
+    return out.unionByName(origin)
 
 
 def error_group(y_true="y_true", y_pred="y_pred") -> Column:

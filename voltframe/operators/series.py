@@ -57,7 +57,7 @@ def add_row_index(df: DataFrame, order: str = "ts", keys: Sequence[str] = (), id
 def ordered(df: DataFrame, build: Callable[[WindowSpec], dict], order: str = "ts",
             keys: Sequence[str] = (), reach: int = 24, layout: str = "halo",
             block_rows: int = DEFAULT_BLOCK_ROWS, idx: str | None = None,
-            keep_idx: bool = False) -> DataFrame:
+            keep_idx: bool = False, index_block_width: float = DEFAULT_INDEX_BLOCK_SECONDS) -> DataFrame:
     """Add the columns of ``build(w)``; ``w`` is ordered by row position.
 
     ``reach`` must cover the farthest row any expression looks at.
@@ -70,7 +70,7 @@ def ordered(df: DataFrame, build: Callable[[WindowSpec], dict], order: str = "ts
         raise ValueError(f"unknown layout {layout!r}")
     drop_idx = False
     if idx is None:
-        df = add_row_index(df, order, keys, idx="_idx")
+        df = add_row_index(df, order, keys, idx="_idx", block_width=index_block_width)
         idx, drop_idx = "_idx", not keep_idx
     b = max(int(block_rows), int(reach), 1)
     own = F.floor(F.col(idx) / F.lit(b))

@@ -113,18 +113,20 @@ def roc_auc_ap(spark, sf_dir):
     return r.withColumns({"roc_auc": r6("roc_auc"), "average_precision": r6("average_precision")})
 
 
-@register("roc_curve", S.with_h("""
-SELECT model, threshold, fpr, tpr FROM (
-  SELECT model, y_prob AS threshold,
-         (round(CAST(sum(1 - y_true) OVER w AS DOUBLE) / sum(1 - y_true) OVER (PARTITION BY model), 6) + 0.0) AS fpr,
-         (round(CAST(sum(y_true) OVER w AS DOUBLE) / sum(y_true) OVER (PARTITION BY model), 6) + 0.0) AS tpr,
-         row_number() OVER (PARTITION BY model, y_prob) AS rn
-  FROM p WHERE split = 'test'
-  WINDOW w AS (PARTITION BY model ORDER BY y_prob DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-WHERE rn = 1
-UNION ALL SELECT DISTINCT model, NULL, 0.0, 0.0 FROM p WHERE split = 'test'""", extra=PRED))
+@register("roc_curve", S.with_h(f"""
+SELECT model, score AS threshold, {S.r6('CAST(fps AS DOUBLE) / NULLIF(nn, 0)')} AS fpr,
+       {S.r6('CAST(tps AS DOUBLE) / NULLIF(np, 0)')} AS tpr
+FROM d WHERE fp_hi IS NULL OR fp_lo IS NULL OR fp_hi - 2 * fps + fp_lo <> 0 OR tp_hi - 2 * tps + tp_lo <> 0
+UNION ALL SELECT DISTINCT model, CAST('inf' AS DOUBLE), 0.0, 0.0 FROM p WHERE split = 'test'""", extra=PRED + """,
+s0 AS (SELECT model, y_prob AS score, sum(y_true) AS pos, sum(1 - y_true) AS neg FROM p
+       WHERE split = 'test' AND y_prob IS NOT NULL GROUP BY 1, 2),
+c0 AS (SELECT *, sum(pos) OVER (PARTITION BY model ORDER BY score DESC) AS tps,
+              sum(neg) OVER (PARTITION BY model ORDER BY score DESC) AS fps,
+              sum(pos) OVER (PARTITION BY model) AS np, sum(neg) OVER (PARTITION BY model) AS nn FROM s0),
+d AS (SELECT *, LAG(fps) OVER w AS fp_hi, LEAD(fps) OVER w AS fp_lo, LAG(tps) OVER w AS tp_hi,
+             LEAD(tps) OVER w AS tp_lo FROM c0 WINDOW w AS (PARTITION BY model ORDER BY score DESC))"""))
 def roc_curve(spark, sf_dir):
-    """ROC points per distinct score on test, plus the origin."""
+    """ROC points on test (collinear points dropped), plus the origin at +inf."""
     r = E.roc_curve(predictions(spark, sf_dir).filter(F.col("split") == "test"), ["model"])
     return r.withColumns({"fpr": r6("fpr"), "tpr": r6("tpr")})
 
