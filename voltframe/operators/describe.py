@@ -19,7 +19,7 @@ from . import series
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], groups: Sequence[str] = (),
-                    block_width: float = 1.0, approx: bool = False, names=None) -> DataFrame:
+                    block_width: float | None = None, approx: bool = False, names=None) -> DataFrame:
     """Linear-interpolation quantiles (pandas/numpy default) per group.
 
     Output: ``groups`` + one column per prob (``q_<p>`` or ``names``).
@@ -33,7 +33,11 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], groups: S
         return out.select(*groups, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
     freq = (df.filter(v.isNotNull()).groupBy(*groups, v.alias("_v"))
               .agg(F.count(F.lit(1)).alias("_n")))
-    cum = series.prefix_sums(freq, ["_n"], "_v", groups, block=F.floor(F.col("_v") / F.lit(block_width)))
+    if block_width:
+        freq = freq.withColumn("_vblk", F.floor(F.col("_v") / F.lit(block_width)))
+    else:
+        freq = series.with_value_blocks(freq, "_v")          # ~equal distinct values per block
+    cum = series.prefix_sums(freq, ["_n"], "_v", groups, block=F.col("_vblk")).drop("_vblk")
     totals = freq.groupBy(*groups).agg(F.sum("_n").alias("_total"))
     t = series.attach_totals(cum, totals, groups).withColumn("_prev", F.col("_n_cum") - F.col("_n"))
     aggs = []
@@ -103,7 +107,7 @@ def histogram(df: DataFrame, value: str, bins: int, clip_upper: float | None = N
                       F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"))
 
 
-def box_stats(df: DataFrame, value: str, group: str, block_width: float = 1.0) -> DataFrame:
+def box_stats(df: DataFrame, value: str, group: str, block_width: float | None = None) -> DataFrame:
     """Quartiles, 1.5 IQR fences, whiskers at the extreme values inside them."""
     q = exact_quantiles(df, value, [0.25, 0.5, 0.75], [group], block_width, names=["q1", "median", "q3"])
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
@@ -149,7 +153,7 @@ def month_spine(df: DataFrame, ts: str = "ts") -> DataFrame:
 
 
 def monthly_resample(df: DataFrame, median_of: str, mean_of: Sequence[str], ts: str = "ts",
-                     block_width: float = 1.0) -> DataFrame:
+                     block_width: float | None = None) -> DataFrame:
     """A15 (T27): monthly median / means; months without rows appear with NULLs."""
     m = df.withColumn("month", F.date_trunc("month", F.col(ts)).cast("timestamp_ntz"))
     med = exact_quantiles(m, median_of, [0.5], ["month"], block_width, names=[f"median_{median_of}"])
@@ -161,7 +165,7 @@ def monthly_resample(df: DataFrame, median_of: str, mean_of: Sequence[str], ts:
                       F.coalesce(F.col("rows"), F.lit(0)).alias("rows"))
 
 
-def describe(df: DataFrame, value: str, percentiles: Sequence[float], block_width: float = 1.0) -> DataFrame:
+def describe(df: DataFrame, value: str, percentiles: Sequence[float], block_width: float | None = None) -> DataFrame:
     """Count, mean, std (ddof 1), min, chosen percentiles, max, long form."""
     v = F.col(value).cast("double")
     base = df.agg(F.count(v).cast("double").alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),

@@ -94,8 +94,8 @@ def score_table(preds: DataFrame, groups: Sequence[str], score: str = "y_prob",
     d = preds.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
     by_score = d.groupBy(*groups, F.col(score).cast("double").alias("score")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"), F.sum((1 - F.col(label)).cast("long")).alias("neg"))
-    blk = F.floor(F.col("score") * F.lit(SCORE_BLOCKS))
-    cum = series.prefix_sums(by_score, ["pos", "neg"], "score", groups, block=blk)
+    by_score = series.with_value_blocks(by_score, "score")     # ~equal distinct scores per block
+    cum = series.prefix_sums(by_score, ["pos", "neg"], "score", groups, block=F.col("_vblk")).drop("_vblk")
     totals = by_score.groupBy(*groups).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
     return series.attach_totals(cum, totals, groups)
 

@@ -174,6 +174,28 @@ def attach_totals(df: DataFrame, totals: DataFrame, keys: Sequence[str]) -> Data
     return df.withColumn("_tot", packed).select(*df.columns, *[F.col(f"_tot.{c}").alias(c) for c in cols])
 
 
+def with_value_blocks(df: DataFrame, value: str, out: str = "_vblk", n_blocks: int = 256) -> DataFrame:
+    """Add ``out``: block number of ``value`` such that blocks hold about equally many rows.
+
+    ~``n_blocks`` approximate quantiles of the column come from one small
+    aggregate (at most ``n_blocks`` numbers reach the driver); rows are then
+    assigned by ``Bucketizer`` (a JVM binary search).  Used to cut prefix-sum
+    inputs into ranges whose size depends neither on the value range nor on
+    where the values concentrate.
+    """
+    from pyspark.ml.feature import Bucketizer
+
+    probs = [i / n_blocks for i in range(1, n_blocks)]
+    row = df.agg(F.percentile_approx(F.col(value).cast("double"), probs, 10000).alias("q")).first()
+    cuts = sorted(set(float(x) for x in (row["q"] or []) if x is not None))
+    splits = [float("-inf"), *cuts, float("inf")]
+    if len(splits) < 3:
+        splits = [float("-inf"), 0.0, float("inf")]
+    d = df.withColumn("_vb_in", F.col(value).cast("double"))
+    d = Bucketizer(splits=splits, inputCol="_vb_in", outputCol=out, handleInvalid="keep").transform(d)
+    return d.withColumn(out, F.col(out).cast("long")).drop("_vb_in")
+
+
 # --- gaps, folds, tails ---------------------------------------------------------------
 
 def axis_gaps(df: DataFrame, order: str = "ts", keys: Sequence[str] = (), step_seconds: int = 3600,

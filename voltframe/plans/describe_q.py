@@ -179,7 +179,7 @@ SELECT sp.month, {S.r6('med')} AS median_price, {S.r6('ml')} AS mean_load, COALE
 FROM sp LEFT JOIN a ON sp.month = a.month""")
 def monthly_resample(spark, sf_dir):
     """A15 (T27): monthly median price and mean load; empty months kept."""
-    return D.monthly_resample(daily_system(spark, sf_dir), "price", ["load"], block_width=1000.0)
+    return D.monthly_resample(daily_system(spark, sf_dir), "price", ["load"])
 
 
 _CORR = ("price", "load", "total_generation", "total_capability", "gas_total", "wind_total", "solar_total",
