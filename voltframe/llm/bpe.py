@@ -21,6 +21,7 @@ import heapq
 import json
 import os
 import re
+import struct
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 
@@ -31,12 +32,16 @@ from pyspark.sql import DataFrame
 
 #: largest model file that is broadcast
 MAX_MODEL_BYTES = 64 << 20
-#: runs that a worker remembers, and the longest of them in bytes
-MEMORY, RUN_BYTES = 1 << 18, 64
+#: runs (and words) that a worker remembers, and the longest of them
+MEMORY, KEY_LENGTH = 1 << 17, 64
 #: bytes of output gathered before a batch is handed on
 FLUSH_BYTES = 8 << 20
 
 
+#: stands where a symbol has been merged away
+DEAD = (1 << 32) - 1
+
+
 def byte_symbols() -> list[str]:
     """The printable stand-in of each byte: visible Latin-1 characters stand for
     themselves, the other bytes for the code points from 256 on."""
@@ -56,17 +61,21 @@ def newer_characters() -> Callable[[str], bool]:
 
 
 class Known(dict):
-    """Ids of runs that a worker has met, up to ``MEMORY`` runs."""
+    """Results that a worker remembers: ``MEMORY`` fresh ones, and as many of the
+    generation before, from which a result that is asked for again comes back."""
 
-    def __init__(self, packed: Callable[[bytes], bytes]):
-        self.packed = packed
+    def __init__(self, find: Callable):
+        self.find, self.old = find, {}
 
-    def __missing__(self, run: bytes) -> bytes:
-        out = self.packed(run)
-        if len(run) <= RUN_BYTES:
+    def __missing__(self, key):
+        out = self.old.get(key)
+        if out is None:
+            out = self.find(key)
+        if len(key) <= KEY_LENGTH:
             if len(self) >= MEMORY:
+                self.old = dict(self)
                 self.clear()
-            self[run] = out
+            self[key] = out
         return out
 
 
@@ -82,10 +91,10 @@ class BpeModel:
         self.names = [""] * (max([*vocab.values(), *special.values()]) + 1)
         for name, i in [*vocab.items(), *special.items()]:
             self.names[i] = name
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self.merges: dict[int, tuple[int, int]] = {}        # left id * 2^32 + right id: rank, new id
         for rank, pair in enumerate(model["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.merges.setdefault((vocab[a], vocab[b]), (rank, vocab[a + b]))
+            self.merges.setdefault(vocab[a] << 32 | vocab[b], (rank, vocab[a + b]))
         symbols = byte_symbols()
         self.inner = [vocab[s] for s in symbols]
         self.final = [vocab[s + self.suffix] for s in symbols]
@@ -94,7 +103,7 @@ class BpeModel:
         self.special = {k: np.uint32(v).astype("<u4").tobytes() for k, v in special.items()}
         by_length = sorted(special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, by_length)) + ")").split if special else lambda t: [t]
-        self.known = Known(self.packed)
+        self.known, self.word_ids = Known(self.packed), Known(self.merge)
         self.lib = None
         self.raw, self.byte_of, self.newer = raw, {s: b for b, s in enumerate(symbols)}, newer_characters()
 
@@ -109,31 +118,32 @@ class BpeModel:
         found = lib.pre_tokenizer.pre_tokenize_str(lib.normalizer.normalize_str(part))
         return [bytes(self.byte_of[c] for c in w).decode() for w, _ in found]
 
-    def merge(self, word: str) -> list[int]:
-        """Ids of one word: always the merge of lowest rank, leftmost first."""
+    def merge(self, word: str) -> bytes:
+        """Ids of one word: always the merge of lowest rank, leftmost first.  A queue
+        entry is rank * 2^32 + position; it is stale if the pair that now stands at
+        the position has another rank (each pair has a rank of its own)."""
         raw = word.encode()
         ids = [self.inner[b] for b in raw]
         ids[-1] = self.final[raw[-1]]
-        n, merges = len(ids), self.merges
+        n, merges = len(ids), self.merges.get
         after, before = [*range(1, n), -1], list(range(-1, n - 1))
-        queue = [(*m, at) for at in range(n - 1) if (m := merges.get((ids[at], ids[at + 1])))]
-        queue = [(rank, at, new, ids[at], ids[at + 1]) for rank, new, at in queue]
+        queue = [m[0] << 32 | at for at, (a, b) in enumerate(zip(ids, ids[1:])) if (m := merges(a << 32 | b))]
         heapq.heapify(queue)
         while queue:
-            _, at, new, left, right = heapq.heappop(queue)
+            entry = heapq.heappop(queue)
+            at = entry & 0xFFFFFFFF
             nxt = after[at]
-            if ids[at] != left or nxt < 0 or ids[nxt] != right:
+            if nxt < 0 or (m := merges(ids[at] << 32 | ids[nxt])) is None or m[0] != entry >> 32:
                 continue                                    # stale
-            ids[at], ids[nxt] = new, -1
-            after[at] = far = after[nxt]
+            new, far = m[1], after[nxt]
+            ids[at], ids[nxt], after[at], after[nxt] = new, DEAD, far, -1
             if far >= 0:
                 before[far] = at
-                if m := merges.get((new, ids[far])):
-                    heapq.heappush(queue, (m[0], at, m[1], new, ids[far]))
-            back = before[at]
-            if back >= 0 and (m := merges.get((ids[back], new))):
-                heapq.heappush(queue, (m[0], back, m[1], ids[back], new))
-        return [i for i in ids if i >= 0]
+                if m := merges(new << 32 | ids[far]):
+                    heapq.heappush(queue, m[0] << 32 | at)
+            if (back := before[at]) >= 0 and (m := merges(ids[back] << 32 | new)):
+                heapq.heappush(queue, m[0] << 32 | back)
+        return struct.pack(f"<{n - ids.count(DEAD)}I", *[i for i in ids if i != DEAD])
 
     def packed(self, run: bytes) -> bytes:
         """Ids of a run without ASCII white space.  No word spans white space, which
@@ -144,7 +154,7 @@ class BpeModel:
             words = self.newer_words(text)
         else:
             words = self.words(lower(unicodedata.normalize("NFC", text)))
-        return np.array([i for w in words for i in self.merge(w)], "<u4").tobytes()
+        return b"".join(map(self.word_ids.__getitem__, words))
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""

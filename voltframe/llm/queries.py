@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common
+from . import bpe, common, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,3 +38,49 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+SQL_QUALITY = r"""
+WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t,
+             list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+ win AS (SELECT doc_id, i, w[i:i+4] AS five FROM d, unnest(generate_series(1, len(w) - 4)) AS g(i)),
+ twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, five) AS c FROM win) WHERE c > 1),
+ rep AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, unnest([0, 1, 2, 3, 4]) AS o(k) GROUP BY doc_id),
+ m AS (SELECT d.doc_id, lang, source, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+         coalesce(rep.n, 0) AS n_repeat_words,
+         len(list_filter(list_zip(w, w[2:]), lambda p: p[1] = p[2])) AS n_stutters
+       FROM d LEFT JOIN rep USING (doc_id)),
+ f AS (SELECT *, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+         n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m),
+ r AS (SELECT *, least(20000, 10000 * n_symbols // greatest(word_chars, 1)) AS symbol_rate,
+         least(20000, 10000 * n_dup_lines // greatest(len(lines), 1)) AS dup_line_rate,
+         least(20000, 10000 * n_repeat_words // greatest(n_words, 1)) AS repeat_rate,
+         least(20000, 10000 * n_stutters // greatest(n_words, 1)) AS stutter_rate,
+         least(20000, 100 * word_chars // greatest(n_words, 1)) AS word_length FROM f),
+ lv AS (SELECT 2 AS lvl, lang AS gl, source AS gs, * FROM r WHERE NOT base_failed
+        UNION ALL SELECT 1, lang, NULL, * FROM r WHERE NOT base_failed
+        UNION ALL SELECT 0, NULL, NULL, * FROM r WHERE NOT base_failed),
+ q AS (SELECT lvl, gl, gs, count(*) AS docs, {quartiles} FROM lv GROUP BY lvl, gl, gs),
+ j AS (SELECT r.*, coalesce(a.docs, 0) >= 100 AS own, coalesce(b.docs, 0) >= 100 AS mid, {picked}
+       FROM r LEFT JOIN q a ON a.lvl = 2 AND a.gl IS NOT DISTINCT FROM r.lang AND a.gs IS NOT DISTINCT FROM r.source
+              LEFT JOIN q b ON b.lvl = 1 AND b.gl IS NOT DISTINCT FROM r.lang
+              LEFT JOIN q c ON c.lvl = 0)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+       CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+       NOT base_failed AND coalesce({passes}, false) AS kept
+FROM j
+""".format(
+    quartiles=", ".join(f"quantile_disc({r}, 0.25) AS {r}_1, quantile_disc({r}, 0.75) AS {r}_3" for r in quality.RATES),
+    picked=", ".join(f"CASE WHEN coalesce(a.docs, 0) >= 100 THEN a.{r}_{k} WHEN coalesce(b.docs, 0) >= 100 THEN b.{r}_{k} ELSE c.{r}_{k} END AS {r}_{k}" for r in quality.RATES for k in (1, 3)),
+    passes=" AND ".join([f"{r} <= {r}_3 + 3 * ({r}_3 - {r}_1) + {high}" for r, (_, high) in quality.RATES.items()]
+                        + [f"{r} >= {r}_1 - 3 * ({r}_3 - {r}_1) - {low}" for r, (low, _) in quality.RATES.items() if low is not None]),
+)
+
+
+@register("op8_quality_rules", SQL_QUALITY)
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict of every document."""
+    return quality.judge(common.documents(spark, sf_dir).select("doc_id", "lang", "source", "text")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
