@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, quality
+from . import bpe, common, lines, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -84,3 +84,28 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of every document."""
     return quality.judge(common.documents(spark, sf_dir).select("doc_id", "lang", "source", "text")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+SQL_LINES = r"""
+WITH d AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS l FROM documents),
+ p AS (SELECT source, count(*) AS total FROM documents GROUP BY source),
+ x AS (SELECT DISTINCT doc_id, source, trim(u, chr(32) || chr(9) || chr(11) || chr(12) || chr(13)) AS k FROM d, unnest(l) AS t(u)),
+ b AS (SELECT x.source, k FROM x JOIN p ON x.source IS NOT DISTINCT FROM p.source WHERE k <> ''
+       GROUP BY x.source, k HAVING count(*) >= 10 AND 100 * count(*) > 10 * any_value(total)),
+ y AS (SELECT doc_id, source, i, l[i] AS u, trim(l[i], chr(32) || chr(9) || chr(11) || chr(12) || chr(13)) AS k
+       FROM d, unnest(generate_series(1, len(l))) AS g(i)),
+ z AS (SELECT y.*, b.k IS NOT NULL AS hit FROM y LEFT JOIN b ON y.source IS NOT DISTINCT FROM b.source AND y.k = b.k),
+ s AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (hit) AS n_dropped,
+         coalesce(string_agg(u, chr(10) ORDER BY i) FILTER (NOT hit), '') AS kept FROM z GROUP BY doc_id)
+SELECT documents.doc_id, documents.source, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_dropped, 0)::BIGINT AS n_dropped,
+       sha256(kept) AS kept_sha256
+FROM documents LEFT JOIN s USING (doc_id)
+"""
+
+
+@register("op2_line_dedup", SQL_LINES)
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the boilerplate lines of its source."""
+    docs = common.documents(spark, sf_dir).select("doc_id", "source", "text")
+    out = lines.drop_boilerplate(docs, counts=("n_lines", "n_dropped"))
+    return out.select("doc_id", "source", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
