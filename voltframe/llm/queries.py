@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, lines, quality
+from . import bpe, common, lines, quality, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -109,3 +109,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.documents(spark, sf_dir).select("doc_id", "source", "text")
     out = lines.drop_boilerplate(docs, counts=("n_lines", "n_dropped"))
     return out.select("doc_id", "source", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@register("op7_substring_dedup")
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 20-word windows that start earlier elsewhere."""
+    out = substrings.remove_repeats(common.documents(spark, sf_dir))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
