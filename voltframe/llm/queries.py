@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, lines, quality, substrings
+from . import bpe, common, lines, minhash, quality, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -116,3 +116,9 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the 20-word windows that start earlier elsewhere."""
     out = substrings.remove_repeats(common.documents(spark, sf_dir))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@register("op6_minhash")
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return minhash.near_groups(common.documents(spark, sf_dir))
