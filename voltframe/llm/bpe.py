@@ -23,7 +23,7 @@ import os
 import re
 import struct
 import unicodedata
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +32,8 @@ from pyspark.sql import DataFrame
 
 #: largest model file that is broadcast
 MAX_MODEL_BYTES = 64 << 20
-#: runs (and words) that a worker remembers, and the longest of them
-MEMORY, KEY_LENGTH = 1 << 17, 64
+#: runs and words that a worker remembers, and the longest of them
+RUN_MEMORY, WORD_MEMORY, KEY_LENGTH = 1 << 17, 1 << 19, 48
 #: bytes of output gathered before a batch is handed on
 FLUSH_BYTES = 8 << 20
 
@@ -61,18 +61,18 @@ def newer_characters() -> Callable[[str], bool]:
 
 
 class Known(dict):
-    """Results that a worker remembers: ``MEMORY`` fresh ones, and as many of the
+    """Results that a worker remembers: ``most`` fresh ones, and as many of the
     generation before, from which a result that is asked for again comes back."""
 
-    def __init__(self, find: Callable):
-        self.find, self.old = find, {}
+    def __init__(self, find: Callable, most: int):
+        self.find, self.most, self.old = find, most, {}
 
     def __missing__(self, key):
         out = self.old.get(key)
         if out is None:
             out = self.find(key)
         if len(key) <= KEY_LENGTH:
-            if len(self) >= MEMORY:
+            if len(self) >= self.most:
                 self.old = dict(self)
                 self.clear()
             self[key] = out
@@ -91,6 +91,7 @@ class BpeModel:
         self.names = [""] * (max([*vocab.values(), *special.values()]) + 1)
         for name, i in [*vocab.items(), *special.items()]:
             self.names[i] = name
+        self.names = np.array(self.names, object)
         self.merges: dict[int, tuple[int, int]] = {}        # left id * 2^32 + right id: rank, new id
         for rank, pair in enumerate(model["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
@@ -103,7 +104,7 @@ class BpeModel:
         self.special = {k: np.uint32(v).astype("<u4").tobytes() for k, v in special.items()}
         by_length = sorted(special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, by_length)) + ")").split if special else lambda t: [t]
-        self.known, self.word_ids = Known(self.packed), Known(self.merge)
+        self.known, self.word_ids = Known(self.packed, RUN_MEMORY), Known(self.merge, WORD_MEMORY)
         self.lib = None
         self.raw, self.byte_of, self.newer = raw, {s: b for b, s in enumerate(symbols)}, newer_characters()
 
@@ -149,8 +150,12 @@ class BpeModel:
         """Ids of a run without ASCII white space.  No word spans white space, which
         neither composes with its neighbours nor changes their case, so each run
         is normalised and cut by itself."""
+        if run.isalpha():                                   # ASCII letters only
+            return self.word_ids[run.decode().lower()]
         text = run.decode()
-        if self.newer(text):
+        if run.isascii():
+            words = self.words(text.lower())
+        elif self.newer(text):
             words = self.newer_words(text)
         else:
             words = self.words(lower(unicodedata.normalize("NFC", text)))
@@ -166,9 +171,9 @@ class BpeModel:
             out += [self.special[part]] if k % 2 else map(known, part.encode().split())
         return b"".join(out)
 
-    def decode(self, ids: Iterable[int]) -> str:
+    def decode(self, ids: np.ndarray) -> str:
         """Vocabulary strings, joined by a space as where a file names no decoder."""
-        return " ".join(map(self.names.__getitem__, ids))
+        return " ".join(self.names[ids].tolist())
 
 
 def lower(text: str) -> str:
@@ -203,7 +208,7 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
             start, ids, decoded, held = 0, [], [], 0
             for k, text in enumerate(batch.column(1)):
                 ids.append(packed := model.encode(text.as_py() or ""))
-                decoded.append(model.decode(np.frombuffer(packed, "<u4").tolist()))
+                decoded.append(model.decode(np.frombuffer(packed, "<u4")))
                 held += len(packed) + len(decoded[-1])
                 if held > FLUSH_BYTES or k + 1 == batch.num_rows:
                     yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, k + 1 - start), pa.array(ids, pa.binary()), pa.array(decoded, pa.string())], ["id", "ids", "decoded"])
