@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, decontam, lines, minhash, quality, substrings
+from . import bpe, common, decontam, lines, minhash, quality, sharding, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -128,3 +128,16 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item that it contains, with the alignment."""
     return decontam.find_leaks(common.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+SHARDS = 24
+DIMENSIONS = ["source", "lang", "n_chars", "doc_id"]
+
+
+@register("op5_hilbert_shards")
+def op5_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard and slot along the Hilbert curve of its metadata."""
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    docs = common.documents(spark, sf_dir).select("doc_id", "lang", "source", "n_chars", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+    out = sharding.shard(docs, DIMENSIONS, SHARDS, ["doc_id", "size", "text_crc32", "lang", "source", "n_chars"])
+    return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
