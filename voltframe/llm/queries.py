@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import bpe, common, decontam, lines, minhash, quality, sharding, substrings
+from . import bpe, chat, common, decontam, lines, minhash, quality, sharding, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -141,3 +141,42 @@ def op5_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.documents(spark, sf_dir).select("doc_id", "lang", "source", "n_chars", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
     out = sharding.shard(docs, DIMENSIONS, SHARDS, ["doc_id", "size", "text_crc32", "lang", "source", "n_chars"])
     return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+SQL_CHAT = r"""
+WITH m AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+ e AS (SELECT *, regexp_replace(role, '([<\[])(\\*)(/?(?:s>|INST\]|\|[A-Za-z0-9_]{1,32}\|>))', '\1\\\2\3', 'g') AS er,
+         regexp_replace(text, '([<\[])(\\*)(/?(?:s>|INST\]|\|[A-Za-z0-9_]{1,32}\|>))', '\1\\\2\3', 'g') AS et FROM m),
+ g AS (SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+         coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+         sum(length(er) + length(et) + 23) AS formatted_chars FROM e GROUP BY conv_id)
+SELECT conv_id, n_turns::BIGINT AS n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS loss_chars,
+       sha256(loss) AS loss_sha256, formatted_chars::BIGINT AS formatted_chars FROM g
+"""
+
+
+def conversation_trees(rows: DataFrame) -> DataFrame:
+    """Conversations as reply trees: each turn replies to the one before it."""
+    at = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text")).cast("long")
+    return (rows.select(F.col("conv_id").alias("tree"), at.alias("node"), "role", "text", F.lit(0.0).alias("score"))
+            .withColumn("parent", F.when(F.col("node") > 1, F.col("node") - 1)))
+
+
+@register("op3_chat_format", SQL_CHAT)
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted, and digests of what is read back."""
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    own = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL_TEXT).alias("text"))
+    done = chat.format_trees(conversation_trees(rows.union(own)))
+    back = done.select(F.col("tree").alias("conv_id"), "formatted", chat.read_turns(F.col("formatted")).alias("turns"),
+                       F.array_join(chat.read_loss(F.col("formatted"), F.col("loss_spans")), "").alias("loss"))
+    said = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said.cast("binary"), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"), F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
