@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import bpe, chat, common, decontam, lines, minhash, quality, sharding, substrings
+from . import bpe, chat, common, decontam, lines, minhash, quality, sharding, substrings, toxicity, unigram
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -180,3 +180,18 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said.cast("binary"), 256).alias("turns_sha256"),
         F.length("loss").cast("long").alias("loss_chars"), F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+@register("op4_token_counts")
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document under the unigram model of the piece vocabulary."""
+    import public_tokenizers
+
+    return unigram.count_tokens(common.documents(spark, sf_dir), unigram.read_pieces(public_tokenizers.path("piece_bpe_32k.model")))
+
+
+@register("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Severity of every document, by a model of the labelled ones."""
+    out = toxicity.score_toxicity(common.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return out.select("doc_id", "score", F.get("p_above", F.lit(0)).alias("p_toxic"), F.get("p_above", F.lit(1)).alias("p_severe"), "severity", "grade", "toxic")
