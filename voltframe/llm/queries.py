@@ -195,3 +195,11 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Severity of every document, by a model of the labelled ones."""
     out = toxicity.score_toxicity(common.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return out.select("doc_id", "score", F.get("p_above", F.lit(0)).alias("p_toxic"), F.get("p_above", F.lit(1)).alias("p_severe"), "severity", "grade", "toxic")
+
+
+@register("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline over all documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
