@@ -98,7 +98,7 @@ WITH d AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS l FROM do
  s AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (hit) AS n_dropped,
          coalesce(string_agg(u, chr(10) ORDER BY i) FILTER (NOT hit), '') AS kept FROM z GROUP BY doc_id)
 SELECT documents.doc_id, documents.source, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_dropped, 0)::BIGINT AS n_dropped,
-       sha256(kept) AS kept_sha256
+       sha256(s.kept) AS kept_sha256
 FROM documents LEFT JOIN s USING (doc_id)
 """
 
