@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import math
-from functools import reduce
-from operator import or_
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -95,37 +94,31 @@ def one_hot(parts: dict | None = None) -> dict:
     return out
 
 
-MAX_INLINE_RANGES = 64
+#: days of a calendar that are broadcast at most (the list comes from the caller, so its size is known)
+MAX_BROADCAST_DAYS = 100_000
 
 
 def event_flag(df: DataFrame, ranges, ts: str = "ts", name: str = "is_event",
                end: str = "midnight") -> DataFrame:
-    """1 when ``ts`` lies in any inclusive [start, end] date range.
+    """1 when ``ts`` lies in any inclusive [start, end] date range, else 0.
 
     ``end='midnight'`` reproduces ``between('start', 'end')`` on timestamps: the
     last day counts only for its 00:00 row; ``'whole_day'`` includes it fully.
-    A literal list stays a column expression; a long calendar becomes a
-    broadcast range join whose size is the (known) length of the list.
+    The ranges are laid out as days, so the range join is an equi-join on the day
+    whatever the length of the calendar.  A NULL ``ts`` lies in no range: 0.
     """
-    ranges = list(ranges)
-
-    def bounds(s, e):
-        lo = F.to_timestamp_ntz(F.lit(s))
-        hi = F.to_timestamp_ntz(F.lit(e))
-        if end == "whole_day":
-            return (F.col(ts) >= lo) & (F.col(ts) < hi + F.expr("INTERVAL 1 DAY"))
-        return (F.col(ts) >= lo) & (F.col(ts) <= hi)
-
-    if not ranges:
+    whole: dict[date, bool] = {}
+    for s, e in ranges:
+        first, last = date.fromisoformat(str(s)[:10]), date.fromisoformat(str(e)[:10])
+        for k in range((last - first).days + 1):
+            day = first + timedelta(days=k)
+            whole[day] = whole.get(day, False) or end == "whole_day" or day < last
+    if not whole:
         return df.withColumn(name, F.lit(0))
-    if len(ranges) <= MAX_INLINE_RANGES:
-        return df.withColumn(name, reduce(or_, [bounds(s, e) for s, e in ranges]).cast("int"))
-    spark = df.sparkSession
-    cal = spark.createDataFrame(ranges, "s string, e string").select(
-        F.to_timestamp_ntz("s").alias("_s"), F.to_timestamp_ntz("e").alias("_e"))
-    if end == "whole_day":
-        cal = cal.withColumn("_e", F.col("_e") + F.expr("INTERVAL 1 DAY") - F.expr("INTERVAL 1 MICROSECOND"))
-    hit = (df.select(ts).distinct()
-             .join(F.broadcast(cal), (F.col(ts) >= F.col("_s")) & (F.col(ts) <= F.col("_e")), "left_semi")
-             .withColumn(name, F.lit(1)))
-    return df.join(hit, ts, "left").withColumn(name, F.coalesce(F.col(name), F.lit(0)))
+    days = df.sparkSession.createDataFrame(sorted(whole.items()), "_day date, _whole boolean")
+    if len(whole) <= MAX_BROADCAST_DAYS:
+        days = F.broadcast(days)
+    stamp = F.col(ts).cast("timestamp_ntz")
+    inside = F.col("_whole") | (stamp == F.date_trunc("day", stamp).cast("timestamp_ntz"))
+    return (df.join(days, F.to_date(stamp) == F.col("_day"), "left")
+              .withColumn(name, F.coalesce(inside, F.lit(False)).cast("int")).drop("_day", "_whole"))

@@ -48,9 +48,9 @@ def nearest_point(df: DataFrame, group: Sequence[str], lat: str, lon: str, targe
 def parse_inventory(lines: DataFrame, file_col: str = "file") -> DataFrame:
     """``n:offset:d=date:var:level:...`` -> (file, n, var, level, start, end).
 
-    end = next line's offset - 1 within the file (NULL for the last line).  The
-    line number is a dense position, so the lead runs as a halo window on it:
-    a very long inventory is split into bounded blocks.
+    end = offset of the next line of the file - 1, whatever its number (NULL for
+    the last line).  Lines are indexed by offset, and the lead runs as a halo
+    window on that index: a very long inventory is split into bounded blocks.
     """
     from . import series
     parts = F.split(F.col("value"), ":")
@@ -59,16 +59,16 @@ def parse_inventory(lines: DataFrame, file_col: str = "file") -> DataFrame:
                      F.trim(parts.getItem(4)).alias("level"))
 
     def build(w):
-        nxt_ok = F.lead("n", 1).over(w) == F.col("n") + 1
-        return {"end": F.when(nxt_ok, F.lead("start", 1).over(w) - 1)}
+        return {"end": F.lead("start", 1).over(w) - 1}
 
-    return series.ordered(d, build, order="n", keys=[file_col], reach=1, idx="n", block_rows=1 << 16)
+    return series.ordered(d, build, order="start", keys=[file_col], reach=1, block_rows=1 << 16, index_block_width=1 << 28)
 
 
 def resume_backfill(requested: DataFrame, existing: DataFrame, key: str, compute, max_new: int | None = None,
                     order: Sequence[str] = ()) -> DataFrame:
-    """Pending keys = requested anti existing (capped), computed,
-    appended and deduplicated (existing rows win)."""
+    """Pending keys = requested anti existing, computed, appended
+    and deduplicated (existing rows win).  Only a caller that passes ``max_new``
+    gets a capped run (the first keys); the next run resumes after them."""
     pending = requested.select(key).distinct().join(existing.select(key), key, "left_anti")
     if max_new is not None:
         pending = pending.orderBy(key).limit(max_new)

@@ -103,8 +103,7 @@ def class_weight(df: DataFrame, label: str = "y_true", guard_pos: bool = True, f
 
 
 def sequence_windows(df: DataFrame, features: Sequence[str], length: int, label: str = "y_true",
-                     order: str = "ts", keys: Sequence[str] = (), scope_col: str | None = None,
-                     layout: str = "halo") -> DataFrame:
+                     order: str = "ts", keys: Sequence[str] = (), scope_col: str | None = None) -> DataFrame:
     """Windows of ``length`` rows ending at each row, label of the last row.
 
     ``scope_col`` (e.g. the split) restarts windows inside each scope value
@@ -118,6 +117,6 @@ def sequence_windows(df: DataFrame, features: Sequence[str], length: int, label:
         frame = w.rowsBetween(-(length - 1), 0)
         return {"window": F.collect_list("_vec").over(frame)}
 
-    out = series.ordered(d, build, order=order, keys=keys, reach=length - 1, layout=layout)
+    out = series.ordered(d, build, order=order, keys=keys, reach=length - 1)
     return (out.filter(F.size("window") == length)
                .select(*keys, F.col(order).alias("end_ts"), "window", F.col(label).alias("label")))

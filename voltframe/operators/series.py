@@ -15,8 +15,9 @@ series or one hot key holding a third of all rows.  Two layouts avoid it:
   only rows whose own block is the target are kept.  Duplication is about
   ``1 + 2H/B``.
 
-``layout="partition"`` is the plain ``partitionBy(keys)`` window, for many
-short series only.
+NULLs: a NULL key is a series of its own, and rows with a NULL order value come
+first in their series.  A row whose given index is NULL stays and sees no
+neighbours; negative indexes are positions like any other.
 """
 
 from __future__ import annotations
@@ -38,6 +39,13 @@ def _order_number(df: DataFrame, order: str) -> Column:
     return F.col(order)
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where NULL matches NULL; the keys of ``left`` stay."""
+    right = right.withColumnsRenamed({k: f"_j_{k}" for k in keys})
+    on = [left[k].eqNullSafe(right[f"_j_{k}"]) for k in keys]
+    return left.join(right, on, how).drop(*[f"_j_{k}" for k in keys])
+
+
 def add_row_index(df: DataFrame, order: str = "ts", keys: Sequence[str] = (), idx: str = "idx",
                   tiebreak: Sequence[str] = (), block_width: float = DEFAULT_INDEX_BLOCK_SECONDS) -> DataFrame:
     """0-based row position per series in ``order`` (W10), two-level."""
@@ -49,13 +57,13 @@ def add_row_index(df: DataFrame, order: str = "ts", keys: Sequence[str] = (), id
     counts = local.groupBy(*keys, "_blk").agg(F.count(F.lit(1)).alias("_n"))
     w_off = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, "_blk", F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_off"))
-    return (local.join(offsets, [*keys, "_blk"], "inner")
+    return (null_safe_join(local, offsets, [*keys, "_blk"])
                  .withColumn(idx, (F.col("_off") + F.col("_rn") - 1).cast("long"))
                  .drop("_blk", "_rn", "_off"))
 
 
 def ordered(df: DataFrame, build: Callable[[WindowSpec], dict], order: str = "ts",
-            keys: Sequence[str] = (), reach: int = 24, layout: str = "halo",
+            keys: Sequence[str] = (), reach: int = 24,
             block_rows: int = DEFAULT_BLOCK_ROWS, idx: str | None = None,
             keep_idx: bool = False, index_block_width: float = DEFAULT_INDEX_BLOCK_SECONDS) -> DataFrame:
     """Add the columns of ``build(w)``; ``w`` is ordered by row position.
@@ -63,11 +71,6 @@ def ordered(df: DataFrame, build: Callable[[WindowSpec], dict], order: str = "ts
     ``reach`` must cover the farthest row any expression looks at.
     """
     keys = list(keys)
-    if layout == "partition":
-        w = Window.partitionBy(*keys).orderBy(order)
-        return df.withColumns(build(w))
-    if layout != "halo":
-        raise ValueError(f"unknown layout {layout!r}")
     drop_idx = False
     if idx is None:
         df = add_row_index(df, order, keys, idx="_idx", block_width=index_block_width)
@@ -76,11 +79,11 @@ def ordered(df: DataFrame, build: Callable[[WindowSpec], dict], order: str = "ts
     own = F.floor(F.col(idx) / F.lit(b))
     targets = F.array_distinct(F.array(own, F.floor((F.col(idx) - F.lit(reach)) / F.lit(b)),
                                        F.floor((F.col(idx) + F.lit(reach)) / F.lit(b))))
-    ex = (df.withColumn("_own", own)
-            .withColumn("_tgt", F.explode(targets))
-            .filter(F.col("_tgt") >= 0))
-    w = Window.partitionBy(*keys, "_tgt").orderBy(idx)
-    out = ex.withColumns(build(w)).filter(F.col("_own") == F.col("_tgt")).drop("_own", "_tgt")
+    # a row without a position is alone in its window
+    alone = F.when(F.col(idx).isNull(), F.monotonically_increasing_id())
+    ex = df.withColumns({"_own": own, "_alone": alone}).withColumn("_tgt", F.explode(targets))
+    w = Window.partitionBy(*keys, "_tgt", "_alone").orderBy(idx)
+    out = ex.withColumns(build(w)).filter(F.col("_own").eqNullSafe(F.col("_tgt"))).drop("_own", "_tgt", "_alone")
     if drop_idx:
         out = out.drop(idx)
     elif keep_idx and idx == "_idx":
@@ -153,7 +156,7 @@ def prefix_sums(df: DataFrame, cols: Sequence[str], order: str, keys: Sequence[s
     tot = d.groupBy(*keys, "_pblk").agg(*[F.sum(c).alias(f"_tot_{c}") for c in cols])
     w_blk = Window.partitionBy(*keys).orderBy("_pblk").rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.select(*keys, "_pblk", *[F.coalesce(F.sum(f"_tot_{c}").over(w_blk), F.lit(0)).alias(f"_off_{c}") for c in cols])
-    out = d.join(tot, [*keys, "_pblk"], "inner")
+    out = null_safe_join(d, tot, [*keys, "_pblk"])
     out = out.withColumns({f"{c}{suffix}": F.col(f"_off_{c}") + F.col(f"_loc_{c}") for c in cols})
     return out.drop("_pblk", *[f"_loc_{c}" for c in cols], *[f"_off_{c}" for c in cols])
 
@@ -168,7 +171,7 @@ def attach_totals(df: DataFrame, totals: DataFrame, keys: Sequence[str]) -> Data
     """
     keys = list(keys)
     if keys:
-        return df.join(totals, keys, "inner")
+        return null_safe_join(df, totals, keys)
     cols = totals.columns
     packed = totals.select(F.struct(*cols).alias("_tot")).scalar()
     return df.withColumn("_tot", packed).select(*df.columns, *[F.col(f"_tot.{c}").alias(c) for c in cols])
@@ -198,13 +201,12 @@ def with_value_blocks(df: DataFrame, value: str, out: str = "_vblk", n_blocks: i
 
 # --- gaps, folds, tails ---------------------------------------------------------------
 
-def axis_gaps(df: DataFrame, order: str = "ts", keys: Sequence[str] = (), step_seconds: int = 3600,
-              layout: str = "halo") -> DataFrame:
+def axis_gaps(df: DataFrame, order: str = "ts", keys: Sequence[str] = (), step_seconds: int = 3600) -> DataFrame:
     """Rows whose predecessor is more than one step earlier."""
     sec = F.unix_timestamp(F.col(order).cast("timestamp"))
     d = df.select(*keys, order).withColumn("_sec", sec)
     out = ordered(d, lambda w: {"prev_ts": F.lag(order).over(w), "_prev_sec": F.lag("_sec").over(w)},
-                  order=order, keys=keys, reach=1, layout=layout)
+                  order=order, keys=keys, reach=1)
     return (out.filter(F.col("_sec") - F.col("_prev_sec") > step_seconds)
                .select(*keys, "prev_ts", F.col(order).alias("next_ts"),
                        ((F.col("_sec") - F.col("_prev_sec")) / step_seconds - 1).cast("long").alias("missing_steps")))

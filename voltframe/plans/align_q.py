@@ -135,19 +135,20 @@ def write_inventories(spark, sf_dir) -> str:
     ev = tables.read_table(spark, sf_dir, "events", ["event_id", "ts", "event_type", "user_id"])
     ev = ev.withColumn("day", F.to_date("ts"))
     ev = series.add_row_index(ev, "event_id", keys=["day"], idx="n0", block_width=float(1 << 20))
-    lines = ev.withColumn("n", F.col("n0") + 1).select(
-        "day", F.concat_ws(":", F.col("n").cast("string"), (F.col("n") * 1000).cast("string"),
+    # every other number is missing: an end must come from the next line, not the next number
+    lines = ev.withColumn("n", F.col("n0") * 2 + 1).select(
+        "day", F.concat_ws(":", F.col("n").cast("string"), (F.col("n0") * 1000 + 1000).cast("string"),
                            F.concat(F.lit("d="), F.date_format("day", "yyyyMMdd")), F.col("event_type"),
                            F.concat((F.col("user_id") % 3).cast("string"), F.lit(" m")), F.lit("")).alias("value"))
     path = scratch_path(spark, f"inventory_{_tag(sf_dir)}")
-    lines.repartition("day").write.mode("overwrite").partitionBy("day").text(path)
+    lines.write.mode("overwrite").partitionBy("day").text(path)
     return path
 
 
 @register("inventory_ranges", f"""
 WITH l AS (SELECT CAST(ts AS DATE) AS day, row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY event_id) AS n,
                   event_type AS var, CAST(user_id % 3 AS VARCHAR) || ' m' AS level FROM events),
-r AS (SELECT day, n, strftime(day, '%Y%m%d') AS run, var, level, n * 1000 AS start,
+r AS (SELECT day, 2 * n - 1 AS n, strftime(day, '%Y%m%d') AS run, var, level, n * 1000 AS start,
              LEAD(n * 1000) OVER (PARTITION BY day ORDER BY n) - 1 AS "end" FROM l)
 SELECT day, n, run, var, level, start, "end" FROM r
 WHERE var IN ({", ".join(f"'{v}'" for v in INVENTORY_VARS)}) AND level = '{INVENTORY_LEVEL}'""")
@@ -162,19 +163,16 @@ def inventory_ranges(spark, sf_dir):
 
 # --- resumable backfill ---------------------------------------------------------------------
 
-BACKFILL_CAP = 100
-
-
-@register("backfill_resume", "WITH " + S.d_ctes() + f""",
+@register("backfill_resume", "WITH " + S.d_ctes() + """,
 dd AS (SELECT CAST(ts AS DATE) AS date, price FROM d),
 ex AS (SELECT date, price, 'existing' AS source FROM dd WHERE dayofyear(date) % 2 = 0),
 rq AS (SELECT CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM dd),
-pe AS (SELECT date FROM rq WHERE date NOT IN (SELECT date FROM ex) ORDER BY date LIMIT {BACKFILL_CAP})
+pe AS (SELECT date FROM rq WHERE date NOT IN (SELECT date FROM ex))
 SELECT date, price, source FROM ex
 UNION ALL SELECT pe.date, dd.price, 'backfilled' FROM pe LEFT JOIN dd ON pe.date = dd.date""")
 def backfill_resume(spark, sf_dir):
     """Resume from earlier output: pending dates = requested
-    anti-join existing, capped, computed, appended, deduplicated."""
+    anti-join existing, all of them computed, appended, deduplicated."""
     d = daily_system(spark, sf_dir).select(F.to_date("ts").alias("date"), "price")
     path = scratch_path(spark, f"backfill_{_tag(sf_dir)}")
     (d.filter(F.dayofyear("date") % 2 == 0).withColumn("source", F.lit("existing"))
@@ -186,7 +184,7 @@ def backfill_resume(spark, sf_dir):
     def compute(pending):
         return pending.join(d, "date", "left").withColumn("source", F.lit("backfilled"))
 
-    return A.resume_backfill(requested, existing, "date", compute, max_new=BACKFILL_CAP).select("date", "price", "source")
+    return A.resume_backfill(requested, existing, "date", compute).select("date", "price", "source")
 
 
 @register("dedupe_first", """

@@ -40,7 +40,7 @@ def daily_system(spark: SparkSession, sf_dir: str, materialized: bool = True) ->
 
 def wide_features(spark: SparkSession, sf_dir: str, drop_leap: str = "after",
                   leap_adjust: bool = True, event_ranges=P.HOURLY_EVENT_RANGES,
-                  threshold: float = P.SPIKE_THRESHOLD, layout: str = "halo") -> DataFrame:
+                  threshold: float = P.SPIKE_THRESHOLD) -> DataFrame:
     h = hourly_system(spark, sf_dir)
     if drop_leap == "before":
         h = h.filter(~cal.is_leap_day("ts"))
@@ -53,7 +53,7 @@ def wide_features(spark: SparkSession, sf_dir: str, drop_leap: str = "after",
         series.lags("price", P.PRICE_LAGS, name="price_lag_{k}h"),
         series.shifted_rolling_mean("price", P.ROLLING_WINDOW, "price_rolling_mean_6h"),
     )
-    w = series.ordered(h, build, order="ts", reach=n, layout=layout)
+    w = series.ordered(h, build, order="ts", reach=n)
     w = w.withColumns(cal.calendar_parts("ts"))
     if drop_leap == "after":
         w = w.filter(~cal.is_leap_day("ts"))
@@ -63,11 +63,11 @@ def wide_features(spark: SparkSession, sf_dir: str, drop_leap: str = "after",
     return materialize(w, "wide")
 
 
-def predictions(spark: SparkSession, sf_dir: str, layout: str = "halo") -> DataFrame:
+def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P: two models scored on every hour with a known t+2 outcome."""
     h = hourly_system(spark, sf_dir).select("ts", "price", "load")
     h = h.withColumn("spike", flag_above("price", P.SPIKE_THRESHOLD))
-    h = series.ordered(h, series.leads("spike", [P.HORIZON], name="y_true"), reach=P.HORIZON, layout=layout)
+    h = series.ordered(h, series.leads("spike", [P.HORIZON], name="y_true"), reach=P.HORIZON)
     h = h.filter(F.col("y_true").isNotNull())
     h = assign_split(h, P.HOURLY_SPLITS)
     prob = F.round(F.col("load") / (F.col("load") + F.lit(P.PROB_SCALE)), 2).cast("double")

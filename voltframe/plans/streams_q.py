@@ -41,13 +41,13 @@ def stream_hourly_totals(spark, sf_dir):
 
 @register("stream_dedupe", "SELECT event_id, ts, event_type, value FROM events")
 def stream_dedupe(spark, sf_dir):
-    """ST2 = A30: every row delivered twice (second copy in a later run);
-    dropDuplicatesWithinWatermark keeps each event once."""
+    """ST2 = A30: the later days first, then every row: late rows that are new
+    stay, re-delivered ones go."""
     run_dir = jobs.new_run_dir(spark, "dedupe")
     src = run_dir + "/input"
-    jobs.stage_event_files(spark, sf_dir, src)
+    jobs.stage_event_files(spark, sf_dir, src, day_filter=~first_round())
     jobs.dedupe_stream(spark, src, run_dir)
-    jobs.stage_event_files(spark, sf_dir, src)          # re-delivery of the same rows
+    jobs.stage_event_files(spark, sf_dir, src)
     out = jobs.dedupe_stream(spark, src, run_dir)
     return out.select("event_id", "ts", "event_type", "value")
 

@@ -1,14 +1,15 @@
 """Spark session and shared-storage helpers.
 
-The library never creates machine-local scratch space on a cluster: lineage is
-cut with ``DataFrame.checkpoint()`` into the folder named by
-``spark.checkpoint.dir`` (read from the session).  Only when that setting is
-absent -- local tests -- do we point it at a fresh temporary folder.
+The library never creates machine-local scratch space on a cluster: stage
+tables go to the folder named by ``spark.checkpoint.dir`` (read from the
+session).  Without that setting a local master gets a fresh temporary folder;
+any other master is an error.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,6 +66,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc_dir = spark.sparkContext.getCheckpointDir()
     if sc_dir:
         return sc_dir
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="voltframe-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
@@ -77,12 +80,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, name)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss), never localCheckpoint."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a derived stage table (hourly, daily, engineered, predictions) as
     Parquet under the shared checkpoint folder and read it back.
