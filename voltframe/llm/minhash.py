@@ -13,13 +13,16 @@ threshold of 0.8 misses all 48 buckets of 6 with probability 5e-7.
 
 Documents with equal sets form a class; class representatives meet in buckets,
 and links are confirmed on the full sets:
-1. every member of a bucket against the bucket's pivot, then against the
-   member nearest to the pivot unless already linked to the pivot;
+1. every member of a bucket against the bucket's pivot p (the member that meets
+   most others), then, unless linked to it, against the member nearest to p;
 2. components of these links; buckets whose members now share a component are
    done, so a large group of near copies costs its size and not its square;
-3. in the other buckets the pairs between components that a bound cannot
-   exclude.  The bound: with s(a) the shingles of a that occur in any other set
-   of an open bucket, a link needs 180 * min(s(a), s(b)) >= 80 * (n(a) + n(b)).
+3. in the other buckets the pairs between components that a bound on their
+   overlap cannot exclude: with s(a) the shingles of a that occur in any other
+   set of an open bucket and c(a) those in p, two sets share at most
+   min(c(a), c(b)) + min(s(a) - c(a), s(b) - c(b)), and a link needs
+   80 * (n(a) + n(b)) / 180.  Of sets near p that share no shingle beyond p the
+   overlap is at most min(c(a), c(b)); those that share one meet on it.
 
 Scale: texts are read by map tasks and never collected; the ids of candidates
 are broadcast only below ``MAX_BROADCAST_IDS``, else joined; each step's table
@@ -47,6 +50,8 @@ BANDS, ROWS = 48, 6
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 LOW = np.uint64(0xFFFFFFFF)
 MAX_BROADCAST_IDS = 1_000_000
+#: similarity to the pivot from which a set is told apart by what it adds to the pivot
+NEAR_PERCENT = 60
 #: texts sketched at once, and the shingles after which a smaller lot is closed
 LOT_DOCS, LOT_SHINGLES = 500, 400_000
 
@@ -183,14 +188,18 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def links_of(docs: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
-    """Components (rep, comp) of the confirmed links among ``members`` (key, rep, n) of shared buckets."""
+    """Components (rep, comp) of the confirmed links among ``members`` (key, rep, n, size) of shared buckets."""
     may = lambda x, y: (100 * F.least(x, y) >= percent * F.greatest(x, y))
-    pivots = members.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("p")).select("key", "p.rep", "p.n").toDF("key", "a", "pn")
+    ok = 100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))
+    # the pivot is the member that meets most others in all its buckets: the middle of its group
+    met = members.groupBy("rep").agg(F.sum("size").alias("met"))
+    pivots = (members.join(met, "rep").groupBy("key").agg(F.max(F.struct("met", (-F.col("rep")).alias("late"), "n")).alias("p"))
+              .select("key", (-F.col("p.late")).alias("a"), F.col("p.n").alias("pn")))
+    pivots = materialize(pivots, "pivots")
     stars = materialize(members.join(pivots, "key").filter(F.col("rep") != F.col("a")).filter(may(F.col("n"), F.col("pn"))).select("key", "a", F.col("rep").alias("b"), "n"), "stars")
     sets = materialize(full_sets(docs, members.select("rep").distinct(), width), "sets")
     tested = materialize(overlaps(stars.select("a", "b").distinct(), sets), "tested")
-    known = tested.select("a", "b", F.floor(1000000 * F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))).alias("near"),
-                          (100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))).alias("ok"))
+    known = tested.select("a", "b", "common", F.floor(1000000 * F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))).alias("near"), ok.alias("ok"))
     stars = materialize(stars.join(known, ["a", "b"]), "stars2")
     second = stars.groupBy("key").agg(F.max(F.struct("near", F.col("b").alias("c"), F.col("n").alias("cn"))).alias("p")).select("key", "p.c", "p.cn")
     more = (stars.filter(~F.col("ok")).join(second, "key").filter(F.col("b") != F.col("c")).filter(may(F.col("n"), F.col("cn")))
@@ -201,14 +210,25 @@ def links_of(docs: DataFrame, members: DataFrame, width: int, percent: int) -> D
     labels = components(links)
 
     now = members.join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    mixed = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).filter("lo < hi and size > 2")
-    left = materialize(now.join(mixed.select("key"), "key", "left_semi"), "open")
+    mixed = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("c")).filter("lo < hi and c > 2")
+    to_pivot = stars.select("key", "a", F.col("b").alias("rep"), "common").union(pivots.select("key", "a", "a", "pn"))
+    to_pivot = to_pivot.join(pivots.select("key", "pn"), "key")
+    left = now.join(mixed.select("key"), "key", "left_semi").join(to_pivot, ["key", "rep"], "left")
+    near = F.coalesce(100 * F.col("common") >= NEAR_PERCENT * (F.col("n") + F.col("pn") - F.col("common")), F.lit(False))
+    left = materialize(left.select("key", "rep", "n", "comp", "a", "common", near.alias("near")), "open")
     open_sets = sets.join(left.select("rep").distinct(), F.col("doc_id") == F.col("rep"), "left_semi")
     shared = materialize(_shared_sizes(open_sets), "shared")
-    sized = left.join(shared, left["rep"] == shared["doc_id"], "left").select("key", "rep", "n", "comp", F.coalesce("s", F.lit(0)).alias("s"))
-    x, y = sized.toDF("key", "a", "na", "ca", "sa"), sized.toDF("key", "b", "nb", "cb", "sb")
-    bound = (100 + percent) * F.least("sa", "sb") >= percent * (F.col("na") + F.col("nb"))
-    rest = x.join(y, [x["key"] == y["key"], x["a"] < y["b"], x["ca"] != y["cb"], may(F.col("na"), F.col("nb")), bound]).select("a", "b").distinct()
+    sized = left.join(shared, left["rep"] == shared["doc_id"]).drop("doc_id")
+    two = lambda t, *on: (t.toDF(*[c if c in on else f"{c}1" for c in t.columns]), t.toDF(*[c if c in on else f"{c}2" for c in t.columns]))
+    apart = [F.col("rep1") < F.col("rep2"), F.col("comp1") != F.col("comp2"), may(F.col("n1"), F.col("n2"))]
+    enough = lambda most: (100 + percent) * most >= percent * (F.col("n1") + F.col("n2"))
+    through = F.least("common1", "common2") + F.least(F.col("s1") - F.col("common1"), F.col("s2") - F.col("common2"))
+    most = (F.when(F.col("near1") & F.col("near2"), F.least("common1", "common2"))
+            .otherwise(F.least(F.col("s1"), F.col("s2"), F.coalesce(through, F.col("s1")))))
+    x, y = two(sized, "key")
+    rest = x.join(y, [x["key"] == y["key"], *apart, enough(most)]).select(F.col("rep1").alias("a"), F.col("rep2").alias("b"))
+    x, y = two(_added(sized.filter("near").select("a", "rep", "n", "comp", "common", "s").distinct(), sets), "a", "h")
+    rest = rest.union(x.join(y, [x["a"] == y["a"], x["h"] == y["h"], *apart, enough(through)]).select(F.col("rep1").alias("a"), F.col("rep2").alias("b"))).distinct()
     rest = rest.join(tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     last = materialize(linked(overlaps(rest, sets), percent), "links3")
     if last.isEmpty():
@@ -216,6 +236,28 @@ def links_of(docs: DataFrame, members: DataFrame, width: int, percent: int) -> D
     return components(links.union(last))
 
 
+def _added(near: DataFrame, sets: DataFrame) -> DataFrame:
+    """``near`` (a, rep, comp, ...) by each shingle h of rep that the pivot a lacks
+    and that members of another component near the pivot have too."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in (batch.slice(k, 500) for k in range(0, batch.num_rows, 500)):
+                pivots, reps, comps, found = [], [], [], []
+                for a, rep, comp, x, y in zip(*(c.to_pylist() for c in part.columns[:3]), part.column(3), part.column(4)):
+                    more = np.setdiff1d(np.frombuffer(y.as_buffer(), "<i8"), np.frombuffer(x.as_buffer(), "<i8"), assume_unique=True)
+                    found.append(more)
+                    pivots += [a] * len(more)
+                    reps += [rep] * len(more)
+                    comps += [comp] * len(more)
+                yield pa.RecordBatch.from_arrays([*[pa.array(v, pa.int64()) for v in (pivots, reps, comps)], pa.array(np.concatenate(found))], ["a", "rep", "comp", "h"])
+
+    one = near.select("a", "rep", "comp").join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a")
+    both = one.join(sets.select(F.col("doc_id").alias("rep"), F.col("shingles").alias("sb")), "rep")
+    each = materialize(both.select("a", "rep", "comp", "sa", "sb").mapInArrow(run, "a long, rep long, comp long, h long"), "added")
+    split = each.groupBy("a", "h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("a", "h")
+    return each.drop("comp").join(split, ["a", "h"], "left_semi").join(near, ["a", "rep"])
+
+
 def _shared_sizes(sets: DataFrame) -> DataFrame:
     """s: how many shingles of each set occur in another of ``sets``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,8 +279,8 @@ def near_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, ban
     classes = materialize(all_sets.filter("n > 0").groupBy("same").agg(F.min("doc_id").alias("rep")), "classes")
     reps = all_sets.join(classes, F.col("doc_id") == F.col("rep"), "left_semi")
     keyed = reps.select(F.explode("keys").alias("key"), F.col("doc_id").alias("rep"), "n")
-    shared = keyed.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
-    members = materialize(keyed.join(shared, "key", "left_semi"), "members")
+    shared = keyed.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+    members = materialize(keyed.join(shared, "key").select("key", "rep", "n", "size"), "members")
     labels = links_of(docs, members, width, percent)
     out = all_sets.select("doc_id", "n", "same").join(classes, "same", "left").join(labels, "rep", "left")
     component = F.coalesce("comp", "rep", "doc_id")
