@@ -42,6 +42,8 @@ def test_event_flag_has_one_rule_for_null(spark):
     for n in (1, 71, 400):
         ranges = [("2024-01-03", "2024-01-04")] + [(f"{1800 + k}-01-01", f"{1800 + k}-01-02") for k in range(n)]
         assert sorted((r.ts is None, r.is_event) for r in cal.event_flag(df, ranges).collect()) == [(False, 1), (True, 0)]
+    outside = spark.createDataFrame([(dt.datetime(2024, 5, 1),)], "ts timestamp_ntz")       # a midnight of no range
+    assert cal.event_flag(outside, [("2024-01-03", "2024-01-04")]).first().is_event == 0
 
 
 def test_inventory_ends_at_the_next_line_whatever_its_number(spark):

@@ -119,6 +119,6 @@ def event_flag(df: DataFrame, ranges, ts: str = "ts", name: str = "is_event",
     if len(whole) <= MAX_BROADCAST_DAYS:
         days = F.broadcast(days)
     stamp = F.col(ts).cast("timestamp_ntz")
-    inside = F.col("_whole") | (stamp == F.date_trunc("day", stamp).cast("timestamp_ntz"))
+    inside = F.col("_day").isNotNull() & (F.col("_whole") | (stamp == F.date_trunc("day", stamp).cast("timestamp_ntz")))
     return (df.join(days, F.to_date(stamp) == F.col("_day"), "left")
               .withColumn(name, F.coalesce(inside, F.lit(False)).cast("int")).drop("_day", "_whole"))

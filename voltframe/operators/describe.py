@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import r6
+from ..session import join_small
 from . import series
 
 
@@ -62,13 +63,11 @@ def pivot_mean(df: DataFrame, row: str, col: str, value: str, values: Sequence,
 
 
 def mean_by(df: DataFrame, value: str, dims: Sequence[str]) -> DataFrame:
-    """Mean of ``value`` by each calendar dimension (long form)."""
-    parts = [df.groupBy(F.lit(d).alias("dimension"), F.col(d).cast("int").alias("key"))
-               .agg(r6(F.avg(value)).alias(f"mean_{value}")) for d in dims]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Mean of ``value`` by each calendar dimension (long form, one pass),
+    the highest mean of a dimension first."""
+    each = F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).cast("int").alias("key")) for d in dims]))
+    out = df.select(each.alias("_d"), value).groupBy("_d.dimension", "_d.key").agg(r6(F.avg(value)).alias(f"mean_{value}"))
+    return out.orderBy("dimension", F.desc(f"mean_{value}"), "key")
 
 
 def null_profile(df: DataFrame, top: int | None = None) -> DataFrame:
@@ -111,38 +110,38 @@ def box_stats(df: DataFrame, value: str, group: str, block_width: float | None =
     """Quartiles, 1.5 IQR fences, whiskers at the extreme values inside them."""
     q = exact_quantiles(df, value, [0.25, 0.5, 0.75], [group], block_width, names=["q1", "median", "q3"])
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
-    j = df.select(group, F.col(value).cast("double").alias("_v")).join(q, group, "inner")
+    # counts of distinct values stand in for the rows; a large group is not gathered to meet its one row of q
+    freq = df.groupBy(group, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    j = join_small(freq, q, group)
     inside = (F.col("_v") >= F.col("q1") - 1.5 * F.col("iqr")) & (F.col("_v") <= F.col("q3") + 1.5 * F.col("iqr"))
     out = j.groupBy(group).agg(F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
                                F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),
                                F.max(F.when(inside, F.col("_v"))).alias("whisker_high"),
-                               F.count(F.lit(1)).alias("rows"))
+                               F.sum("_c").alias("rows"))
     return out.select(group, *[r6(c).alias(c) for c in ("q1", "median", "q3", "whisker_low", "whisker_high")], "rows")
 
 
 def correlation_long(df: DataFrame, cols: Sequence[str], lower_only: bool = True, pairs=None) -> DataFrame:
     """A16 (T9): pairwise-complete Pearson correlation.
 
-    Each row is exploded into one (pair, x, y) record per requested pair and
-    reduced by ``groupBy(pair)`` -- partial aggregation happens map-side, so
-    the shuffle carries one row per pair per task.  Rows where either value
-    is NULL are dropped per pair; a constant column gives NULL instead of an
-    ANSI division error.
+    One aggregate holds the co-moments of all pairs (partial map-side), and its
+    one row is turned into the pair table; rows where either value is NULL do not
+    count for a pair; a constant column gives NULL instead of an ANSI error.
     """
     if pairs is None:
         pairs = [(a, b) for i, a in enumerate(cols) for j, b in enumerate(cols)
                  if (j < i if lower_only else j != i)]
-    recs = F.array(*[F.struct(F.lit(k).alias("pair"), F.col(a).cast("double").alias("x"),
-                              F.col(b).cast("double").alias("y")) for k, (a, b) in enumerate(pairs)])
-    long = (df.select(F.explode(recs).alias("_r")).select("_r.*")
-              .filter(F.col("x").isNotNull() & F.col("y").isNotNull()))
-    agg = long.groupBy("pair").agg(
-        F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y")).alias("corr"))
-    names = df.sparkSession.createDataFrame([(k, a, b) for k, (a, b) in enumerate(pairs)],
-                                            "pair int, feature_a string, feature_b string")
-    # the pair list is a driver-side literal (size = number of pairs): broadcast it
-    out = F.broadcast(names).join(agg, "pair", "left")
-    return out.select("feature_a", "feature_b", r6("corr").alias("corr"))
+    used = list(dict.fromkeys(c for pair in pairs for c in pair))
+    d = df.select(*[F.col(c).cast("double").alias(c) for c in used])
+    aggs = []
+    for k, (a, b) in enumerate(pairs):
+        x, y = (F.when(F.col(o).isNotNull(), F.col(c)) for c, o in ((a, b), (b, a)))
+        aggs += [F.covar_pop(a, b).alias(f"c{k}"), F.stddev_pop(x).alias(f"x{k}"), F.stddev_pop(y).alias(f"y{k}")]
+    row = d.agg(*aggs)
+    table = F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
+                               F.try_divide(F.col(f"c{k}"), F.col(f"x{k}") * F.col(f"y{k}")).alias("corr"))
+                      for k, (a, b) in enumerate(pairs)])
+    return row.select(F.explode(table).alias("_p")).select("_p.feature_a", "_p.feature_b", r6(F.col("_p.corr")).alias("corr"))
 
 
 def month_spine(df: DataFrame, ts: str = "ts") -> DataFrame:
@@ -186,13 +185,3 @@ def unpivot_measures(df: DataFrame, ids: Sequence[str], measures: Sequence[str])
 def value_counts(df: DataFrame, c: str) -> DataFrame:
     """Counts of non-null values."""
     return df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("count"))
-
-
-def coverage(df: DataFrame, dataset: str, value: str, ts: str, requested_start: Column, requested_end: Column) -> DataFrame:
-    """Rows, non-null rows, first/last valid time for one dataset."""
-    ok = F.col(value).isNotNull()
-    return df.agg(F.lit(dataset).alias("dataset"), requested_start.alias("requested_start"),
-                  requested_end.alias("requested_end"), F.count(F.lit(1)).alias("rows_in_output"),
-                  F.count(F.col(value)).alias("non_null_rows"),
-                  F.min(F.when(ok, F.col(ts))).alias("available_start"),
-                  F.max(F.when(ok, F.col(ts))).alias("available_end"))

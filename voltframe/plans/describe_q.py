@@ -121,12 +121,16 @@ def _quality_sql():
     base = ("ts", "price", "load", "spike", "total_generation", "total_capability", "net_load")
     nulls = " + ".join(f"(count(*) - count({c}))" for c in base)
     q = (f"q AS (SELECT count(*) AS n, {nulls} AS nulls, sum(CAST(price > {P.SPIKE_THRESHOLD} AS INTEGER)) AS high, "
-         f"avg(spike) AS rate FROM wt)")
+         f"avg(spike) AS rate, epoch(min(ts)) AS t0, epoch(max(ts)) AS t1, "
+         f"(SELECT count(*) FROM (DESCRIBE SELECT * FROM wt)) AS cols FROM wt)")
     return S.with_h(f"""
 SELECT 'rows' AS "check", CAST(n AS DOUBLE) AS value, n BETWEEN {lo} AND {hi} AS ok FROM q
 UNION ALL SELECT 'null_base_values', CAST(nulls AS DOUBLE), nulls = 0 FROM q
 UNION ALL SELECT 'price_above_threshold', CAST(high AS DOUBLE), high BETWEEN {slo} AND {shi} FROM q
-UNION ALL SELECT 'spike_rate', {S.r6('rate')}, TRUE FROM q""", extra=WIDE + "," + q)
+UNION ALL SELECT 'spike_rate', {S.r6('rate')}, TRUE FROM q
+UNION ALL SELECT 'columns', CAST(cols AS DOUBLE), TRUE FROM q
+UNION ALL SELECT 'first_time', CAST(t0 AS DOUBLE), t0 IS NOT NULL FROM q
+UNION ALL SELECT 'last_time', CAST(t1 AS DOUBLE), t1 IS NOT NULL FROM q""", extra=WIDE + "," + q)
 
 
 @register("quality_report", _quality_sql())
@@ -139,14 +143,18 @@ def quality_report(spark, sf_dir):
     q = w.agg(F.count(F.lit(1)).alias("n"),
               sum((F.count(F.lit(1)) - F.count(c) for c in base), F.lit(0)).alias("nulls"),
               F.sum((F.col("price") > P.SPIKE_THRESHOLD).cast("long")).alias("high"),
-              F.avg("spike").alias("rate"))
+              F.avg("spike").alias("rate"), *[F.unix_timestamp(f("ts").cast("timestamp")).alias(n) for n, f in (("t0", F.min), ("t1", F.max))])
+
     def check(name, value, ok):
         return F.struct(F.lit(name).alias("check"), value.cast("double").alias("value"), ok.alias("ok"))
 
     checks = F.array(check("rows", F.col("n"), F.col("n").between(lo, hi)),
                      check("null_base_values", F.col("nulls"), F.col("nulls") == 0),
                      check("price_above_threshold", F.col("high"), F.col("high").between(slo, shi)),
-                     check("spike_rate", r6("rate"), F.lit(True)))
+                     check("spike_rate", r6("rate"), F.lit(True)),
+                     check("columns", F.lit(len(w.columns)), F.lit(True)),
+                     check("first_time", F.col("t0"), F.col("t0").isNotNull()),
+                     check("last_time", F.col("t1"), F.col("t1").isNotNull()))
     return q.select(F.explode(checks).alias("_c")).select("_c.*")
 
 

@@ -10,7 +10,7 @@ from ..functions.columns import flag_above, r6
 from ..operators import evaluate as E
 from ..operators import prepare, series
 from . import sql as S
-from ..session import materialize
+from ..session import join_small, materialize
 from .inputs import hourly_system, predictions
 from .registry import register
 
@@ -82,8 +82,10 @@ FROM p c JOIN sel ON c.model = sel.model WHERE c.split = 'test' GROUP BY c.model
     extra=PRED + "," + _sweep_ctes() + "," + SELECT_SQL))
 def confusion(spark, sf_dir):
     """A23 at the selected threshold on the test split (TP/FP/TN/FN)."""
-    sel = E.threshold_select(_sweep(spark, sf_dir), ["model"]).select("model", "threshold")
-    test = predictions(spark, sf_dir).filter(F.col("split") == "test").join(sel, "model")
+    p = predictions(spark, sf_dir)
+    sweep = E.threshold_sweep(p.filter(F.col("split") == "validation"), ["model"], GRID)
+    sel = E.threshold_select(sweep, ["model"]).select("model", "threshold")
+    test = join_small(p.filter(F.col("split") == "test"), sel, "model")
     c = E.confusion(test, ["model"], (F.col("y_prob") >= F.col("threshold")).cast("int"))
     return c.select("model", "tp", "fp", "fn", "tn")
 
@@ -220,7 +222,7 @@ def baseline_comparison(spark, sf_dir):
     val = bl.filter(F.col("split") == "validation")
     sel = E.threshold_select(E.threshold_sweep(val, ["model"], GRID), ["model"]).select(
         "model", F.col("threshold").alias("selected_threshold"))
-    scored = bl.filter(F.col("split") != "train").join(sel, "model").withColumn(
+    scored = join_small(bl.filter(F.col("split") != "train"), sel, "model").withColumn(
         "y_pred", (F.col("y_prob") >= F.col("selected_threshold")).cast("int"))
     m = E.confusion(scored, ["model", "split"], "y_pred")
     a = E.roc_auc_ap(scored, ["model", "split"]).select("model", "split", F.col("average_precision").alias("pr_auc"),

@@ -282,10 +282,9 @@ def lag_by_time(spark, sf_dir):
 
 @register("history_tail", S.with_h("SELECT ts, price FROM h QUALIFY row_number() OVER (ORDER BY ts DESC) <= 48"))
 def history_tail(spark, sf_dir):
-    """Last n rows of the history (reverse row index, n = 48)."""
+    """Last n rows of the history (TakeOrderedAndProject, n = 48)."""
     h = hourly_system(spark, sf_dir).select("ts", "price")
-    rev = h.withColumn("_neg", -F.unix_timestamp(F.col("ts").cast("timestamp")))
-    return series.add_row_index(rev, "_neg", idx="_ridx").filter(F.col("_ridx") < 48).select("ts", "price")
+    return h.orderBy(F.desc("ts")).limit(48)
 
 
 @register("time_axis", S.with_h("SELECT DISTINCT ts FROM pr"))

@@ -181,14 +181,20 @@ def _role_sql():
   ELSE 'continuous' END"""
 
 
+def _nulls_sql():
+    from .features import _wide_columns
+    ints, doubles = _wide_columns()
+    return " UNION ALL ".join(f"SELECT '{c}' AS c, CAST(count(*) - count({c}) AS BIGINT) AS nulls FROM wt" for c in ["ts", *ints, *doubles])
+
+
 @register("feature_catalog", S.with_h(f"""
-SELECT CAST(row_number() OVER () - 1 AS BIGINT) AS position, column_name AS "column", {_role_sql()} AS role
-FROM (DESCRIBE SELECT * FROM wt)""", extra=WIDE))
+SELECT position, column_name AS "column", {_role_sql()} AS role, nulls
+FROM (SELECT CAST(row_number() OVER () - 1 AS BIGINT) AS position, column_name FROM (DESCRIBE SELECT * FROM wt)) JOIN ({_nulls_sql()}) n ON n.c = column_name""", extra=WIDE))
 def feature_catalog(spark, sf_dir):
-    """Column roles by explicit rules over the engineered table's schema (no job)."""
-    cols = wide_features(spark, sf_dir).columns
-    rows = prepare.feature_catalog(cols)
-    return spark.createDataFrame(rows, "position bigint, column string, role string")
+    """Column roles by explicit rules, with the NULLs of each column of the engineered table."""
+    w = wide_features(spark, sf_dir)
+    roles = spark.createDataFrame(prepare.feature_catalog(w.columns), "position bigint, column string, role string")
+    return roles.join(D.null_profile(w), "column").select("position", "column", "role", "nulls")
 
 
 DICT_RULES = (  # (predicate kind, pattern, units, definition, transformation)
@@ -221,8 +227,8 @@ SELECT column_name AS "column",
   CASE WHEN column_type = 'DOUBLE' THEN 'float' WHEN column_type IN ('INTEGER', 'BIGINT') THEN 'int'
        WHEN column_type LIKE 'TIMESTAMP%' THEN 'timestamp' ELSE 'string' END AS dtype,
   {_dict_case(0)} AS units, {_dict_case(1)} AS definition, {_dict_case(2)} AS transformation,
-  'events' AS source
-FROM (DESCRIBE SELECT * FROM wt)""", extra=WIDE))
+  'events' AS source, nulls
+FROM (DESCRIBE SELECT * FROM wt) JOIN ({_nulls_sql()}) n ON n.c = column_name""", extra=WIDE))
 def data_dictionary(spark, sf_dir):
     """One row per column with dtype/units/definition/transformation by ordered rules."""
     w = wide_features(spark, sf_dir)
@@ -238,34 +244,40 @@ def data_dictionary(spark, sf_dir):
             cond = {"eq": c == pat, "suffix": c.endswith(pat), "prefix": c.startswith(pat)}[kind]
             e = F.when(cond, vals[field]) if e is None else e.when(cond, vals[field])
         out[name] = e.otherwise(("derived", "derived feature", "formula")[field])
-    return meta.select("column", dtype.alias("dtype"), *[v.alias(k) for k, v in out.items()],
-                       F.lit("events").alias("source"))
+    return meta.join(D.null_profile(w), "column").select("column", dtype.alias("dtype"), *[v.alias(k) for k, v in out.items()],
+                                                         F.lit("events").alias("source"), "nulls")
+
+
+#: features of the report
+TOP_FEATURES = 20
+
+
+def _candidates(columns):
+    """Every continuous or flag column may be a feature of the report."""
+    return [c for _, c, role in prepare.feature_catalog(columns) if role in ("continuous", "flag")]
 
 
 def _top_sql():
-    feats = [c for c in _TOP_FEATURES]
+    from .features import _wide_columns
+    ints, doubles = _wide_columns()
+    feats = _candidates(["ts", *ints, *doubles])
     parts = []
     for a in feats:
         ma = f"CASE WHEN {a} IS NOT NULL AND spike_lead_2 IS NOT NULL THEN CAST({a} AS DOUBLE) END"
         mb = f"CASE WHEN {a} IS NOT NULL AND spike_lead_2 IS NOT NULL THEN CAST(spike_lead_2 AS DOUBLE) END"
         parts.append(f"SELECT '{a}' AS feature, {S.r6(f'covar_pop({ma}, {mb}) / NULLIF(stddev_pop({ma}) * stddev_pop({mb}), 0)')} AS corr FROM wt")
     return S.with_h(f"SELECT feature, corr, abs(corr) AS score FROM ({' UNION ALL '.join(parts)}) "
-                    f"ORDER BY score DESC NULLS LAST, feature LIMIT 10", extra=WIDE)
-
-
-_TOP_FEATURES = ("price", "load", "gas_total", "wind_total", "solar_total", "hydro_total", "coal_total",
-                 "net_load", "reserve_margin", "renewables_share", "gas_ratio", "net_export", "price_lag_1h",
-                 "price_lag_6h", "price_lag_24h", "price_rolling_mean_6h", "total_generation", "capacity_gas")
+                    f"ORDER BY score DESC NULLS LAST, feature LIMIT {TOP_FEATURES}", extra=WIDE)
 
 
 @register("top_features", _top_sql())
 def top_features(spark, sf_dir):
-    """Top 10 features by |correlation| with the t+2 label (TakeOrderedAndProject)."""
+    """Top 20 features by |correlation| with the t+2 label (TakeOrderedAndProject)."""
     w = wide_features(spark, sf_dir)
-    c = D.correlation_long(w, (), pairs=[(f, "spike_lead_2") for f in _TOP_FEATURES])
+    c = D.correlation_long(w, (), pairs=[(f, "spike_lead_2") for f in _candidates(w.columns)])
     c = c.select(F.col("feature_a").alias("feature"), "corr")
     return (c.withColumn("score", F.abs("corr"))
-             .orderBy(F.col("score").desc_nulls_last(), F.col("feature")).limit(10))
+             .orderBy(F.col("score").desc_nulls_last(), F.col("feature")).limit(TOP_FEATURES))
 
 
 @register("prediction_export", S.with_h("""
@@ -273,11 +285,13 @@ SELECT a.ts, a.y_true, a.y_prob AS load_ratio_prob, b.y_prob AS naive_prob, a.pr
 FROM p a JOIN p b ON a.ts = b.ts AND b.model = 'naive'
 WHERE a.model = 'load_ratio' AND a.split = 'test'""", extra=PRED))
 def prediction_export(spark, sf_dir):
-    """Wide test-set predictions of both models, joined on the hour."""
+    """Wide test-set predictions of both models, one aggregate an hour."""
     p = predictions(spark, sf_dir).filter(F.col("split") == "test")
-    a = p.filter(F.col("model") == "load_ratio").select("ts", "y_true", "price", F.col("y_prob").alias("load_ratio_prob"))
-    b = p.filter(F.col("model") == "naive").select("ts", F.col("y_prob").alias("naive_prob"))
-    return a.join(b, "ts")
+    of = lambda m, c: F.max(F.when(F.col("model") == m, F.col(c)))
+    wide = p.groupBy("ts").agg(of("load_ratio", "y_true").alias("y_true"), of("load_ratio", "y_prob").alias("load_ratio_prob"),
+                               of("naive", "y_prob").alias("naive_prob"), of("load_ratio", "price").alias("price"),
+                               F.count_distinct("model").alias("_models"))
+    return wide.filter("_models = 2").drop("_models")
 
 
 @register("model_comparison", S.with_h(f"""

@@ -13,6 +13,7 @@ import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -96,3 +97,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, f"tables/{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)   # known schema: no footer inference
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", most: int = 100_000) -> DataFrame:
+    """Join with a side of one row a group.  It is written and counted first; up
+    to ``most`` rows it is broadcast, so that a group with a large share of
+    ``big`` does not meet in one task, else the join is left to the optimizer."""
+    small = materialize(small, "small")
+    return big.join(F.broadcast(small) if small.count() <= most else small, on, how)
