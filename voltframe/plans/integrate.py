@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions.columns import r6
 from ..operators import series, system
-from ..sources import tables
+from ..session import scratch_path
+from ..sources import files, tables
 from . import sql as S
 from .inputs import hourly_system
 from .registry import register
@@ -35,17 +38,44 @@ def spike_rate_by_hour(spark, sf_dir):
 
 # --- sources -------------------------------------------------------------------------------
 
+def _stand_in(spark, name: str) -> str:
+    return scratch_path(spark, f"csv-{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _generation_files(spark, sf_dir) -> str:
+    """The readings as CSV files in one folder a day; returns a glob."""
+    path = _stand_in(spark, "generation")
+    g = tables.generation_long(spark, sf_dir)
+    files.write_csv(g.withColumn("file_day", F.to_date("ts")), path, by=["file_day"])
+    return path + "/file_day=*/*.csv"
+
+
 @register("src_generation_scan", S.with_h("""
 SELECT event_type AS fuel_type, count(*) AS readings, (round(sum(value), 6) + 0.0) AS volume
 FROM events WHERE event_type IN ('click', 'view', 'purchase', 'signup', 'error') GROUP BY 1"""))
 def src_generation_scan(spark, sf_dir):
-    g = tables.generation_long(spark, sf_dir)
+    """Glob over the CSV files of all days, blanks as NULL."""
+    g = files.read_generation(spark, _generation_files(spark, sf_dir))
     return g.groupBy("fuel_type").agg(F.count(F.lit(1)).alias("readings"), r6(F.sum("volume")).alias("volume"))
 
 
 @register("src_price_scan", S.with_h("SELECT ts, price, load, imp, exp FROM pr"))
 def src_price_scan(spark, sf_dir):
-    return tables.price_wide(spark, sf_dir)
+    """Column list and time column of a wide CSV table."""
+    path = _stand_in(spark, "price")
+    files.write_csv(tables.price_wide(spark, sf_dir).select(F.col("ts").alias("begin"), "load", "imp", "price", "exp", F.lit(1).alias("unused")), path)
+    schema = "begin TIMESTAMP_NTZ, load DOUBLE, imp DOUBLE, price DOUBLE, exp DOUBLE, unused INT"
+    return files.read_price(spark, path, schema, ["price", "load", "imp", "exp"], ts_col="begin")
+
+
+@register("load_hourly", S.with_h(f"SELECT ts, price, load, {S.fuel_cols()}, imp, exp FROM h ORDER BY ts"))
+def load_hourly(spark, sf_dir):
+    """The stored hourly table, read back with its required columns in time order."""
+    path = _stand_in(spark, "hourly")
+    h = hourly_system(spark, sf_dir, materialized=False).select("ts", *P.BASE_COLUMNS)
+    files.write_csv(h, path)
+    schema = ", ".join(["ts TIMESTAMP_NTZ", *[f"{c} DOUBLE" for c in P.BASE_COLUMNS]])
+    return files.load_hourly(spark, path, schema, P.BASE_COLUMNS)
 
 
 @register("hourly_by_type", S.with_h("SELECT ts, event_type AS fuel_type, volume, capability FROM g"))
@@ -96,9 +126,10 @@ def merge_hourly(spark, sf_dir):
 SELECT CAST(date_trunc('day', ts) AS DATE) AS file_day, count(*) AS rows_in_file
 FROM events WHERE event_type IN ('click', 'view', 'purchase', 'signup', 'error') GROUP BY 1"""))
 def src_file_counts(spark, sf_dir):
-    """Per-input-file row counts; the stand-in files are days of readings."""
-    g = tables.generation_long(spark, sf_dir)
-    return g.groupBy(F.to_date("ts").alias("file_day")).agg(F.count(F.lit(1)).alias("rows_in_file"))
+    """Rows of each input file, added up by the folder that the files stand in."""
+    counts = files.file_counts(files.read_generation(spark, _generation_files(spark, sf_dir)))
+    day = F.regexp_extract("file", "file_day=([0-9-]+)/", 1).cast("date").alias("file_day")
+    return counts.groupBy(day).agg(F.sum("rows_in_file").alias("rows_in_file"))
 
 
 @register("clock_shift", f"""
