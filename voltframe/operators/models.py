@@ -15,6 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from . import series
 
 
@@ -29,29 +30,54 @@ def gram(df: DataFrame, columns: Sequence[str]) -> tuple[np.ndarray, int]:
         for j in range(i, len(cols)):
             aggs.append(F.sum(F.col(f"_g{i}") * F.col(f"_g{j}")).alias(f"s_{i}_{j}"))
     row = d.agg(*aggs).first().asDict()
-    k = len(cols)
+    return _square(row, len(cols)), int(row["n"])
+
+
+def ols(df: DataFrame, features: Sequence[str], target: str, intercept: bool = True) -> dict:
+    """Least squares from X'X, X'y (one pass).  Returns coefficients,
+    standard errors, residual variance, n."""
+    xs = list(features)
+    g, n, means = centred_gram(df, [*xs, target]) if intercept else (*gram(df, [*xs, target]), None)
+    return _solve(g, n, means, xs, intercept)
+
+
+def centred_gram(df: DataFrame, columns: Sequence[str]) -> tuple[np.ndarray, int, np.ndarray]:
+    """Co-moments of ``columns`` over complete rows (sums of centred products, so
+    digits don't go as rows grow), n, and the means; one aggregate."""
+    cols = list(columns)
+    d = df.select(*[F.col(c).cast("double").alias(f"_g{i}") for i, c in enumerate(cols)]).na.drop()
+    aggs = [F.count(F.lit(1)).alias("n"), *[F.avg(f"_g{i}").alias(f"m_{i}") for i in range(len(cols))]]
+    aggs += [F.covar_pop(f"_g{i}", f"_g{j}").alias(f"s_{i}_{j}") for i in range(len(cols)) for j in range(i, len(cols))]
+    row = d.agg(*aggs).first().asDict()
+    return _square(row, len(cols)) * row["n"], int(row["n"]), np.array([row[f"m_{i}"] or 0.0 for i in range(len(cols))])
+
+
+def _square(row: dict, k: int) -> np.ndarray:
     g = np.zeros((k, k))
     for i in range(k):
         for j in range(i, k):
             g[i, j] = g[j, i] = row[f"s_{i}_{j}"] or 0.0
-    return g, int(row["n"])
+    return g
 
 
-def ols(df: DataFrame, features: Sequence[str], target: str, intercept: bool = True) -> dict:
-    """Least squares from X'X, X'y (one pass).  Returns coefficients,
-    standard errors, residual variance, n."""
-    d = df.withColumn("_one", F.lit(1.0)) if intercept else df
-    xs = (["_one"] if intercept else []) + list(features)
-    g, n = gram(d, xs + [target])
+def _solve(g: np.ndarray, n: int, means: np.ndarray | None, xs: list[str], intercept: bool) -> dict:
+    """Normal equations of scaled columns; a column without variation, or one that
+    others span, gets the least-norm share instead of an error."""
     k = len(xs)
-    xtx, xty, yty = g[:k, :k], g[:k, k], g[k, k]
-    beta = np.linalg.solve(xtx, xty)
-    sse = float(yty - 2 * beta @ xty + beta @ xtx @ beta)
-    dof = max(n - k, 1)
-    s2 = sse / dof
-    cov = s2 * np.linalg.inv(xtx)
-    names = (["intercept"] if intercept else []) + list(features)
-    return {"names": names, "beta": beta, "se": np.sqrt(np.maximum(np.diag(cov), 0.0)), "s2": s2, "n": n, "sse": sse}
+    scale = np.sqrt(np.maximum(np.diag(g)[:k], 0.0))
+    scale[scale == 0] = 1.0
+    xtx, xty, yty = g[:k, :k] / np.outer(scale, scale), g[:k, k] / scale, g[k, k]
+    inverse = np.linalg.pinv(xtx, rcond=1e-12, hermitian=True)
+    scaled = inverse @ xty
+    sse = max(float(yty - 2 * scaled @ xty + scaled @ xtx @ scaled), 0.0)
+    s2 = sse / max(n - k - intercept, 1)
+    beta, cov = scaled / scale, s2 * inverse / np.outer(scale, scale)
+    names, var = list(xs), np.diag(cov)
+    if intercept:
+        mean_x, mean_y = means[:k], means[k]
+        names, beta = ["intercept", *names], np.r_[mean_y - mean_x @ beta, beta]
+        var = np.r_[s2 / max(n, 1) + mean_x @ cov @ mean_x, var]
+    return {"names": names, "beta": beta, "se": np.sqrt(np.maximum(var, 0.0)), "s2": s2, "n": n, "sse": sse}
 
 
 def linear_expr(fit: dict) -> Column:
@@ -92,51 +118,41 @@ def adf_kpss(df: DataFrame, cols: Sequence[str], order: str = "ts", adf_lags: in
     dy_t = a + b y_{t-1} + sum c_j dy_{t-j} + e  (constant, fixed lags), and the
     KPSS level statistic  sum S_t^2 / (T^2 * lrv)  with Bartlett weights.
     Lags and cumulative sums are halo windows / two-level prefix sums."""
-    cols = list(cols)
-    base = df.select(order, *[F.col(c).cast("double").alias(c) for c in cols]).na.drop()
-    n_rows = base.count()
-    if kpss_lags is None:
-        kpss_lags = int(4 * (n_rows / 100.0) ** 0.25)
-    reach = max(adf_lags + 1, kpss_lags)
-
-    means = base.agg(*[F.avg(c).alias(f"_m_{c}") for c in cols])
-    d = series.attach_totals(base, means, [])
-    d = d.withColumns({f"_e_{c}": F.col(c) - F.col(f"_m_{c}") for c in cols})
-
-    def build(w):
-        out = {}
-        for c in cols:
-            out[f"_l1_{c}"] = F.lag(c, 1).over(w)
-            for j in range(1, adf_lags + 1):
-                out[f"_dl{j}_{c}"] = F.lag(c, j).over(w) - F.lag(c, j + 1).over(w)
-            for k in range(1, kpss_lags + 1):
-                out[f"_ek{k}_{c}"] = F.lag(f"_e_{c}", k).over(w)
-        return out
-
-    d = series.ordered(d, build, order=order, reach=reach, keep_idx=True)
-    d = series.prefix_sums(d, [f"_e_{c}" for c in cols], "idx", block=F.floor(F.col("idx") / F.lit(8760)))
-    aggs = [F.count(F.lit(1)).alias("T")]
-    for c in cols:
-        aggs += [F.sum(F.col(f"_e_{c}_cum") ** 2).alias(f"ss_{c}"), F.sum(F.col(f"_e_{c}") ** 2).alias(f"g0_{c}")]
-        aggs += [F.sum(F.col(f"_e_{c}") * F.col(f"_ek{k}_{c}")).alias(f"g{k}_{c}") for k in range(1, kpss_lags + 1)]
-    stats = d.agg(*aggs).first().asDict()
-    t = float(stats["T"])
+    parts = [_adf_kpss_one(df, c, order, adf_lags, kpss_lags) for c in cols]
     out = []
-    for c in cols:
-        reg = d.withColumn("_dy", F.col(c) - F.col(f"_l1_{c}"))
-        fit = ols(reg, [f"_l1_{c}"] + [f"_dl{j}_{c}" for j in range(1, adf_lags + 1)], "_dy", intercept=True)
+    for c, (fit, stats, lags) in zip(cols, parts):
+        t = float(stats["T"])
         adf = float(fit["beta"][1] / fit["se"][1]) if fit["se"][1] > 0 else float("nan")
-        lrv = stats[f"g0_{c}"] / t
-        for k in range(1, kpss_lags + 1):
-            lrv += 2.0 * (1.0 - k / (kpss_lags + 1.0)) * (stats[f"g{k}_{c}"] or 0.0) / t
-        kpss = stats[f"ss_{c}"] / (t * t * lrv) if lrv > 0 else float("nan")
+        lrv = (stats["g0"] or 0.0) / max(t, 1.0)
+        for k in range(1, lags + 1):
+            lrv += 2.0 * (1.0 - k / (lags + 1.0)) * (stats[f"g{k}"] or 0.0) / t
+        kpss = stats["ss"] / (t * t * lrv) if lrv > 0 else float("nan")
         out.append({"series": c, "adf_stat": adf, "adf_stationary": bool(adf < adf_crit),
                     "kpss_stat": float(kpss), "kpss_stationary": bool(kpss < kpss_crit),
                     "stationary": bool(adf < adf_crit and kpss < kpss_crit), "lags_adf": adf_lags,
-                    "lags_kpss": kpss_lags, "rows": int(t)})
+                    "lags_kpss": lags, "rows": int(t)})
     return out
 
 
+def _adf_kpss_one(df: DataFrame, c: str, order: str, adf_lags: int, kpss_lags: int | None) -> tuple[dict, dict, int]:
+    """One series without its NULLs: the ADF regression and the KPSS sums from one written table."""
+    base = df.select(order, F.col(c).cast("double").alias("x")).filter(F.col("x").isNotNull())
+    size = base.agg(F.count("x").alias("n"), F.avg("x").alias("m")).first()
+    lags = int(4 * (size["n"] / 100.0) ** 0.25) if kpss_lags is None else kpss_lags
+    d = base.withColumn("e", F.col("x") - F.lit(size["m"] or 0.0))
+
+    def build(w):
+        back = {f"d{j}": F.lag("x", j).over(w) - F.lag("x", j + 1).over(w) for j in range(1, adf_lags + 1)}
+        return {"l1": F.lag("x", 1).over(w), **back, **{f"e{k}": F.lag("e", k).over(w) for k in range(1, lags + 1)}}
+
+    d = series.ordered(d, build, order=order, reach=max(adf_lags + 1, lags), keep_idx=True)
+    d = series.prefix_sums(d, ["e"], "idx", block=F.floor(F.col("idx") / F.lit(8760)))
+    d = materialize(d.withColumn("dy", F.col("x") - F.col("l1")), "stationarity")
+    stats = d.agg(F.count(F.lit(1)).alias("T"), F.sum(F.col("e_cum") ** 2).alias("ss"), F.sum(F.col("e") ** 2).alias("g0"),
+                  *[F.sum(F.col("e") * F.col(f"e{k}")).alias(f"g{k}") for k in range(1, lags + 1)]).first().asDict()
+    return ols(d, ["l1", *[f"d{j}" for j in range(1, adf_lags + 1)]], "dy"), stats, lags
+
+
 # --- closed-form multi-step forecasts ---------------------------------------------------------
 
 def var_select_and_fit(df: DataFrame, cols: Sequence[str], max_order: int = 4, order: str = "ts",

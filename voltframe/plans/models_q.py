@@ -13,6 +13,7 @@ from ..functions.columns import normal_sf, r6
 from ..operators import evaluate as E
 from ..operators import models as M
 from ..operators import prepare, series
+from ..session import materialize
 from .inputs import hourly_system, wide_features
 from .registry import register
 
@@ -35,7 +36,7 @@ def _with_changes(spark, sf_dir):
 def ols_price_change(spark, sf_dir):
     """M09 + A31 + P34 + A26: OLS of the t+2 price change on train (one Gram
     aggregate), price = current + predicted change, regression metrics per split."""
-    w = _with_changes(spark, sf_dir).cache()
+    w = materialize(_with_changes(spark, sf_dir), "changes")
     fit = M.ols(w.filter(F.col("split") == "train"), OLS_FEATURES, "target_change")
     pred = w.withColumn("forecast", F.col("price") + M.linear_expr(fit))
     out = E.regression_metrics(pred, "price_lead_2", "forecast", ["split"], P.SPIKE_THRESHOLD)
@@ -56,7 +57,8 @@ def vif_screen(spark, sf_dir):
                                  "step int, feature string, vif double")
 
 
-STATIONARITY_SERIES = ("price", "load", "wind_total", "net_load")
+#: the target and the candidates of the price equation
+STATIONARITY_SERIES = ("price", *VIF_FEATURES[1:])
 
 
 @register("stationarity")
@@ -88,7 +90,7 @@ def ar_forecast(spark, sf_dir):
                 "price_lead_2": F.lead("price", P.HORIZON).over(w)}
 
     d = series.ordered(h, build, reach=4).withColumns(cal.fourier_week_hours("ts"))
-    d = prepare.assign_split(d, P.HOURLY_SPLITS).cache()
+    d = materialize(prepare.assign_split(d, P.HOURLY_SPLITS), "ar")
     fit = M.ols(d.filter(F.col("split") == "train"), ["_d1", "_d2", "_d3", *FOURIER], "_d0", intercept=False)
     phi = dict(zip(fit["names"], fit["beta"]))
 
@@ -115,8 +117,9 @@ VAR_SERIES = ("d_price", "d_load", "d_wind", "d_gas")
 
 @register("var_forecast")
 def var_forecast(spark, sf_dir):
-    """VAR on four change series, order <= 4 by AIC on train, two-step
-    price-change sum as a closed-form column expression."""
+    """VAR on four change series, order <= 4 by AIC, two-step price-change
+    sum as a closed-form column expression; the fit on train forecasts
+    validation, a refit on train and validation forecasts test."""
     from ..operators.system import system_features
     h = system_features(hourly_system(spark, sf_dir)).select("ts", "price", "load", "wind_total", "gas_total")
 
@@ -126,70 +129,87 @@ def var_forecast(spark, sf_dir):
                 "d_gas": F.col("gas_total") - F.lag("gas_total", 1).over(w),
                 "price_lead_2": F.lead("price", P.HORIZON).over(w)}
 
-    d = prepare.assign_split(series.ordered(h, build, reach=P.HORIZON), P.HOURLY_SPLITS).cache()
-    fit = M.var_select_and_fit(d.filter(F.col("d_price").isNotNull()), VAR_SERIES, max_order=4,
-                               train_filter=F.col("split") == "train")
-    p = fit["order"]
+    d = prepare.assign_split(series.ordered(h, build, reach=P.HORIZON), P.HOURLY_SPLITS)
+    d = materialize(d.filter(F.col("d_price").isNotNull()), "var")
 
     def lags(w):
         return {f"_v{j}_{c}": F.lag(c, j).over(w) for c in VAR_SERIES for j in range(1, 5)}
 
-    e = series.ordered(d.filter(F.col("d_price").isNotNull()), lags, reach=4)
-    e = e.filter(F.col("split") != "train").filter(F.col(f"_v{max(p - 1, 1)}_d_price").isNotNull())
-    out = e.withColumn("forecast", F.col("price") + M.var_two_step_expr(fit, "d_price"))
-    return out.select("ts", "split", "price_lead_2", r6("forecast").alias("forecast"),
-                      F.lit(p).alias("var_order"), F.lit(fit["aic"]).alias("aic"))
+    e = materialize(series.ordered(d, lags, reach=4), "var-lags")
+    outs = []
+    for split, seen in (("validation", ["train"]), ("test", ["train", "validation"])):
+        fit = M.var_select_and_fit(d, VAR_SERIES, max_order=4, train_filter=F.col("split").isin(*seen))
+        mine = e.filter((F.col("split") == split) & F.col(f"_v{max(fit['order'] - 1, 1)}_d_price").isNotNull())
+        mine = mine.withColumn("forecast", F.col("price") + M.var_two_step_expr(fit, "d_price"))
+        outs.append(mine.select("ts", "split", "price_lead_2", r6("forecast").alias("forecast"),
+                                F.lit(fit["order"]).alias("var_order"), F.lit(fit["aic"]).alias("aic")))
+    return outs[0].unionByName(outs[1])
+
 
+#: penalty where many features say much the same
+REGULARISED = 0.01
 
-CLF_FEATURES = ("price", "load", "net_load", "reserve_margin", "wind_total", "gas_total", "price_lag_1h",
-                "price_lag_24h", "spike", "sin_day", "cos_day", "is_weekend")
+
+def model_features(columns) -> list[str]:
+    """Every column that the role rules do not exclude is a model feature."""
+    return [c for _, c, role in prepare.feature_catalog(columns) if role != "excluded"]
 
 
 def _clf_frame(spark, sf_dir):
+    """The engineered table with split and label, written once, and its model features."""
     w = prepare.assign_split(wide_features(spark, sf_dir), P.HOURLY_SPLITS)
-    w = w.select("ts", "split", F.col("spike_lead_2").alias("y_true"), *CLF_FEATURES)
-    return w
+    features = model_features(w.columns)
+    w = w.select("ts", "split", F.col("spike_lead_2").alias("y_true"), *features)
+    return materialize(w, "classifier"), features
 
 
-def _weighted(w):
-    cw = prepare.class_weight(w.filter(F.col("split") == "train"), "y_true", guard_pos=True, floor_one=True).first()
-    pos_w = float(cw["pos_weight"] or 1.0)
-    return w.withColumn("w", F.when(F.col("y_true") == 1, F.lit(pos_w)).otherwise(F.lit(1.0))), pos_w
+def _weighted(w, train):
+    """``w`` with the class weight of the ``train`` rows alone."""
+    cw = prepare.class_weight(train, "y_true", guard_pos=True, floor_one=True).first()
+    return w.withColumn("w", F.when(F.col("y_true") == 1, F.lit(float(cw["pos_weight"] or 1.0))).otherwise(F.lit(1.0)))
 
 
 @register("classifier_scores")
 def classifier_scores(spark, sf_dir):
     """Class-weighted logistic regression and a GBT on the engineered
     features (train fit, standardised inside the pipeline); scores on validation/test."""
-    w, _ = _weighted(_clf_frame(spark, sf_dir))
-    w = w.cache()
+    w, features = _clf_frame(spark, sf_dir)
+    w = _weighted(w, w.filter(F.col("split") == "train"))
     train = w.filter(F.col("split") == "train")
     rest = w.filter(F.col("split") != "train")
     outs = []
     for kind in ("logistic", "gbt"):
-        m = M.fit_classifier(train, CLF_FEATURES, "y_true", kind=kind, weight="w")
+        m = M.fit_classifier(train, features, "y_true", kind=kind, weight="w", reg_param=REGULARISED)
         outs.append(M.score(m, rest).select(F.lit(kind).alias("model"), "ts", "split", "y_true", r6("y_prob").alias("y_prob")))
     return outs[0].unionByName(outs[1])
 
 
-CV_CANDIDATES = (0.0, 0.01, 0.1)
+CV_CANDIDATES = (0.001, 0.01, 0.1)
+
+
+def logistic_factory(candidate, features):
+    """Default estimator factory of the search: fits rows with label y_true and weight w."""
+    return lambda train: M.fit_classifier(train, features, "y_true", weight="w", reg_param=candidate)
 
 
 @register("cv_search")
-def cv_search(spark, sf_dir):
-    """M06 + W13 + A29 + A34: regParam grid x 5 expanding folds over the train and
-    validation rows; mean / std of fold F1; best candidate flagged."""
-    w, _ = _weighted(_clf_frame(spark, sf_dir))
-    w = w.filter(F.col("split") != "test")
-    d = series.add_row_index(w, "ts", idx="idx")
+def cv_search(spark, sf_dir, build_fn=logistic_factory):
+    """M06/F03 + W13 + A29 + A34: candidates x 5 expanding folds over the train and
+    validation rows; mean / std of fold F1; best candidate flagged.
+    ``build_fn(candidate, features)`` gives a function that fits the fold's own
+    training rows, whose class weight comes from these rows alone."""
+    w, features = _clf_frame(spark, sf_dir)
+    d = series.add_row_index(w.filter(F.col("split") != "test"), "ts", idx="idx")
+    d = materialize(d, "cv")
     n = d.count()
-    d = series.expanding_folds(d, n, P.CV_SPLITS).cache()
+    size = n // (P.CV_SPLITS + 1)
+
     def run(task):
         cand, fold = task
-        part = d.filter(F.col("fold") == fold)
-        m = M.fit_classifier(part.filter(F.col("role") == "train"), CLF_FEATURES, "y_true", weight="w",
-                             reg_param=cand)
-        s = M.score(m, part.filter(F.col("role") == "test"))
+        start = n - (P.CV_SPLITS - fold) * size
+        train = d.filter(F.col("idx") < start)
+        m = build_fn(cand, features)(_weighted(train, train))
+        s = M.score(m, d.filter((F.col("idx") >= start) & (F.col("idx") < start + size)))
         c = E.confusion(s, [], (F.col("y_prob") >= 0.5).cast("int")).first()
         return (float(cand), fold, float(c["f1"]))
 
@@ -206,43 +226,45 @@ def cv_search(spark, sf_dir):
 
 
 PERM_REPEATS = 3
+PERM_TOP = 20
 PERM_SEED = 607
 
 
 @register("permutation_importance")
 def permutation_importance(spark, sf_dir):
-    """F1 drop when one feature's test values are permuted (3 repeats).
+    """F1 change when one feature's validation values are permuted (3 repeats),
+    at the threshold selected on validation; the 20 largest.
 
     The permutation of repeat r is the row order of ``xxhash64(seed, r, idx)``
     (a two-level row index per repeat); donors are joined back on the index.
-    All (feature, repeat) variants are scored in ONE transform: each test row is
+    All (feature, repeat) variants are scored in ONE transform: each row is
     exploded into its variants, so no per-feature loop of jobs is needed.
     """
-    w, _ = _weighted(_clf_frame(spark, sf_dir))
-    w = w.cache()
-    model = M.fit_classifier(w.filter(F.col("split") == "train"), CLF_FEATURES, "y_true", weight="w")
-    test = series.add_row_index(w.filter(F.col("split") == "test").drop("w"), "ts", idx="idx")
-    reps = test.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(PERM_REPEATS - 1))))
+    w, features = _clf_frame(spark, sf_dir)
+    w = _weighted(w, w.filter(F.col("split") == "train"))
+    model = M.fit_classifier(w.filter(F.col("split") == "train"), features, "y_true", weight="w", reg_param=REGULARISED)
+    rows = materialize(series.add_row_index(w.filter(F.col("split") == "validation").drop("w"), "ts", idx="idx"), "validation")
+    scored = M.score(model, rows).select(F.lit("m").alias("model"), "y_true", "y_prob")
+    best = E.threshold_select(E.threshold_sweep(scored, ["model"], P.GRID_BASELINE), ["model"]).first()
+    cut = F.lit(float(best["threshold"]) if best else 0.5)
+    reps = rows.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(PERM_REPEATS - 1))))
     reps = reps.withColumn("_h", F.xxhash64(F.lit(PERM_SEED), F.col("rep"), F.col("idx")))
     ranked = series.add_row_index(reps.select("rep", "idx", "_h"), "_h", keys=["rep"], idx="pos",
                                   block_width=float(2 ** 58))
     # recipient at position `pos` receives the donor row with natural index `idx`
     donors = ranked.select("rep", F.col("pos").alias("idx"), F.col("idx").alias("donor"))
-    donor_vals = test.select(F.col("idx").alias("donor"), *[F.col(c).alias(f"_p_{c}") for c in CLF_FEATURES])
+    donor_vals = rows.select(F.col("idx").alias("donor"), *[F.col(c).alias(f"_p_{c}") for c in features])
     perm = reps.drop("_h").join(donors, ["rep", "idx"]).join(donor_vals, "donor")
-    variants = F.explode(F.array(*[F.lit(c) for c in CLF_FEATURES]))
-    v = perm.withColumn("feature", variants)
-    v = v.withColumns({c: F.when(F.col("feature") == c, F.col(f"_p_{c}")).otherwise(F.col(c)) for c in CLF_FEATURES})
-    scored = M.score(model, v).withColumn("y_pred", (F.col("y_prob") >= 0.5).cast("int"))
-    permuted = E.confusion(scored, ["feature", "rep"], "y_pred")
-    base = E.confusion(M.score(model, test).withColumn("y_pred", (F.col("y_prob") >= 0.5).cast("int")), [], "y_pred")
-    base_row = base.first()
-    b_f1, b_f2 = float(base_row["f1"]), float(base_row["f2"])
+    v = perm.withColumn("feature", F.explode(F.array(*[F.lit(c) for c in features])))
+    v = v.withColumns({c: F.when(F.col("feature") == c, F.col(f"_p_{c}")).otherwise(F.col(c)) for c in features})
+    permuted = E.confusion(M.score(model, v).withColumn("y_pred", (F.col("y_prob") >= cut).cast("int")), ["feature", "rep"], "y_pred")
+    base = E.confusion(scored.withColumn("y_pred", (F.col("y_prob") >= cut).cast("int")), [], "y_pred").first()
+    b_f1, b_f2 = float(base["f1"] or 0.0), float(base["f2"] or 0.0)
     agg = permuted.groupBy("feature").agg(F.avg("f1").alias("permuted_f1"), F.avg("f2").alias("permuted_f2"))
     signed = F.lit(b_f1) - F.col("permuted_f1")
-    return agg.select("feature", F.lit(b_f1).alias("baseline_f1"), r6("permuted_f1").alias("permuted_f1"),
-                      F.lit(b_f2).alias("baseline_f2"), r6("permuted_f2").alias("permuted_f2"),
-                      r6(signed).alias("signed_f1_drop"), r6(F.abs(signed)).alias("absolute_f1_drop"),
-                      F.when(signed > 0, "positive").when(signed < 0, "negative").otherwise("neutral").alias("impact_sign"),
-                      F.when(signed > 0, "feature helps").when(signed < 0, "feature hurts")
-                       .otherwise("no effect").alias("impact_direction"))
+    out = agg.select("feature", F.lit(b_f1).alias("baseline_f1"), r6("permuted_f1").alias("permuted_f1"),
+                     F.lit(b_f2).alias("baseline_f2"), r6("permuted_f2").alias("permuted_f2"),
+                     r6(signed).alias("signed_importance_f1_change"), r6(F.abs(signed)).alias("absolute_importance_f1_change"),
+                     F.when(signed > 0, "+").when(signed < 0, "-").otherwise("0").alias("impact_sign"),
+                     F.when(signed > 0, "helps").when(signed < 0, "hurts").otherwise("neutral").alias("impact_direction"))
+    return out.orderBy(F.desc("absolute_importance_f1_change"), "feature").limit(PERM_TOP)
