@@ -117,6 +117,15 @@ def test_leaks(spark, docs, no_docs):
     assert spans[600, 1] == (0, 30) and spans[600, 2] == (30, 60)
 
 
+def test_documents_with_frequent_seeds_only(spark):
+    """A lot whose only hits are seeds far more frequent than the item's median seed."""
+    item = "of the and " + " ".join(f"rare{k}" for k in range(20))
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = spark.createDataFrame([(k, "of the and so on") for k in range(50)] + [(99, item)], "doc_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in decontam.find_leaks(docs, bench).collect()] == [(99, 1)]
+    assert decontam.find_leaks(docs.filter("doc_id < 99"), bench).count() == 0
+
+
 def test_hilbert_curve_steps_to_neighbours():
     for bits, dims in ((3, 2), (2, 3), (2, 4)):
         cells = np.array(list(itertools.product(range(1 << bits), repeat=dims)))

@@ -139,6 +139,8 @@ def leaks(items: Items, ids: list[int | None], texts: list[str | None], similari
     at = np.repeat(at, many)
     rare = items.rare[entry]
     at, entry = at[rare], entry[rare]
+    if not len(at):
+        return
     doc, item = np.searchsorted(begin, at, "right") - 1, items.item[entry]
     diagonal = at - items.at[entry]
     order = np.lexsort((diagonal, item, doc))
