@@ -2,6 +2,7 @@
 gaps in the hourly axis, so row-position semantics are exercised)."""
 
 import math
+import sys
 
 import pytest
 
@@ -56,3 +57,12 @@ def test_query_matches_oracle(spark, duck, key):
 def test_model_queries_produce_rows(spark, key):
     rows = E.queries()[key](spark, "/root/testdata/sf0.01").collect()
     assert len(rows) > 0
+
+
+def test_entry_works_without_the_training_data_subpackage(monkeypatch):
+    for name in [m for m in sys.modules if m.startswith("voltframe.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "voltframe.llm", None)
+    keys = set(E.queries())
+    assert len(keys) >= 90 and "pipeline" not in keys and not any(k.startswith("op10_") for k in keys)
+    assert set(E.oracle_sql()) <= keys
