@@ -26,6 +26,7 @@ not read.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,16 +45,23 @@ LOT_DOCS = 400
 MEMORY = 1 << 19
 FOUND = "doc_id long, item_id long, first long, past long, score long, similarity double"
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
+_ASCII_EDGES = bytes(c for c in range(128) if not chr(c).isalnum())
+
+
+def normal(word: str) -> str:
+    """Lower case, without what is neither letter nor digit at either end."""
+    word = word.lower()
+    return word if word[:1].isalnum() and word[-1:].isalnum() else _EDGES.sub("", word)
 
 
 class Vocabulary(dict):
     """Raw word -> id of its normal form: 0 if no item has it, -1 for punctuation only."""
 
     def __init__(self):
-        self.ids: dict[str, int] = {}
+        self.ids: dict[bytes, int] = {}
 
     def __missing__(self, raw: bytes) -> int:
-        word = _EDGES.sub("", raw.decode().lower())
+        word = raw.strip(_ASCII_EDGES).lower() if raw.isascii() else normal(raw.decode()).encode()
         out = self.ids.get(word, 0) if word else -1
         if len(raw) <= 64:
             if len(self) >= MEMORY:
@@ -75,7 +83,7 @@ class Items:
         ids = self.vocabulary.ids
         self.item_ids, self.words = [], []
         for item, text in rows:
-            words = [w for raw in (text or "").split() if (w := _EDGES.sub("", raw.lower()))]
+            words = [w.encode() for raw in (text or "").encode().split() if (w := normal(raw.decode()))]
             if len(words) >= SEED:
                 self.item_ids.append(item)
                 self.words.append(np.array([ids.setdefault(w, len(ids) + 1) for w in words], np.int64))
@@ -86,6 +94,7 @@ class Items:
         self.seeds, self.begin = np.unique(self.key, return_index=True)
         self.end = np.r_[self.begin[1:], len(self.key)]
         self.rare = np.ones(len(self.key), bool)
+        self.name = uuid.uuid4().hex
 
     def keys(self, words: np.ndarray) -> np.ndarray:
         out = words[:-2] * self.base + words[1:-1]
@@ -126,11 +135,27 @@ def align(item: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return best, end
 
 
+#: name of a block of items -> what this worker remembers of its words, kept from the first pass to the second
+_REMEMBERED: dict[str, Vocabulary] = {}
+
+
+def lot_words(items: Items, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Word ids of a lot of texts, a 0 after each, and where each begins."""
+    if items.name not in _REMEMBERED:
+        _REMEMBERED.clear()
+        _REMEMBERED[items.name] = items.vocabulary
+    words = [_REMEMBERED[items.name].of(t) for t in texts]
+    sizes = np.array([len(w) + 1 for w in words])
+    begin = np.r_[0, np.cumsum(sizes)]
+    flat = np.zeros(begin[-1], np.int64)
+    for w, at in zip(words, begin):
+        flat[at:at + len(w)] = w
+    return flat, begin
+
+
 def leaks(items: Items, ids: list[int | None], texts: list[str | None], similarity: float) -> Iterator[tuple]:
     """Rows of FOUND for a lot of documents."""
-    words = [items.vocabulary.of(t) for t in texts]
-    flat = np.concatenate([np.r_[w, 0] for w in words])
-    begin = np.cumsum([0, *[len(w) + 1 for w in words]])
+    flat, begin = lot_words(items, texts)
     at, slot = items.hits(flat)
     if not len(at):
         return
@@ -198,12 +223,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
 
 def _counter(shipped):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, total = shipped.value, None
+        items = shipped.value
         total = np.zeros(len(items.seeds), np.int64)
         for batch in batches:
-            for text in batch.column(0):
-                _, slot = items.hits(items.vocabulary.of(text.as_py()))
-                np.add.at(total, slot, 1)
+            for part in (batch.slice(k, LOT_DOCS) for k in range(0, batch.num_rows, LOT_DOCS)):
+                _, slot = items.hits(lot_words(items, part.column(0).to_pylist())[0])
+                total += np.bincount(slot, minlength=len(total))
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["slot", "n"])
     return run
