@@ -2,8 +2,9 @@
 
 Seeds are the ``SEED``-word grams of the test items.  A first pass counts every
 seed over the whole corpus; a seed is rare if it is no more than ``RARE`` times
-as frequent as the median seed of its item (so at least half of an item's seeds
-stay, also where an item has leaked thousands of times).  A second pass joins
+as frequent as the median of its item's seeds that occur (so at least half of
+those stay, where an item has leaked thousands of times or as an edited copy
+that lacks most of its seeds).  A second pass joins
 passages and items on rare seeds: two different seeds of an item at close
 diagonals make a candidate window, whose Smith-Waterman alignment with the item
 scores verbatim, edited and partly rewritten copies alike.
@@ -114,7 +115,8 @@ class Items:
         often = counts[np.searchsorted(self.seeds, self.key)]
         for k in range(len(self.words)):
             mine = self.item == k
-            self.rare[mine] = often[mine] <= rare * np.median(often[mine])
+            seen = often[mine][often[mine] > 0]
+            self.rare[mine] = often[mine] <= rare * np.median(seen) if len(seen) else True
 
 
 def align(item: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
