@@ -75,6 +75,30 @@ def test_window_hashes_depend_on_words_alone():
     assert (substrings.sliding_min(a, 15) == [a[k:k + 15].min() for k in range(len(a) - 14)]).all()
 
 
+def test_windows_of_a_frequent_phrase_are_dealt_by_their_own_hash(spark):
+    """Different windows that share their least part leave its bucket; equal ones still meet."""
+    rng = random.Random(4)
+    size, words = 997, common.WordHashes()
+    up, down = substrings.powers(substrings.BASE, 6), substrings.powers(substrings.INVERSE, 6)
+    part = lambda t: substrings.window_hashes(words.of([f"p{t}x{k}".encode() for k in range(6)]), 6, up, down)[0]
+    best = min(range(3000), key=part)                       # a phrase whose hash is least in all windows that hold it
+    phrase = [f"p{best}x{k}" for k in range(6)]
+    texts = [[f"u{i}x{k}" for k in range(19)] + phrase + [f"v{i}x{k}" for k in range(19)] for i in range(300)]
+    lot = [words.of([w.encode() for w in t]) for t in texts]
+    least = lambda h: [len(r["hashes"]) // 6 for r in h.rows(list(range(300)), lot).to_pylist() if not r["local"]]
+    plain = substrings.Hasher(size, 20)
+    held = {r["cell"]: r["n"] for r in plain.counts(list(range(300)), lot).to_pylist()}
+    assert sum(held.values()) == 300 * 25 == sum(least(plain))
+    heavy = np.array([c for c, n in held.items() if n > 100])
+    dealt = least(substrings.Hasher(size, 20, heavy))
+    assert sum(dealt) == 300 * 25 and max(least(plain)) > 4000 and max(dealt) < 100
+    rows = [(i, " ".join(texts[rng.randrange(40)] if i % 3 else texts[i])) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    spans = substrings.repeated_spans(docs, least_heavy=20)
+    got = {r.doc_id: r.n_removed for r in substrings.cut(docs, spans).collect()}
+    assert got == {i: x[1] for i, x in fx.plain_substrings(rows).items()}
+
+
 def plain_align(item, window):
     best = 0
     table = [[0] * (len(window) + 1) for _ in range(len(item) + 1)]

@@ -9,13 +9,19 @@ How the hashes travel: windows that share the least hash of their ``GRAM``-word
 parts stand in runs, and equal windows have equal least parts; so a run is sent
 as (least part, doc_id, start, length) and six bytes of each window hash, to
 the bucket of its least part.  Before that each task keeps one copy, the first,
-of every window it meets, so a passage in a third of all documents costs a
-bucket one entry a task.  Two windows count as equal if 48 bits of their
-hashes and 64 bits of the least parts are equal.
-
-Scale: the number of buckets follows the characters of the corpus, so a bucket
-stays at some ten MB; intervals are at most a few a document.  The texts are
-shuffled once, to meet their intervals.
+of every window it meets in a batch of ``BATCH_WORDS`` words, so a passage in a
+third of all documents costs a bucket one entry a batch.  Different windows may
+share a least part without limit (unique words around a frequent phrase), so a
+first pass counts the windows to be sent for each cell of least parts; those of
+a heavy cell are dealt by their own hash, where equal windows still meet.  Two
+windows count as equal if 48 bits of their hashes and 64 bits of the least parts
+are equal.
+
+Scale: the number of buckets follows the characters of the corpus and no cell
+adds more than a mean bucket to one, so a bucket stays at some ten MB; the heavy
+cells, no more than there are buckets, are broadcast.  Intervals are at most a
+few a document.  The texts are read twice and shuffled once, to meet their
+intervals.
 
 Defined results: null and empty texts have no words and no removals; texts
 shorter than a window lose nothing; of equal windows the first by (doc_id,
@@ -32,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, mix, one_per_id
+from .common import WordHashes, materialize, mix, one_per_id
 
 WINDOW, GRAM = 20, 6
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -40,6 +46,8 @@ INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 #: words that a task hashes at once, and characters of the corpus for each bucket
 BATCH_WORDS, BUCKET_CHARS = 1_000_000, 12_000_000
 BUCKETS_PER_PARTITION = 3
+#: cells of least parts for each bucket, and windows that make a cell heavy at least
+CELLS_PER_BUCKET, HEAVY = 8, 10_000
 RUNS = "bucket int, local boolean, docs binary, starts binary, sizes binary, least binary, hashes binary"
 
 
@@ -80,11 +88,17 @@ def intervals(docs: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[n
 class Hasher:
     """Runs of the windows of a batch of documents."""
 
-    def __init__(self, buckets: int, window: int):
+    def __init__(self, buckets: int, window: int, heavy: np.ndarray | None = None):
         self.buckets, self.window, self.gram = buckets, window, min(GRAM, window)
+        self.heavy = np.zeros(0, np.int64) if heavy is None else heavy
         self.known, self.up, self.down = WordHashes(), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
 
-    def rows(self, ids: list[int], words: list[np.ndarray]) -> pa.RecordBatch:
+    def cells(self, least: np.ndarray) -> np.ndarray:
+        """Cell of each least part."""
+        return (mix(least ^ INVERSE) % np.uint64(CELLS_PER_BUCKET * self.buckets)).astype(np.int64)
+
+    def windows(self, ids: list[int], words: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+        """Ids ascending; hash, least part, document and start of each window; which are copies of earlier ones."""
         by_id = np.argsort(np.array(ids, np.int64), kind="stable")
         ids = np.array(ids, np.int64)[by_id]
         sizes = np.array([len(words[k]) for k in by_id], np.int64)
@@ -101,15 +115,29 @@ class Hasher:
         order = np.argsort(full, kind="stable")
         again = np.zeros(len(full), bool)
         again[order[1:]] = (full[order[1:]] == full[order[:-1]]) & (least[order[1:]] == least[order[:-1]])
+        return ids, full, least, doc, start, again
+
+    def counts(self, ids: list[int], words: list[np.ndarray]) -> pa.RecordBatch:
+        """Windows that ``rows`` sends for each cell."""
+        _, _, least, _, _, again = self.windows(ids, words)
+        cell, n = np.unique(self.cells(least[~again]), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(cell), pa.array(n.astype(np.int64))], ["cell", "n"])
+
+    def rows(self, ids: list[int], words: list[np.ndarray]) -> pa.RecordBatch:
+        ids, full, least, doc, start, again = self.windows(ids, words)
         gone = intervals(doc[again], start[again], start[again] + self.window)
         out = [(int(ids[0] % self.buckets) if len(ids) else 0, True, ids[gone[0]].tobytes(), gone[1].astype("<u4").tobytes(), (gone[2] - gone[1]).astype("<u4").tobytes(), b"", b"")] if len(gone[0]) else []
         kept = np.flatnonzero(~again)
         full, least, doc, start = full[kept], least[kept], doc[kept], start[kept]
         if len(kept):
             new = np.r_[True, (least[1:] != least[:-1]) | (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + 1)]
+            if len(self.heavy):
+                alone = np.isin(self.cells(least), self.heavy)
+                new |= alone
             first = np.flatnonzero(new)
             length = np.diff(np.r_[first, len(full)])
-            bucket = (mix(least[first] ^ BASE) % np.uint64(self.buckets)).astype(np.int64)
+            dealt = np.where(alone[first], mix(least[first] ^ full[first]), least[first]) if len(self.heavy) else least[first]
+            bucket = (mix(dealt ^ BASE) % np.uint64(self.buckets)).astype(np.int64)
             turn = np.argsort(bucket, kind="stable")
             first, length, bucket = first[turn], length[turn], bucket[turn]
             take = np.repeat(first - np.r_[0, np.cumsum(length)[:-1]], length) + np.arange(len(full))
@@ -152,15 +180,15 @@ def repeats(table: pa.Table, window: int) -> pa.Table:
     return pa.table({"doc_id": np.r_[found[0], mine[0]], "first": np.r_[found[1], mine[1]], "past": np.r_[found[2], mine[1] + mine[2]]})
 
 
-def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def repeated_spans(docs: DataFrame, window: int = WINDOW, least_heavy: int = HEAVY) -> DataFrame:
     """``doc_id`` and ``spans`` (array of word intervals first, past; sorted, they
     may overlap) of the documents that repeat earlier windows; one row a doc_id expected."""
     spark = docs.sparkSession
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")), chars // BUCKET_CHARS)
 
-    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, ids, words, held = Hasher(buckets, window), [], [], 0
+    def batched(batches: Iterator[pa.RecordBatch], hasher: Hasher, each) -> Iterator[pa.RecordBatch]:
+        ids, words, held = [], [], 0
         for batch in batches:
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 found = (text.as_py() or "").encode().split()
@@ -169,12 +197,25 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                     words.append(hasher.known.of(found))
                     held += len(found)
                     if held >= BATCH_WORDS:
-                        yield hasher.rows(ids, words)
+                        yield each(ids, words)
                         ids, words, held = [], [], 0
         if ids:
-            yield hasher.rows(ids, words)
+            yield each(ids, words)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher(buckets, window)
+        yield from batched(batches, hasher, hasher.counts)
+
+    narrow = docs.select(F.col("doc_id").cast("long"), "text")
+    cells = materialize(narrow.mapInArrow(counted, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")), "cells")
+    most = max(least_heavy, (cells.agg(F.sum("n")).first()[0] or 0) // buckets)
+    shipped = spark.sparkContext.broadcast(np.array([r.cell for r in cells.filter(F.col("n") > most).collect()], np.int64))
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher(buckets, window, shipped.value)
+        yield from batched(batches, hasher, hasher.rows)
 
-    sent = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(runs, RUNS)
+    sent = narrow.mapInArrow(runs, RUNS)
     found = sent.groupBy("bucket").applyInArrow(lambda t: repeats(t, window), "doc_id long, first long, past long")
     return found.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("first", "past"))).alias("spans"))
 
