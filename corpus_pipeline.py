@@ -10,7 +10,9 @@ as Parquet and read again as the next stage's documents:
 4. benchmark decontamination: documents that contain a test item go;
 5. BPE encoding and decoding: ids and their decoded text.
 
-Rows without a doc_id cannot be referred to and end at stage 3; the other
+Every row is a document of its own, also where its doc_id is null or stands on
+other rows: stages 1, 3 and 4 take rows out by ``common.row_keyed``, never by a
+shared id.  In stage 3 rows are ordered by doc_id (null: last), then text.  All
 columns may be null.  Columns beside those of documents pass through stages 1-4.
 """
 
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltframe.llm import bpe, decontam, lines, minhash, quality
-from voltframe.llm.common import one_per_id
+from voltframe.llm.common import row_keyed
 from voltframe.session import ensure_checkpoint_dir, scratch_path
 
 #: words of a shingle in the near-duplicate stage
@@ -31,16 +33,17 @@ SHINGLE = 5
 MAX_BROADCAST_IDS = 1_000_000
 
 
-def _only(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Rows of ``docs`` with (left_semi) or without (left_anti) an id in ``ids``."""
-    ids = ids.select(F.col("doc_id").alias("__id")).distinct()
-    ids = F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
-    return docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col("__id").cast("long")), how)
+def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of ``docs`` without a ``__row`` among those of ``keys``."""
+    keys = keys.select(F.col("__row").alias("__gone"))
+    keys = F.broadcast(keys) if keys.count() <= MAX_BROADCAST_IDS else keys
+    return docs.join(keys, F.col("__row") == F.col("__gone"), "left_anti").drop("__row")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = quality.judge(docs.select("doc_id", "lang", "source", "text"))
-    return _only(docs, judged.filter(~F.col("kept")), "left_anti")
+    docs, _ = row_keyed(docs)
+    judged = quality.judge(docs.select("__row", "lang", "source", "text"))
+    return _without(docs, judged.filter(~F.col("kept")))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,8 +51,9 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    docs = one_per_id(docs)
-    return _only(docs, minhash.near_groups(docs, width=SHINGLE).filter(~F.col("kept")), "left_anti")
+    docs, _ = row_keyed(docs, ordered=("doc_id", "text"))
+    groups = minhash.near_groups(docs.select(F.col("__row").alias("doc_id"), "text"), width=SHINGLE)
+    return _without(docs, groups.filter(~F.col("kept")).select(F.col("doc_id").alias("__row")))
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -252,6 +252,27 @@ def test_pipeline_equals_plain_version(spark, tmp_path):
     assert 0 < len(got) < len(rows) and got == want
 
 
+def test_rows_with_null_or_repeated_ids_stay(spark, tmp_path):
+    """Stages 1, 3 and 4, op6 and op7 judge rows, not ids."""
+    rng = random.Random(21)
+    text = [fx.prose(rng, 40, 9000) for _ in range(6)]
+    item = " ".join(f"i{k}" for k in range(25))
+    rows = [(None, "short"), (None, text[0]), (None, text[1]), (1, "short"), (1, text[2]), (1, None), (2, text[3]), (2, text[4]),
+            (None, f"{text[5]} {item}"), (2, f"{item} {text[5]}"), (3, text[0]), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "a") for i, t in rows], "doc_id long, text string, lang string, source string")
+    spark.createDataFrame([(7, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    show = lambda d: sorted(((r.doc_id or 0, r.text or "") for r in d.collect()))
+    real = [(i or 0, t or "") for i, t in rows]
+    near_copy = (0, f"{text[5]} {item}")                    # of the row that has the same words in other order, and an id
+    assert show(corpus_pipeline.quality_stage(spark, docs, "")) == sorted(x for x in real if len(x[1]) > 9)
+    assert show(corpus_pipeline.near_stage(spark, docs, "")) == sorted(set(real) - {(0, text[0]), (0, "short"), near_copy})
+    assert show(corpus_pipeline.benchmark_stage(spark, docs, str(tmp_path))) == sorted(x for x in real if item not in x[1])
+    near = sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0, r.kept) for r in minhash.near_groups(docs).collect())
+    assert len(near) == len(rows) and (0, 39, 3, False) in near and (3, 39, 3, True) in near and (0, 1, 1, False) in near
+    cuts = sorted((r.doc_id or 0, r.n_removed) for r in substrings.remove_repeats(docs).collect())
+    assert cuts == sorted((i, len(t.split()) if (i, t) in ((0, text[0]), near_copy) else 0) for i, t in real)
+
+
 def test_pipeline_stages_take_an_empty_table(spark, no_docs):
     docs = no_docs
     for _, stage in corpus_pipeline.STAGES[:-1]:

@@ -10,6 +10,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from voltframe.session import materialize  # noqa: F401  (used by the operators)
 
@@ -42,6 +43,23 @@ def one_per_id(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     return docs.groupBy(key).agg(F.min(row).alias("__row")).select(key, "__row.*").select(*docs.columns)
 
 
+def row_keyed(docs: DataFrame, key: str = "__row", ordered: tuple[str, ...] = ()) -> tuple[DataFrame, bool]:
+    """``docs`` with a long ``key`` of its own for each row, and whether that is the doc_id.
+
+    Where no doc_id is null or repeated, it is the doc_id; else rows are numbered
+    in a written table, by the columns ``ordered`` (nulls last) if any are given.
+    """
+    if isinstance(docs.schema["doc_id"].dataType, IntegralType):
+        ids = docs.select("doc_id")
+        if ids.filter("doc_id is null").isEmpty() and ids.groupBy("doc_id").count().filter("count > 1").isEmpty():
+            return docs.withColumn(key, F.col("doc_id").cast("long")), True
+    if ordered:
+        order = [F.col(c).asc_nulls_last() for c in ordered]
+        parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        docs = docs.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    return materialize(docs.withColumn(key, F.monotonically_increasing_id()), "rows"), False
+
+
 class WordHashes(dict):
     """bytes -> 64-bit hash, remembered up to ``WORD_MEMORY`` words."""
 

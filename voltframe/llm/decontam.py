@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, words_col
+from .common import materialize, row_keyed, words_col
 
 SEED, RARE = 3, 8
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -248,7 +248,8 @@ def _finder(shipped, similarity: float):
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, max_broadcast: int = 1_000_000) -> DataFrame:
-    """``docs`` without the documents that contain a test item."""
-    gone = materialize(find_leaks(docs, benchmark).select("doc_id").distinct(), "leaks")
+    """``docs`` without the rows that contain a test item (row by row, also where ids are null or repeated)."""
+    docs, _ = row_keyed(docs, "__at")
+    gone = materialize(find_leaks(docs.select(F.col("__at").alias("doc_id"), "text"), benchmark).select("doc_id").distinct(), "leaks")
     gone = gone.withColumnRenamed("doc_id", "__leak")
-    return docs.join(F.broadcast(gone) if gone.count() <= max_broadcast else gone, F.col("doc_id") == F.col("__leak"), "left_anti")
+    return docs.join(F.broadcast(gone) if gone.count() <= max_broadcast else gone, F.col("__at") == F.col("__leak"), "left_anti").drop("__at")

@@ -30,7 +30,9 @@ is written to the shared folder, so a lost executor repeats one step.
 
 Defined results: null or empty text: empty set, linked with nothing; fewer
 words than a shingle: the whole sequence is one shingle; rows without doc_id
-and repeats of a doc_id as in ``common.one_per_id``; other columns are not read.
+and rows that share one are documents of their own (``common.row_keyed``), a
+null id last, and a group of rows without ids has a null component_id; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -43,7 +45,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, materialize, mix, one_per_id
+from voltframe.session import join_small
+
+from .common import WordHashes, materialize, mix, row_keyed
 
 WIDTH, PERCENT = 2, 80
 BANDS, ROWS = 48, 6
@@ -274,7 +278,21 @@ def _shared_sizes(sets: DataFrame) -> DataFrame:
 
 def near_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of each document."""
-    docs = one_per_id(docs.select("doc_id", "text"))
+    docs, plain = row_keyed(docs.select("doc_id", "text"), ordered=("doc_id", "text"))
+    names, docs = docs.select(F.col("__row").alias("__a"), F.col("doc_id").alias("__name")), docs.select(F.col("__row").alias("doc_id"), "text")
+    groups = _groups(docs, width, percent, bands, rows)
+    if plain:
+        return groups
+    # a component is named by the id of its first row; those rows are joined by their own keys, so a large group meets nowhere
+    groups = materialize(groups, "groups")
+    heads = groups.filter("kept").select("component_id").join(names, F.col("component_id") == F.col("__a")).select(F.col("component_id").alias("__head"), F.col("__name").alias("__head_name"))
+    named = groups.join(names, F.col("doc_id") == F.col("__a"))
+    return (join_small(named, heads, F.col("component_id") == F.col("__head"), "left", MAX_BROADCAST_IDS)
+            .select(F.col("__name").alias("doc_id"), "n_shingles", F.col("__head_name").alias("component_id"), "kept"))
+
+
+def _groups(docs: DataFrame, width: int, percent: int, bands: int, rows: int) -> DataFrame:
+    """``near_groups`` of documents with one long doc_id each."""
     all_sets = materialize(sketched(docs, width, bands, rows), "sketches")
     classes = materialize(all_sets.filter("n > 0").groupBy("same").agg(F.min("doc_id").alias("rep")), "classes")
     reps = all_sets.join(classes, F.col("doc_id") == F.col("rep"), "left_semi")

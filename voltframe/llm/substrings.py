@@ -26,7 +26,8 @@ intervals.
 Defined results: null and empty texts have no words and no removals; texts
 shorter than a window lose nothing; of equal windows the first by (doc_id,
 start) stays, overlapping repeats within a text included; rows without doc_id
-and repeats of a doc_id as in ``common.one_per_id``; other columns are not read.
+(last) and rows that share one (by text) are documents of their own, as in
+``common.row_keyed``; other columns are not read.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, materialize, mix, one_per_id
+from .common import WordHashes, materialize, mix, row_keyed
 
 WINDOW, GRAM = 20, 6
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -243,5 +244,9 @@ def cut(docs: DataFrame, spans: DataFrame) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    docs = one_per_id(docs.select("doc_id", "text"))
-    return cut(docs, repeated_spans(docs, window))
+    docs, plain = row_keyed(docs.select("doc_id", "text"), ordered=("doc_id", "text"))
+    names, docs = docs.select(F.col("__row").alias("__a"), F.col("doc_id").alias("__name")), docs.select(F.col("__row").alias("doc_id"), "text")
+    out = cut(docs, repeated_spans(docs, window))
+    if plain:
+        return out
+    return out.join(names, F.col("doc_id") == F.col("__a")).select(F.col("__name").alias("doc_id"), "n_words", "n_removed", "kept")
