@@ -128,6 +128,15 @@ def test_toxicity_edges(spark, docs, no_docs, rows):
     assert toxicity.score_toxicity(no_docs, labels).count() == 0
 
 
+def test_toxicity_trains_on_the_slots_it_scores(spark):
+    texts = [(1, "Don't \"id*ot\" by-nc, plain 2026-12-03."), (2, "don't\x0bİstanbul"), (3, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 1), (2, 1, 0), (3, 0, 1)], "doc_id long, quality int, toxic int")
+    rows, grades = toxicity.training_rows(docs, labels)
+    want = [(toxicity.features(t, toxicity.Slots()).tolist(), g) for (_, t), g in zip(texts, (1, 0, 2))]
+    assert sorted(zip([r.tolist() for r in rows], grades.tolist())) == sorted(want)
+
+
 def test_ordinal_fit_recovers_order_and_gradient():
     rng = np.random.default_rng(4)
     rows = [np.unique(rng.integers(0, 40, 8)) for _ in range(1500)]

@@ -29,8 +29,6 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import words_col
-
 HASH_BITS, MAX_TRAIN = 18, 8000
 STEPS, RATE, PENALTY = 150, 0.1, 1e-4
 MEMORY = 1 << 19
@@ -86,14 +84,20 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, n_grades: int, steps: int =
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> tuple[list[np.ndarray], np.ndarray]:
-    """Features and grades of the bounded sample (at most ``most`` rows reach the driver, as distinct words)."""
+    """Features and grades of the bounded sample (at most ``most`` rows reach the driver, as the slots that scoring reads)."""
     marked = (labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
-    words = F.array_distinct(F.transform(words_col(F.col("text")), lambda w: F.translate(F.lower(w), EDGES.decode(), "")))
-    found = docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id").select("toxic", "quality", words.alias("words"))
-    slots, rows, grades = Slots(), [], []
-    for r in found.toLocalIterator():
-        rows.append(np.unique(np.array([slots[w.encode()] for w in r.words], np.int64)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots = Slots()
+        for batch in batches:
+            found = [features(t.as_py(), slots).astype("<i8").tobytes() for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], ["toxic", "quality", "slots"])
+
+    found = docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id").select(F.col("toxic").cast("long"), F.col("quality").cast("long"), "text")
+    rows, grades = [], []
+    for r in found.mapInArrow(run, "toxic long, quality long, slots binary").toLocalIterator():
+        rows.append(np.frombuffer(r.slots, "<i8"))
         grades.append(0 if not r.toxic else 1 if r.quality != 0 else 2)
     return rows, np.array(grades, np.int64)
 
