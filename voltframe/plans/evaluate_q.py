@@ -167,7 +167,7 @@ bl AS (SELECT 'naive' AS model, ts, split, y_true, naive_prob AS y_prob FROM bs
     "SELECT ts, split, y_true, naive_prob, seasonal_naive_prob, " + S.r6("mean_prob") + " AS mean_prob FROM bs "
     "WHERE split <> 'train'", extra=BASE_CTES))
 def baseline_scores(spark, sf_dir):
-    """Baseline probabilities on validation and test."""
+    """Baseline probabilities on validation and test."""
     b = _baseline_frame(spark, sf_dir).filter(F.col("split") != "train")
     return b.select("ts", "split", "y_true", "naive_prob", "seasonal_naive_prob", r6("mean_prob").alias("mean_prob"))
 
