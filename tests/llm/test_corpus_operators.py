@@ -185,6 +185,17 @@ def test_shards(spark, docs, no_docs, rows):
     assert spans.agg(F.sum("rows")).first()[0] == len(rows)
 
 
+def test_strings_with_a_common_prefix_have_cells_of_their_own(spark):
+    rows = [(i, None if i % 9 == 8 else f"https://host{i % 9}/é") for i in range(180)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string")
+    wide, names = sharding.curve_index(docs, ["source"])
+    index = {}
+    for r in wide.collect():
+        index.setdefault(r.source or "", set()).add(r["__hilbert"])
+    order = [index[k] for k in sorted(index)]
+    assert all(len(x) == 1 for x in order) and sorted(map(min, order)) == list(map(min, order)) and len(set(map(min, order))) == 9
+
+
 def test_op5_query(spark):
     sf = "/root/testdata/sf0.001"
     texts = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}

@@ -1,8 +1,8 @@
 """Operator 5: shards along a Hilbert curve.
 
 Several metadata dimensions are quantised to ``2^BITS`` cells (cuts at
-approximate quantiles; strings by their first eight bytes, so cells keep their
-order), a row's cells give its index on the Hilbert curve, rows are sorted by
+approximate quantiles; of whole strings, at cumulative shares of their counted
+values in byte order), a row's cells give its index on the Hilbert curve, rows are sorted by
 (index, id), and the sorted sequence is cut into runs.  Law ``rows``: the counts
 of two shards differ by one at most.  A shard covers a compact part of the
 metadata space, so the least and greatest values of ``manifest`` prune shards on
@@ -21,6 +21,8 @@ rows; other columns pass through untouched if asked for in ``keep``.
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -65,13 +67,28 @@ def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
 
 
 def ordinal(docs: DataFrame, name: str) -> Column:
-    """A dimension as an integer that keeps its order (null: least)."""
+    """A dimension as a value that keeps its order (null: least): bytes of a string, else an integer."""
     if isinstance(docs.schema[name].dataType, StringType):
-        head = F.rpad(F.substring(F.hex(F.col(name).cast("binary")), 1, 14), 14, "0")
-        return F.coalesce(F.conv(head, 16, 10).cast("long"), F.lit(LEAST))
+        return F.coalesce(F.col(name), F.lit("")).cast("binary")
     return F.coalesce(F.col(name).cast("long"), F.lit(LEAST))
 
 
+def string_cuts(wide: DataFrame, name: str, cells: int) -> list[bytes]:
+    """Ascending least values of the cells; a value belongs to the cell where its rows begin in the order of all."""
+    counts = materialize(wide.groupBy(F.col(name).alias("v")).agg(F.count("*").alias("n")), "strings")
+    parts = int(wide.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = materialize(counts.repartitionByRange(parts, "v").sortWithinPartitions("v").withColumn("part", F.spark_partition_id()), "string-order")
+    totals = sorted(placed.groupBy("part").agg(F.sum("n")).collect())        # one row a partition of the sort
+    if not totals:
+        return []
+    sums = np.cumsum([n for _, n in totals]).tolist()
+    before = wide.sparkSession.createDataFrame([(p, s - n) for (p, n), s in zip(totals, sums)], "p int, before long")
+    upto = F.sum("n").over(Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
+    seen = placed.withColumn("upto", upto).join(F.broadcast(before), F.col("part") == F.col("p"))
+    cell = seen.select("v", F.floor((F.col("before") + F.col("upto")) * cells / F.lit(sums[-1])).alias("cell"))
+    return sorted(bytes(r.v) for r in cell.groupBy("cell").agg(F.min("v").alias("v")).collect())
+
+
 def curve_index(docs: DataFrame, dimensions: list[str], bits: int = BITS) -> tuple[DataFrame, list[str]]:
     """``docs`` with ``__hilbert``; cuts are one small aggregate over the table."""
     if len(dimensions) * bits > 62:
@@ -79,12 +96,14 @@ def curve_index(docs: DataFrame, dimensions: list[str], bits: int = BITS) -> tup
     names = [f"__dim{k}" for k in range(len(dimensions))]
     wide = docs.select("*", *[ordinal(docs, d).alias(n) for d, n in zip(dimensions, names)])
     points = [k / (1 << bits) for k in range(1, 1 << bits)]
-    row = wide.agg(*[F.percentile_approx(n, points, ACCURACY).alias(n) for n in names]).first()
-    cuts = [np.unique(np.array(row[n] or [], np.int64)) for n in names]
+    strings = [isinstance(docs.schema[d].dataType, StringType) for d in dimensions]
+    row = wide.agg(F.count("*"), *[F.percentile_approx(n, points, ACCURACY).alias(n) for n, s in zip(names, strings) if not s]).first()
+    cuts = [string_cuts(wide, n, 1 << bits)[1:] if s else np.unique(np.array(row[n] or [], np.int64)) for n, s in zip(names, strings)]
 
     @F.pandas_udf("long")
     def index(*columns: pd.Series) -> pd.Series:
-        cells = np.column_stack([np.searchsorted(c, v.to_numpy(), "right") for c, v in zip(cuts, columns)])
+        cells = np.column_stack([v.map(lambda x, c=c: bisect_right(c, bytes(x))).to_numpy(np.int64) if s else np.searchsorted(c, v.to_numpy(), "right")
+                                 for c, v, s in zip(cuts, columns, strings)])
         return pd.Series(hilbert(cells, bits))
 
     return wide.withColumn("__hilbert", index(*names)), names
