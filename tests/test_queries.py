@@ -6,7 +6,7 @@ import sys
 
 import pytest
 
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 
 import __spark_entry__ as E
 

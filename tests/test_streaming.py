@@ -3,7 +3,7 @@ operators on the same rows."""
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 
 import __spark_entry__ as E
 
