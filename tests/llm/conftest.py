@@ -7,7 +7,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-import fixtures as fx  # noqa: E402
+import llm_fixtures as fx  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -5,7 +5,7 @@ import itertools
 import random
 import zlib
 
-import fixtures as fx
+import llm_fixtures as fx
 import numpy as np
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer

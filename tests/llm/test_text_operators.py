@@ -2,7 +2,7 @@
 
 import random
 
-import fixtures as fx
+import llm_fixtures as fx
 import numpy as np
 import public_tokenizers as P
 from pyspark.sql import functions as F
