@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import bpe, chat, common, decontam, lines, minhash, quality, sharding, substrings, toxicity, unigram
+from . import bpe, chat, common, decontam, divergence, lines, minhash, quality, repair, sharding, substrings, tokenfiles, toxicity, unigram
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -203,3 +204,121 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
+
+
+def _repair_sql() -> str:
+    """The edits by a recursion over turns with the four states of the role grammar
+    (nothing yet, system, open pair, closed pair) in place of stacks."""
+    far = 1_000_000_000
+    add = lambda way, cost, letter: f"struct_pack(c := {way}.c + {cost}, a := {way}.a || {letter})"
+    least = lambda *ways: f"list_sort([{', '.join(ways)}])[1]"
+    given = lambda way, role: add(way, f"(CASE WHEN go THEN {far} WHEN ini = '{role}' THEN extra ELSE extra + 1 END)",
+                                  f"CASE WHEN ini = '{role}' THEN 'K' ELSE 'R' END")
+    kept = lambda way, role: add(way, f"(CASE WHEN go OR ini <> '{role}' THEN {far} ELSE extra END)", "'K'")
+    step = [add("s0", 2, "'D'"), least(add("s1", 2, "'D'"), kept("s0", "s")),
+            least(add("s2", 2, "'D'"), *(given(s, "u") for s in ("s0", "s1", "s3"))), least(add("s3", 2, "'D'"), given("s2", "a"))]
+    opened = least("t2", *(add(t, 5, "'I'") for t in ("t0", "t1", "t3")))
+    return rf"""
+WITH RECURSIVE
+ src AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS place FROM conversations),
+ fate AS (SELECT *, xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(place, ''), lambda ch: ord(ch)::UBIGINT)),
+             lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+               lambda x, z: xor(x >> 1, 3988292384::UBIGINT * (x & 1)))), 4294967295::UBIGINT) % 20 AS f FROM src),
+ hurt AS (SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+            CASE WHEN f = 1 THEN '' WHEN f = 2 THEN translate(text, '.!?', '') ELSE text END AS text
+          FROM fate, unnest(generate_series(1, CASE WHEN f = 3 THEN 2 ELSE 1 END)) WHERE f <> 0),
+ convs AS (SELECT conv_id, row_number() OVER () AS k FROM (SELECT DISTINCT conv_id FROM conversations)),
+ t0 AS (SELECT k, turn, role, text, row_number() OVER (PARTITION BY k ORDER BY turn NULLS FIRST, role, text) AS i
+        FROM hurt JOIN convs ON hurt.conv_id IS NOT DISTINCT FROM convs.conv_id),
+ t1 AS (SELECT *, left(role, 1) AS ini, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS said,
+          row_number() OVER (PARTITION BY k, role, text ORDER BY i) > 1 AS again FROM t0),
+ t AS (SELECT *, CASE WHEN said = '' THEN 'blank' WHEN again THEN 'duplicate' WHEN right(said, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'none' END AS fault,
+         said = '' OR again AS go, CASE WHEN right(said, 1) NOT IN ('.', '!', '?') THEN 5 ELSE 0 END AS extra,
+         coalesce(lag(ini) OVER (PARTITION BY k ORDER BY i) || ini NOT IN ('su', 'ua', 'au'), false) AS off FROM t1),
+ seen AS (SELECT k, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+            count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (off) AS illegal
+          FROM t GROUP BY k),
+ walk AS (SELECT k, 0 AS i, struct_pack(c := 0, a := '') AS s0, struct_pack(c := {far}, a := '') AS s1,
+            struct_pack(c := 5, a := 'I') AS s2, struct_pack(c := 10, a := 'II') AS s3 FROM seen
+          UNION ALL
+          SELECT k, i, t0, t1, t2, {least("t3", add("t2", 5, "'I'"))}
+          FROM (SELECT k, i, t0, t1, {opened} AS t2, t3
+                FROM (SELECT w.k, t.i, {", ".join(f"{e} AS t{j}" for j, e in enumerate(step))}
+                      FROM walk w JOIN t ON t.k = w.k AND t.i = w.i + 1))),
+ best AS (SELECT w.k, list_sort([s0, s3])[1] AS b FROM walk w JOIN seen ON seen.k = w.k AND seen.n = w.i),
+ letters AS (SELECT k, j, b.a[j] AS e, count(*) FILTER (b.a[j] <> 'I') OVER (PARTITION BY k ORDER BY j) AS i
+             FROM best, unnest(generate_series(1, length(b.a))) AS g(j)),
+ done AS (SELECT l.k, l.j, l.e, t.role, t.ini, CASE WHEN e = 'I' THEN '' ELSE t.text END AS text,
+            row_number() OVER (PARTITION BY l.k ORDER BY l.j) AS p, first_value(e || ini) OVER (PARTITION BY l.k ORDER BY l.j) = 'Ks' AS sys
+          FROM letters l LEFT JOIN t ON t.k = l.k AND t.i = l.i WHERE e <> 'D'),
+ said AS (SELECT k, string_agg(CASE WHEN e = 'K' THEN role WHEN (p + CASE WHEN sys THEN 1 ELSE 0 END) % 2 = 1 THEN 'user' ELSE 'assistant' END
+                               || ':' || text, chr(10) ORDER BY p) AS body FROM done GROUP BY k)
+SELECT conv_id, {", ".join(f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}" for c in ("gaps", "blank", "duplicate", "truncated", "illegal"))},
+       CAST(coalesce(b.c, 0) AS BIGINT) AS cost, coalesce(b.a, '') AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+FROM convs LEFT JOIN seen ON convs.k = seen.k LEFT JOIN best ON convs.k = best.k LEFT JOIN said ON convs.k = said.k
+"""
+
+
+SQL_REPAIR = _repair_sql()
+#: digest of nothing
+NO_TEXT = hashlib.sha256().hexdigest()
+
+
+@register("op11_conversation_repair", SQL_REPAIR)
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged by a fixed rule: its faults, its cheapest
+    edits, and the digest of its repaired turns."""
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    edits, repaired = repair.repair_conversations(repair.damage(rows))
+    sums = repair.digests(repaired).withColumnRenamed("conv_id", "summed")
+    both = edits.join(sums, F.col("conv_id").eqNullSafe(F.col("summed")), "left").withColumnRenamed("conv_id", "own")
+    every = rows.select("conv_id").distinct().join(both, F.col("conv_id").eqNullSafe(F.col("own")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return every.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("repaired_sha256", F.lit(NO_TEXT)).alias("repaired_sha256"))
+
+
+SQL_DIVERGENCE = r"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS k,
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+ w AS (SELECT lang, source, k, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+ kept AS (SELECT lang, term, count(*) AS ln FROM w GROUP BY lang, term HAVING count(DISTINCT k) >= 30),
+ lt AS (SELECT lang, count(*) AS v, sum(ln) AS nl FROM kept GROUP BY lang),
+ c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+ g AS (SELECT DISTINCT lang, source FROM d),
+ gt AS (SELECT g.lang, g.source, coalesce(sum(n), 0) AS total FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+ p AS (SELECT g.lang, g.source, kept.term, coalesce(n, 0) AS n,
+         1 + 1000000000::HUGEINT * (coalesce(n, 0) + 5) // (total::HUGEINT + 5 * v) AS p,
+         1 + 1000000000::HUGEINT * (ln + 5) // (nl::HUGEINT + 5 * v) AS q
+       FROM gt g JOIN kept USING (lang) JOIN lt USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+ pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f, 0) AS value
+           FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+           LEFT JOIN (SELECT x.lang, x.source, y.source AS other, sum(abs(x.p - y.p)) AS f
+                      FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term GROUP BY ALL) s
+             ON s.lang = a.lang AND s.source = a.source AND s.other = b.source),
+ terms AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM p WHERE n > 0 AND p > q),
+ every AS (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM every)
+WHERE part = 'pair' OR rank <= 50
+"""
+
+
+@register("op13_source_divergence", SQL_DIVERGENCE)
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language differ, and by which terms."""
+    return divergence.audit(common.documents(spark, sf_dir))
+
+
+END_ID = 2
+
+
+@register("op12_token_files")
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and checksum, as read back from the written token files."""
+    import public_tokenizers
+
+    manifest = tokenfiles.write_tokens(common.documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), END_ID)
+    return tokenfiles.read_tokens(manifest).select(
+        "doc_id", "start", F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
