@@ -11,7 +11,9 @@ from ..operators import evaluate as E
 from ..operators import prepare, series
 from . import sql as S
 from ..session import join_small, materialize
+from .forecast_q import hourly_forecasts
 from .inputs import hourly_system, predictions
+from .linear_sql import HOURLY_WALK, upper_tail
 from .registry import register
 
 PRED = S.pred_ctes()
@@ -133,10 +135,9 @@ def roc_curve(spark, sf_dir):
     return r.withColumns({"fpr": r6("fpr"), "tpr": r6("tpr")})
 
 
-def _baseline_frame(spark, sf_dir):
+def _baseline_frame(h):
     """Naive, seasonal naive (lag 22 of the current flag), train-mean scores."""
-    h = hourly_system(spark, sf_dir).select("ts", "price")
-    h = h.withColumn("spike", flag_above("price", P.SPIKE_THRESHOLD))
+    h = h.select("ts", "price").withColumn("spike", flag_above("price", P.SPIKE_THRESHOLD))
     shift = P.SEASONAL_PERIOD - P.HORIZON
     h = series.ordered(h, series.combine(series.leads("price", [P.HORIZON], name="price_lead"),
                                          series.lags("spike", [shift], name="seasonal")), reach=shift)
@@ -160,7 +161,11 @@ bs AS (SELECT ts, split, price, y_true, CAST(spike AS DOUBLE) AS naive_prob, CAS
               (SELECT avg(y_true) FROM b1 WHERE split = 'train') AS mean_prob FROM b1),
 bl AS (SELECT 'naive' AS model, ts, split, y_true, naive_prob AS y_prob FROM bs
        UNION ALL SELECT 'seasonal_naive', ts, split, y_true, seasonal_naive_prob FROM bs
-       UNION ALL SELECT 'mean', ts, split, y_true, mean_prob FROM bs)"""
+       UNION ALL SELECT 'mean', ts, split, y_true, mean_prob FROM bs{{walk}})"""
+#: the same with the walk-forward forecasts as fourth baseline
+WALK_CTES = HOURLY_WALK + BASE_CTES.replace("{walk}", f"""
+       UNION ALL SELECT 'walk_forward', ts, split, y_true, {upper_tail('forecast', 'forecast_se', P.SPIKE_THRESHOLD)} FROM bs LEFT JOIN wf USING (ts)""").replace("\nb0", ",\nb0", 1)
+BASE_CTES = BASE_CTES.replace("{walk}", "")
 
 
 @register("baseline_scores", S.with_h(
@@ -168,13 +173,17 @@ bl AS (SELECT 'naive' AS model, ts, split, y_true, naive_prob AS y_prob FROM bs
     "WHERE split <> 'train'", extra=BASE_CTES))
 def baseline_scores(spark, sf_dir):
     """Baseline probabilities on validation and test."""
-    b = _baseline_frame(spark, sf_dir).filter(F.col("split") != "train")
+    b = _baseline_frame(hourly_system(spark, sf_dir)).filter(F.col("split") != "train")
     return b.select("ts", "split", "y_true", "naive_prob", "seasonal_naive_prob", r6("mean_prob").alias("mean_prob"))
 
 
 def _baselines_long(spark, sf_dir):
-    b = _baseline_frame(spark, sf_dir)
+    """The four baselines, one row for each hour and baseline; hours without a
+    walk-forward forecast (J04) have a NULL score of it."""
+    h = hourly_system(spark, sf_dir)
+    b = _baseline_frame(h).join(hourly_forecasts(h).select("ts", "ar_prob"), "ts", "left")
     m = F.explode(F.array(
+        F.struct(F.lit("walk_forward").alias("model"), F.col("ar_prob").alias("y_prob")),
         F.struct(F.lit("naive").alias("model"), F.col("naive_prob").alias("y_prob")),
         F.struct(F.lit("seasonal_naive").alias("model"), F.col("seasonal_naive_prob").alias("y_prob")),
         F.struct(F.lit("mean").alias("model"), F.col("mean_prob").alias("y_prob"))))
@@ -208,16 +217,16 @@ FROM sel
 JOIN mv v ON v.model = sel.model JOIN mt t ON t.model = sel.model
 JOIN ({ap('validation')}) va ON va.model = sel.model JOIN ({auc('validation')}) vr ON vr.model = sel.model
 JOIN ({ap('test')}) ta ON ta.model = sel.model JOIN ({auc('test')}) tr ON tr.model = sel.model""",
-        extra=BASE_CTES + "," + sweep + "," + SELECT_SQL + f""",
+        extra=WALK_CTES + "," + sweep + "," + SELECT_SQL + f""",
 mv AS (SELECT model, {_metric_sql()} FROM (SELECT bl.model, {_counts_sql('y_prob >= sel.threshold')}
        FROM bl JOIN sel USING (model) WHERE split = 'validation' AND y_prob IS NOT NULL GROUP BY 1)),
 mt AS (SELECT model, {_metric_sql()} FROM (SELECT bl.model, {_counts_sql('y_prob >= sel.threshold')}
-       FROM bl JOIN sel USING (model) WHERE split = 'test' AND y_prob IS NOT NULL GROUP BY 1))""")
+       FROM bl JOIN sel USING (model) WHERE split = 'test' AND y_prob IS NOT NULL GROUP BY 1))""").replace("WITH", "WITH RECURSIVE", 1)
 
 
 @register("baseline_comparison", _cmp_sql(), headline=True)
 def baseline_comparison(spark, sf_dir):
-    """Per baseline, threshold tuned on validation, 12 metrics on both splits."""
+    """Per baseline (naive, seasonal naive, mean, walk-forward forecast), threshold tuned on validation, 12 metrics on both splits."""
     bl = _baselines_long(spark, sf_dir).filter(F.col("y_prob").isNotNull())
     val = bl.filter(F.col("split") == "validation")
     sel = E.threshold_select(E.threshold_sweep(val, ["model"], GRID), ["model"]).select(
