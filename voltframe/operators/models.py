@@ -2,9 +2,9 @@
 forecasts, and Spark ML classifiers.
 
 Only p x p matrices (p = number of regressors) reach the driver: the data are
-reduced by a single ``agg`` of cross products (partial sums map-side), the
-normal equations are solved with NumPy, and the coefficients go back into the
-plan as literals.  No loop touches rows.
+reduced by one array-valued aggregate of products (``moments``), the normal
+equations are solved with NumPy, and the coefficients go back into the plan as
+literals.  No loop touches rows.
 """
 
 from __future__ import annotations
@@ -15,43 +15,23 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
-from . import series
+from ..session import join_small, materialize
+from . import moments, series
 
 
-# --- Gram aggregate -------------------------------------------------------------------------
-
-def gram(df: DataFrame, columns: Sequence[str]) -> tuple[np.ndarray, int]:
-    """Uncentred cross-product matrix of ``columns`` over complete rows, and n."""
-    cols = list(columns)
-    d = df.select(*[F.col(c).cast("double").alias(f"_g{i}") for i, c in enumerate(cols)]).na.drop()
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for i in range(len(cols)):
-        for j in range(i, len(cols)):
-            aggs.append(F.sum(F.col(f"_g{i}") * F.col(f"_g{j}")).alias(f"s_{i}_{j}"))
-    row = d.agg(*aggs).first().asDict()
-    return _square(row, len(cols)), int(row["n"])
-
+# --- least squares --------------------------------------------------------------------------
 
 def ols(df: DataFrame, features: Sequence[str], target: str, intercept: bool = True) -> dict:
     """Least squares from X'X, X'y (one pass).  Returns coefficients,
     standard errors, residual variance, n."""
     xs = list(features)
-    g, n, means = centred_gram(df, [*xs, target]) if intercept else (*gram(df, [*xs, target]), None)
+    if intercept:
+        g, n, means = moments.co_moments(df, [*xs, target])
+    else:
+        (g, n), means = moments.products(df, [*xs, target]), None
     return _solve(g, n, means, xs, intercept)
 
 
-def centred_gram(df: DataFrame, columns: Sequence[str]) -> tuple[np.ndarray, int, np.ndarray]:
-    """Co-moments of ``columns`` over complete rows (sums of centred products, so
-    digits don't go as rows grow), n, and the means; one aggregate."""
-    cols = list(columns)
-    d = df.select(*[F.col(c).cast("double").alias(f"_g{i}") for i, c in enumerate(cols)]).na.drop()
-    aggs = [F.count(F.lit(1)).alias("n"), *[F.avg(f"_g{i}").alias(f"m_{i}") for i in range(len(cols))]]
-    aggs += [F.covar_pop(f"_g{i}", f"_g{j}").alias(f"s_{i}_{j}") for i in range(len(cols)) for j in range(i, len(cols))]
-    row = d.agg(*aggs).first().asDict()
-    return _square(row, len(cols)) * row["n"], int(row["n"]), np.array([row[f"m_{i}"] or 0.0 for i in range(len(cols))])
-
-
 def _square(row: dict, k: int) -> np.ndarray:
     g = np.zeros((k, k))
     for i in range(k):
@@ -89,25 +69,18 @@ def linear_expr(fit: dict) -> Column:
 
 
 def vif_screen(df: DataFrame, features: Sequence[str], limit: float = 10.0, min_features: int = 5) -> list[dict]:
-    """A32 (T32): VIF_i = G_ii * (G^-1)_ii with G = X'X (no intercept); drop the
+    """A32 (T32): VIF_i = G_ii * (G^-1)_ii with G = X'X (no intercept); columns that
+    earlier ones span go first (their VIF is infinite, shown as None), then the
     largest while it exceeds ``limit`` and more than ``min_features`` remain.
-    One aggregate; the loop runs on the small matrix only."""
-    g, _ = gram(df, features)
-    keep = list(range(len(features)))
-    steps = []
-    step = 0
-    while True:
-        sub = g[np.ix_(keep, keep)]
-        inv = np.linalg.pinv(sub)
-        vifs = np.diag(sub) * np.diag(inv)
-        worst = int(np.argmax(vifs))
-        for pos, i in enumerate(keep):
-            steps.append({"step": step, "feature": features[i], "vif": float(vifs[pos])})
-        if vifs[worst] <= limit or len(keep) <= min_features:
-            break
-        keep.pop(worst)
-        step += 1
-    return steps
+    One aggregate; each step is a rank-one update of the small matrix."""
+    g, _ = moments.products(df, features)
+    return moments.screened(g, features, limit, min_features)
+
+
+def selected(steps: list[dict]) -> list[str]:
+    """The columns left after the last step of a screening."""
+    last = max((s["step"] for s in steps if s["vif"] is not None), default=0)
+    return [s["feature"] for s in steps if s["step"] == last and s["vif"] is not None]
 
 
 # --- stationarity -------------------------------------------------------------------------------
@@ -117,40 +90,52 @@ def adf_kpss(df: DataFrame, cols: Sequence[str], order: str = "ts", adf_lags: in
     """A33 (re-aimed): ADF t statistic of the lagged level in
     dy_t = a + b y_{t-1} + sum c_j dy_{t-j} + e  (constant, fixed lags), and the
     KPSS level statistic  sum S_t^2 / (T^2 * lrv)  with Bartlett weights.
-    Lags and cumulative sums are halo windows / two-level prefix sums."""
-    parts = [_adf_kpss_one(df, c, order, adf_lags, kpss_lags) for c in cols]
-    out = []
-    for c, (fit, stats, lags) in zip(cols, parts):
-        t = float(stats["T"])
-        adf = float(fit["beta"][1] / fit["se"][1]) if fit["se"][1] > 0 else float("nan")
-        lrv = (stats["g0"] or 0.0) / max(t, 1.0)
-        for k in range(1, lags + 1):
-            lrv += 2.0 * (1.0 - k / (lags + 1.0)) * (stats[f"g{k}"] or 0.0) / t
-        kpss = stats["ss"] / (t * t * lrv) if lrv > 0 else float("nan")
-        out.append({"series": c, "adf_stat": adf, "adf_stationary": bool(adf < adf_crit),
-                    "kpss_stat": float(kpss), "kpss_stationary": bool(kpss < kpss_crit),
-                    "stationary": bool(adf < adf_crit and kpss < kpss_crit), "lags_adf": adf_lags,
-                    "lags_kpss": lags, "rows": int(t)})
-    return out
-
-
-def _adf_kpss_one(df: DataFrame, c: str, order: str, adf_lags: int, kpss_lags: int | None) -> tuple[dict, dict, int]:
-    """One series without its NULLs: the ADF regression and the KPSS sums from one written table."""
-    base = df.select(order, F.col(c).cast("double").alias("x")).filter(F.col("x").isNotNull())
-    size = base.agg(F.count("x").alias("n"), F.avg("x").alias("m")).first()
-    lags = int(4 * (size["n"] / 100.0) ** 0.25) if kpss_lags is None else kpss_lags
-    d = base.withColumn("e", F.col("x") - F.lit(size["m"] or 0.0))
+
+    All series at once: they are stacked to (series, time, value) without their
+    NULLs; lags and running sums are halo windows and two-level prefix sums keyed
+    by series; one grouped aggregate leaves a row a series.  The number of jobs
+    does not depend on the number of series."""
+    long = df.select(order, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot([order], list(cols), "series", "x").filter(F.col("x").isNotNull())
+    long = materialize(series.add_row_index(long, order, ["series"], idx="idx"), "stacked")
+    sizes = long.groupBy("series").agg(F.count("x").alias("n"), F.avg("x").alias("mean"))
+    lags = {r["series"]: int(4 * (r["n"] / 100.0) ** 0.25) if kpss_lags is None else kpss_lags for r in sizes.collect()}
+    most = max(lags.values(), default=0)
+    d = join_small(long, sizes.select("series", "mean"), "series").withColumn("e", F.col("x") - F.col("mean"))
 
     def build(w):
         back = {f"d{j}": F.lag("x", j).over(w) - F.lag("x", j + 1).over(w) for j in range(1, adf_lags + 1)}
-        return {"l1": F.lag("x", 1).over(w), **back, **{f"e{k}": F.lag("e", k).over(w) for k in range(1, lags + 1)}}
-
-    d = series.ordered(d, build, order=order, reach=max(adf_lags + 1, lags), keep_idx=True)
-    d = series.prefix_sums(d, ["e"], "idx", block=F.floor(F.col("idx") / F.lit(8760)))
-    d = materialize(d.withColumn("dy", F.col("x") - F.col("l1")), "stationarity")
-    stats = d.agg(F.count(F.lit(1)).alias("T"), F.sum(F.col("e_cum") ** 2).alias("ss"), F.sum(F.col("e") ** 2).alias("g0"),
-                  *[F.sum(F.col("e") * F.col(f"e{k}")).alias(f"g{k}") for k in range(1, lags + 1)]).first().asDict()
-    return ols(d, ["l1", *[f"d{j}" for j in range(1, adf_lags + 1)]], "dy"), stats, lags
+        return {"l1": F.lag("x", 1).over(w), "dy": F.col("x") - F.lag("x", 1).over(w), **back,
+                **{f"e{k}": F.lag("e", k).over(w) for k in range(1, most + 1)}}
+
+    d = series.ordered(d, build, order=order, keys=["series"], reach=max(adf_lags + 1, most), idx="idx")
+    d = series.prefix_sums(d, ["e"], "idx", ["series"], block=F.floor(F.col("idx") / F.lit(series.DEFAULT_BLOCK_ROWS)))
+    xs = ["l1", *[f"d{j}" for j in range(1, adf_lags + 1)], "dy"]
+    d = d.withColumns({f"_{c}": F.when(F.col(f"d{adf_lags}").isNotNull() if adf_lags else F.col("l1").isNotNull(), F.col(c)) for c in xs})
+    aggs = [F.covar_pop(f"_{a}", f"_{b}").alias(f"s_{i}_{j}") for i, a in enumerate(xs) for j, b in enumerate(xs) if i <= j]
+    stats = d.groupBy("series").agg(
+        F.count("x").alias("T"), F.count("_dy").alias("n"), *aggs, *[F.avg(f"_{c}").alias(f"m_{i}") for i, c in enumerate(xs)],
+        F.sum(F.col("e_cum") * F.col("e_cum")).alias("ss"), F.sum(F.col("e") * F.col("e")).alias("g0"),
+        *[F.sum(F.col("e") * F.col(f"e{k}")).alias(f"g{k}") for k in range(1, most + 1)])
+    found = {r["series"]: r.asDict() for r in stats.collect()}
+    return [_decided(c, found.get(c), xs, adf_lags, lags.get(c, 0), adf_crit, kpss_crit) for c in cols]
+
+
+def _decided(name: str, stats: dict | None, xs: list[str], adf_lags: int, lags: int, adf_crit: float, kpss_crit: float) -> dict:
+    """Statistics and decisions of one series; NaN (not stationary) where a
+    statistic is not defined: a constant series, or too few rows."""
+    adf = kpss = float("nan")
+    if stats is not None:
+        k = len(xs) - 1
+        g = _square(stats, k + 1) * stats["n"]
+        left = np.linalg.matrix_rank(g[:k, :k] / np.outer(*[np.sqrt(np.maximum(np.diag(g)[:k], 1e-300))] * 2), tol=1e-10) if stats["n"] > k + 1 else 0
+        if left == k:
+            fit = _solve(g, stats["n"], np.array([stats[f"m_{i}"] for i in range(k + 1)]), xs[:k], True)
+            adf = float(fit["beta"][1] / fit["se"][1]) if fit["se"][1] > 0 else adf
+        t = float(stats["T"])
+        lrv = stats["g0"] / t + sum(2.0 * (1.0 - j / (lags + 1.0)) * (stats[f"g{j}"] or 0.0) / t for j in range(1, lags + 1))
+        kpss = stats["ss"] / (t * t * lrv) if lrv > 0 else kpss
+    return {"series": name, "adf_stat": adf, "adf_stationary": bool(adf < adf_crit), "kpss_stat": float(kpss), "kpss_stationary": bool(kpss < kpss_crit),
+            "stationary": bool(adf < adf_crit and kpss < kpss_crit), "lags_adf": adf_lags, "lags_kpss": lags, "rows": int(stats["T"]) if stats else 0}
 
 
 # --- closed-form multi-step forecasts ---------------------------------------------------------
@@ -170,7 +155,7 @@ def var_select_and_fit(df: DataFrame, cols: Sequence[str], max_order: int = 4, o
         d = d.filter(train_filter)
     d = d.withColumn("_one", F.lit(1.0))
     lag_names = [f"_v{j}_{c}" for j in range(1, max_order + 1) for c in cols]
-    g, n = gram(d, ["_one"] + lag_names + cols)
+    g, n = moments.products(d, ["_one"] + lag_names + cols)
     best = None
     for p in range(1, max_order + 1):
         xs = [0] + [1 + (j - 1) * k + i for j in range(1, p + 1) for i in range(k)]

@@ -22,7 +22,7 @@ from . import series
 #: tasks that merge the matrices of all others
 MERGERS = 16
 #: a column with less than this share of itself left by other columns is spanned by them
-SPANNED = 1e-9
+SPANNED = 1e-8
 
 _PART = "n long, mean array<double>, moments array<double>"
 

@@ -1,5 +1,5 @@
-"""Queries: fitted models (rows-only checks; the fits are small driver maths on
-one Gram aggregate, or Spark ML estimators) -- A31-A33, M02, M05-M07, M09, M10."""
+"""Queries: fitted models (the fits are small driver maths on one aggregate of
+products, or Spark ML estimators) -- A31-A33, M02, M05-M07, M09, M10."""
 
 from __future__ import annotations
 
@@ -9,75 +9,100 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions import calendar as cal
-from ..functions.columns import normal_sf, r6
+from ..functions.columns import nan_to_null, normal_sf, r6
 from ..operators import evaluate as E
 from ..operators import models as M
 from ..operators import prepare, series
 from ..session import materialize
+from . import linear_sql
 from .inputs import hourly_system, wide_features
 from .registry import register
 
-OLS_FEATURES = ("d_price_1", "d_load_1", "sin_day", "cos_day", "sin_week", "cos_week", "spike")
+#: changes that are candidates beside the engineered columns: source, hours
+CHANGES = (("price", 1), ("price", 6), ("price", 24), ("load", 24), ("wind_total", 24), ("solar_total", 1), ("gas_total", 1),
+           ("net_load", 1), ("reserve_margin", 1), ("net_export", 1), ("renewables_share", 1))
+CHANGE_COLUMNS = tuple(f"{c}_change_{k}h" for c, k in CHANGES)
+#: calendar terms and flags that enter the price equation without screening
+ALWAYS = ("sin_day", "cos_day", "sin_week", "cos_week", "is_weekend", "is_event")
+TARGET = "target_change_2h"
 
 
-def _with_changes(spark, sf_dir):
-    w = wide_features(spark, sf_dir)
-    build = series.combine(series.leads("price", [P.HORIZON], name="price_lead_2"),
-                           series.lags("load", [1], name="load_lag_1"))
-    w = series.ordered(w, build, reach=P.HORIZON)
-    w = w.filter(F.col("price_lead_2").isNotNull()).withColumns({
-        "d_price_1": F.col("price") - F.col("price_lag_1h"),
-        "d_load_1": F.col("load") - F.col("load_lag_1"),
-        "target_change": F.col("price_lead_2") - F.col("price")})
-    return prepare.assign_split(w, P.HOURLY_SPLITS)
+def candidates(columns) -> list[str]:
+    """Every column that the role rules call continuous, and the changes."""
+    own = {*CHANGE_COLUMNS, TARGET, "price_lead_2"}
+    return [c for _, c, role in prepare.feature_catalog([c for c in columns if c not in own]) if role == "continuous"] + list(CHANGE_COLUMNS)
 
 
-@register("ols_price_change")
-def ols_price_change(spark, sf_dir):
-    """M09 + A31 + P34 + A26: OLS of the t+2 price change on train (one Gram
-    aggregate), price = current + predicted change, regression metrics per split."""
-    w = materialize(_with_changes(spark, sf_dir), "changes")
-    fit = M.ols(w.filter(F.col("split") == "train"), OLS_FEATURES, "target_change")
-    pred = w.withColumn("forecast", F.col("price") + M.linear_expr(fit))
-    out = E.regression_metrics(pred, "price_lead_2", "forecast", ["split"], P.SPIKE_THRESHOLD)
-    return out.withColumns({c: r6(c) for c in ("rmse", "mae", "spike_f1", "spike_precision", "spike_recall",
-                                              "predicted_spike_rate")})
+def equation_frame(spark, sf_dir):
+    """The engineered table with the changes, the price two hours on and the
+    target; rows where a candidate is missing go, as before a fit.  Written once."""
+    w = wide_features(spark, sf_dir)
+    build = series.combine(series.leads("price", [P.HORIZON], name="price_lead_2"),
+                           lambda win: {f"{c}_change_{k}h": F.col(c) - F.lag(c, k).over(win) for c, k in CHANGES})
+    w = series.ordered(w, build, reach=max(k for _, k in CHANGES)).withColumn(TARGET, F.col("price_lead_2") - F.col("price"))
+    xs = candidates(w.columns)
+    w = w.select("ts", "price_lead_2", TARGET, *xs, *ALWAYS).na.drop()
+    return materialize(prepare.assign_split(w, P.HOURLY_SPLITS), "equation"), xs
 
 
-VIF_FEATURES = ("price", "load", "total_generation", "total_capability", "gas_total", "wind_total", "net_load",
-                "renewable_generation", "reserve_margin", "net_export")
+def _stationary(w, xs):
+    return M.adf_kpss(w.filter(F.col("split") == "train"), [TARGET, *xs], adf_crit=P.ADF_CRITICAL_5PCT, kpss_crit=P.KPSS_CRITICAL_5PCT)
 
 
-@register("vif_screen")
-def vif_screen(spark, sf_dir):
-    """Iterative VIF screening (uncentred, no intercept) on the train rows."""
-    w = prepare.assign_split(wide_features(spark, sf_dir), P.HOURLY_SPLITS).filter(F.col("split") == "train")
-    steps = M.vif_screen(w, VIF_FEATURES, P.VIF_LIMIT, P.VIF_MIN_FEATURES)
-    return spark.createDataFrame([(s["step"], s["feature"], s["vif"]) for s in steps],
-                                 "step int, feature string, vif double")
+def _screened(w, xs):
+    """A33 -> A32: the stationary candidates, screened on the train rows."""
+    held = [r["series"] for r in _stationary(w, xs) if r["stationary"] and r["series"] != TARGET]
+    return M.vif_screen(w.filter(F.col("split") == "train"), held, P.VIF_LIMIT, P.VIF_MIN_FEATURES)
 
 
-#: the target and the candidates of the price equation
-STATIONARITY_SERIES = ("price", *VIF_FEATURES[1:])
+def _fitted(w, xs):
+    """A33 -> A32 -> A31: the price equation."""
+    return M.ols(w.filter(F.col("split") == "train"), [*M.selected(_screened(w, xs)), *ALWAYS], TARGET)
 
 
-@register("stationarity")
+@register("stationarity", linear_sql.stationarity_sql())
 def stationarity(spark, sf_dir):
-    """ADF (constant, 1 lag) and KPSS (level, Bartlett) statistics with 5 % decisions,
-    fitted on the train rows only (no leakage)."""
-    h = prepare.assign_split(hourly_system(spark, sf_dir), P.HOURLY_SPLITS).filter(F.col("split") == "train")
-    from ..operators.system import system_features
-    h = system_features(h)
-    rows = M.adf_kpss(h, STATIONARITY_SERIES, adf_crit=P.ADF_CRITICAL_5PCT, kpss_crit=P.KPSS_CRITICAL_5PCT)
+    """ADF (constant, 1 lag) and KPSS (level, Bartlett) statistics with 5 %
+    decisions of the target and every candidate, on the train rows, all in one pass."""
     schema = ("series string, adf_stat double, adf_stationary boolean, kpss_stat double, kpss_stationary boolean, "
               "stationary boolean, lags_adf int, lags_kpss int, rows long")
-    return spark.createDataFrame([tuple(r.values()) for r in rows], schema)
+    out = spark.createDataFrame([tuple(r.values()) for r in _stationary(*equation_frame(spark, sf_dir))], schema)
+    return out.withColumns({c: r6(nan_to_null(c)) for c in ("adf_stat", "kpss_stat")})
+
+
+@register("vif_screen", linear_sql.vif_sql())
+def vif_screen(spark, sf_dir):
+    """Iterative VIF screening (uncentred, no intercept) of the stationary
+    candidates on the train rows; a NULL is an infinite value."""
+    steps = _screened(*equation_frame(spark, sf_dir))
+    out = spark.createDataFrame([(s["step"], s["feature"], s["vif"]) for s in steps], "step int, feature string, vif double")
+    return out.withColumn("vif", F.round("vif", 3))
+
+
+@register("ols_price_change", linear_sql.ols_sql())
+def ols_price_change(spark, sf_dir):
+    """M09 + A31 + P34 + A26: the price equation of the selected candidates on the
+    t+2 price change, price = current + predicted change, regression metrics per split."""
+    w, xs = equation_frame(spark, sf_dir)
+    pred = w.withColumn("forecast", F.col("price") + M.linear_expr(_fitted(w, xs)))
+    out = E.regression_metrics(pred, "price_lead_2", "forecast", ["split"], P.SPIKE_THRESHOLD)
+    return out.withColumns({c: r6(c) for c in ("rmse", "mae", "spike_f1", "spike_precision", "spike_recall",
+                                              "predicted_spike_rate")})
+
+
+@register("ols_coefficients", linear_sql.coefficients_sql())
+def ols_coefficients(spark, sf_dir):
+    """Coefficients and standard errors of the price equation."""
+    fit = _fitted(*equation_frame(spark, sf_dir))
+    rows = [(n, float(b), float(s)) for n, b, s in zip(fit["names"], fit["beta"], fit["se"])]
+    return spark.createDataFrame(rows, "term string, coefficient double, std_error double").select(
+        "term", F.round("coefficient", 5).alias("coefficient"), F.round("std_error", 5).alias("std_error"))
 
 
 FOURIER = ("sin_day_1", "cos_day_1", "sin_day_2", "cos_day_2", "sin_week_1", "cos_week_1")
 
 
-@register("ar_forecast")
+@register("ar_forecast", linear_sql.train_forecast_sql())
 def ar_forecast(spark, sf_dir):
     """M02 (re-aimed SARIMAX(3,1,1)+Fourier): AR(3) on first differences plus 6
     Fourier terms, fitted on train by OLS; leak-free two-step forecast from rows
@@ -109,7 +134,7 @@ def ar_forecast(spark, sf_dir):
             .withColumn("forecast", F.col("price") + step1 + step2))
     z = (F.lit(P.SPIKE_THRESHOLD) - F.col("forecast")) / F.lit(max(se, 1e-6))
     return out.select("ts", "split", "price_lead_2", r6("forecast").alias("forecast"),
-                      F.lit(se).alias("forecast_se"), r6(normal_sf(z)).alias("spike_prob"))
+                      r6(F.lit(se)).alias("forecast_se"), r6(normal_sf(z)).alias("spike_prob"))
 
 
 VAR_SERIES = ("d_price", "d_load", "d_wind", "d_gas")
