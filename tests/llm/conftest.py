@@ -30,11 +30,12 @@ def same_as_sql():
     def check(result, sql, **tables):
         con = duckdb.connect()
         for name, (data, columns) in tables.items():
-            con.register(f"t_{name}", pd.DataFrame(data, columns=columns).astype(object))
+            con.register(f"t_{name}", pd.DataFrame(data, columns=columns, dtype=object))
             con.execute(f"CREATE VIEW {name} AS SELECT * FROM t_{name}")
-        want = con.execute(sql).df()
-        names = sorted(want.columns)
+        done = con.execute(sql)
+        columns = [c[0] for c in done.description]
+        names = sorted(columns)
         assert sorted(result.columns) == names
-        text = lambda f: sorted(map(tuple, f[names].astype(str).to_numpy().tolist()))
-        assert text(result.toPandas()) == text(want)
+        want = [tuple(str(r[columns.index(n)]) for n in names) for r in done.fetchall()]
+        assert sorted(tuple(str(r[n]) for n in names) for r in result.collect()) == sorted(want)
     return check
