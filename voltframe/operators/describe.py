@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import r6
-from ..session import join_small
+from ..session import join_small, materialize
 from . import series
 
 
@@ -32,12 +32,22 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], groups: S
         arr = F.percentile_approx(v, list(probs), 100000)
         out = df.groupBy(*groups).agg(arr.alias("_q"))
         return out.select(*groups, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    freq = (df.filter(v.isNotNull()).groupBy(*groups, v.alias("_v"))
-              .agg(F.count(F.lit(1)).alias("_n")))
+    freq = value_counts_by(df, value, groups)
     if block_width:
         freq = freq.withColumn("_vblk", F.floor(F.col("_v") / F.lit(block_width)))
     else:
         freq = series.with_value_blocks(freq, "_v")          # ~equal distinct values per block
+    return _picked(freq, probs, groups, names)
+
+
+def value_counts_by(df: DataFrame, value: str, groups: Sequence[str]) -> DataFrame:
+    """``groups``, ``_v`` (distinct values, NULLs left out) and ``_n``."""
+    v = F.col(value).cast("double")
+    return df.filter(v.isNotNull()).groupBy(*groups, v.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def _picked(freq: DataFrame, probs: Sequence[float], groups: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Interpolated quantiles from counts of distinct values in blocks ``_vblk``."""
     cum = series.prefix_sums(freq, ["_n"], "_v", groups, block=F.col("_vblk")).drop("_vblk")
     totals = freq.groupBy(*groups).agg(F.sum("_n").alias("_total"))
     t = series.attach_totals(cum, totals, groups).withColumn("_prev", F.col("_n_cum") - F.col("_n"))
@@ -126,29 +136,38 @@ def correlation_long(df: DataFrame, cols: Sequence[str], lower_only: bool = True
 
     One aggregate holds the co-moments of all pairs (partial map-side), and its
     one row is turned into the pair table; rows where either value is NULL do not
-    count for a pair; a constant column gives NULL instead of an ANSI error.
+    count for a pair, so only columns that have NULLs need deviations of their own
+    for each pair; a constant column gives NULL instead of an ANSI error.
     """
     if pairs is None:
         pairs = [(a, b) for i, a in enumerate(cols) for j, b in enumerate(cols)
                  if (j < i if lower_only else j != i)]
     used = list(dict.fromkeys(c for pair in pairs for c in pair))
     d = df.select(*[F.col(c).cast("double").alias(c) for c in used])
-    aggs = []
+    nulls = d.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in used]).first()
+    full = [c for c in used if not nulls[c]]
+    aggs = [F.stddev_pop(c).alias(f"s_{c}") for c in full]
     for k, (a, b) in enumerate(pairs):
-        x, y = (F.when(F.col(o).isNotNull(), F.col(c)) for c, o in ((a, b), (b, a)))
-        aggs += [F.covar_pop(a, b).alias(f"c{k}"), F.stddev_pop(x).alias(f"x{k}"), F.stddev_pop(y).alias(f"y{k}")]
+        aggs.append(F.covar_pop(a, b).alias(f"c{k}"))
+        if a not in full or b not in full:
+            aggs += [F.stddev_pop(F.when(F.col(o).isNotNull(), F.col(c))).alias(f"{n}{k}") for n, c, o in (("x", a, b), ("y", b, a))]
     row = d.agg(*aggs)
-    table = F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                               F.try_divide(F.col(f"c{k}"), F.col(f"x{k}") * F.col(f"y{k}")).alias("corr"))
+    spread = lambda k, a, b: (F.col(f"s_{a}") * F.col(f"s_{b}") if a in full and b in full
+                              else F.col(f"x{k}") * F.col(f"y{k}"))
+    table = F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.try_divide(F.col(f"c{k}"), spread(k, a, b)).alias("corr"))
                       for k, (a, b) in enumerate(pairs)])
     return row.select(F.explode(table).alias("_p")).select("_p.feature_a", "_p.feature_b", r6(F.col("_p.corr")).alias("corr"))
 
 
-def month_spine(df: DataFrame, ts: str = "ts") -> DataFrame:
-    """Calendar spine of months between min and max (one-row aggregate, exploded)."""
-    b = df.agg(F.min(F.date_trunc("month", F.col(ts))).alias("_a"), F.max(F.date_trunc("month", F.col(ts))).alias("_b"))
+def period_spine(df: DataFrame, period: str, ts: str = "ts") -> DataFrame:
+    """Calendar spine of periods between min and max (one-row aggregate, exploded)."""
+    b = df.agg(F.min(F.date_trunc(period, F.col(ts))).alias("_a"), F.max(F.date_trunc(period, F.col(ts))).alias("_b"))
     return b.select(F.explode(F.sequence(F.col("_a").cast("timestamp_ntz"), F.col("_b").cast("timestamp_ntz"),
-                                         F.expr("INTERVAL 1 MONTH"))).alias("month"))
+                                         F.expr(f"INTERVAL 1 {period.upper()}"))).alias("period"))
+
+
+def month_spine(df: DataFrame, ts: str = "ts") -> DataFrame:
+    return period_spine(df, "month", ts).withColumnRenamed("period", "month")
 
 
 def monthly_resample(df: DataFrame, median_of: str, mean_of: Sequence[str], ts: str = "ts",
@@ -164,6 +183,64 @@ def monthly_resample(df: DataFrame, median_of: str, mean_of: Sequence[str], ts:
                       F.coalesce(F.col("rows"), F.lit(0)).alias("rows"))
 
 
+def stacked(df: DataFrame, cols: Sequence[str], ids: Sequence[str]) -> DataFrame:
+    """(ids..., column, value): one row for each value that is not NULL, in one pass."""
+    d = df.select(*ids, *[F.col(c).cast("double").alias(c) for c in cols])
+    return d.unpivot(list(ids), list(cols), "column", "value").filter(F.col("value").isNotNull())
+
+
+def in_periods(df: DataFrame, period: str, ts: str = "ts") -> DataFrame:
+    return df.withColumn("period", F.date_trunc(period, F.col(ts)).cast("timestamp_ntz"))
+
+
+def period_profile(df: DataFrame, cols: Sequence[str], period: str = "month", ts: str = "ts",
+                   block_values: int = series.BLOCK_VALUES) -> DataFrame:
+    """A15 (T27) over any number of columns: exact median and mean of each column in
+    each period; periods without rows appear with NULLs.
+
+    The columns are stacked and counted by (period, column, value), so all of them
+    share one shuffle; running counts go by blocks of values cut for each column."""
+    long = stacked(in_periods(df, period, ts), cols, ["period"])
+    freq = materialize(value_counts_by(long, "value", ["period", "column"]), "value-counts")
+    cuts = series.value_cuts(freq, "_v", ["column"], block_values)
+    block = F.lit(0).cast("long")
+    for (column,), own in cuts.items():
+        if own:
+            block = F.when(F.col("column") == column, series.value_block(F.col("_v"), own)).otherwise(block)
+    keys = ["period", "column"]
+    medians = _picked(freq.withColumn("_vblk", block), [0.5], keys, ["median"])
+    means = freq.groupBy(*keys).agg(F.try_divide(F.sum(F.col("_v") * F.col("_n")), F.sum("_n")).alias("mean"), F.sum("_n").alias("rows"))
+    return _on_spine(df, cols, period, ts, medians.join(means, keys))
+
+
+def _on_spine(df: DataFrame, cols: Sequence[str], period: str, ts: str, found: DataFrame) -> DataFrame:
+    every = F.explode(F.array(*[F.lit(c) for c in cols])).alias("column")
+    spine = period_spine(df, period, ts).select("period", every)
+    out = spine.join(found, ["period", "column"], "left")
+    return out.select("period", "column", r6("median").alias("median"), r6("mean").alias("mean"), F.coalesce("rows", F.lit(0)).alias("rows"))
+
+
+#: largest share of all ranks by which a quantile of a sketch with KLL_K may be off (with 99 % confidence)
+KLL_K, KLL_RANK_ERROR = 400, 0.01
+
+
+def column_sketches(df: DataFrame, cols: Sequence[str], period: str = "day", ts: str = "ts", k: int = KLL_K) -> DataFrame:
+    """``period``, ``column``, ``sketch`` (KLL, some kilobytes whatever the rows),
+    ``total``, ``rows``: parts that can be merged over any longer period."""
+    long = stacked(in_periods(df, period, ts), cols, ["period"])
+    return long.groupBy("period", "column").agg(F.kll_sketch_agg_double("value", F.lit(k)).alias("sketch"), F.sum("value").alias("total"),
+                                                F.count("value").alias("rows"))
+
+
+def merged_profile(sketches: DataFrame, df: DataFrame, cols: Sequence[str], period: str = "month", ts: str = "ts", k: int = KLL_K) -> DataFrame:
+    """The profile of longer periods from stored sketches of shorter ones: medians
+    within ``KLL_RANK_ERROR`` of the true rank, means exact."""
+    whole = sketches.withColumn("period", F.date_trunc(period, "period").cast("timestamp_ntz"))
+    found = whole.groupBy("period", "column").agg(F.kll_merge_agg_double("sketch", F.lit(k)).alias("sketch"), F.sum("total").alias("total"), F.sum("rows").alias("rows"))
+    found = found.withColumns({"median": F.kll_sketch_get_quantile_double("sketch", F.lit(0.5)), "mean": F.try_divide("total", "rows")})
+    return _on_spine(df, cols, period, ts, found.select("period", "column", "median", "mean", "rows"))
+
+
 def describe(df: DataFrame, value: str, percentiles: Sequence[float], block_width: float | None = None) -> DataFrame:
     """Count, mean, std (ddof 1), min, chosen percentiles, max, long form."""
     v = F.col(value).cast("double")

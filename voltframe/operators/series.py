@@ -177,26 +177,49 @@ def attach_totals(df: DataFrame, totals: DataFrame, keys: Sequence[str]) -> Data
     return df.withColumn("_tot", packed).select(*df.columns, *[F.col(f"_tot.{c}").alias(c) for c in cols])
 
 
-def with_value_blocks(df: DataFrame, value: str, out: str = "_vblk", n_blocks: int = 256) -> DataFrame:
-    """Add ``out``: block number of ``value`` such that blocks hold about equally many rows.
-
-    ~``n_blocks`` approximate quantiles of the column come from one small
-    aggregate (at most ``n_blocks`` numbers reach the driver); rows are then
-    assigned by ``Bucketizer`` (a JVM binary search).  Used to cut prefix-sum
-    inputs into ranges whose size depends neither on the value range nor on
-    where the values concentrate.
-    """
-    from pyspark.ml.feature import Bucketizer
-
-    probs = [i / n_blocks for i in range(1, n_blocks)]
-    row = df.agg(F.percentile_approx(F.col(value).cast("double"), probs, 10000).alias("q")).first()
-    cuts = sorted(set(float(x) for x in (row["q"] or []) if x is not None))
-    splits = [float("-inf"), *cuts, float("inf")]
-    if len(splits) < 3:
-        splits = [float("-inf"), 0.0, float("inf")]
-    d = df.withColumn("_vb_in", F.col(value).cast("double"))
-    d = Bucketizer(splits=splits, inputCol="_vb_in", outputCol=out, handleInvalid="keep").transform(d)
-    return d.withColumn(out, F.col(out).cast("long")).drop("_vb_in")
+#: rows of one block of values, and cuts that one look at the values may give
+BLOCK_VALUES, FIRST_CUTS = 100_000, 1024
+
+
+def value_cuts(df: DataFrame, value: str, keys: Sequence[str] = (), block_values: int = BLOCK_VALUES) -> dict[tuple, list[float]]:
+    """Cuts of each key's values into blocks of about ``block_values`` rows (none
+    where there are fewer).  One aggregate; a second one where a key has so many
+    rows that ``FIRST_CUTS`` cuts leave larger blocks.  Some 8 bytes a block reach
+    the driver."""
+    def look(rows: DataFrame, most: int) -> list:
+        probs = [i / most for i in range(1, most)]
+        quantiles = F.percentile_approx(F.col(value).cast("double"), probs, 10 * most)
+        return rows.groupBy(*keys).agg(F.count(value).alias("n"), quantiles.alias("q")).collect()
+
+    found, most = look(df, FIRST_CUTS), FIRST_CUTS
+    needed = max((-(-r["n"] // block_values) for r in found), default=0)
+    if needed > most:
+        found, most = look(df, needed), needed
+    out = {}
+    for r in found:
+        blocks = max(-(-r["n"] // block_values), 1)
+        picked = [r["q"][min(most * k // blocks, most - 1) - 1] for k in range(1, blocks)]
+        out[tuple(r[k] for k in keys)] = sorted({float(x) for x in picked if x is not None})
+    return out
+
+
+def value_block(value: Column, cuts: Sequence[float]) -> Column:
+    """Number of the block of ``value``: cuts up to it, found among every 64th one
+    and then among the 64 that follow."""
+    if not cuts:
+        return F.lit(0).cast("long")
+    wide = F.array(*[F.lit(float(c)) for c in cuts[::64]])
+    coarse = F.size(F.filter(wide, lambda c: c <= value))
+    near = F.slice(F.array(*[F.lit(float(c)) for c in cuts]), F.greatest((coarse - 1) * 64, F.lit(0)) + 1, 64)
+    return (F.greatest((coarse - 1) * 64, F.lit(0)) + F.size(F.filter(near, lambda c: c <= value))).cast("long")
+
+
+def with_value_blocks(df: DataFrame, value: str, out: str = "_vblk", block_values: int = BLOCK_VALUES) -> DataFrame:
+    """Add ``out``: block number of ``value`` such that blocks hold about equally many
+    rows, however many there are.  Used to cut prefix-sum inputs into ranges whose
+    size depends neither on the value range nor on where the values concentrate."""
+    cuts = value_cuts(df, value, block_values=block_values).get((), [])
+    return df.withColumn(out, value_block(F.col(value).cast("double"), cuts))
 
 
 # --- gaps, folds, tails ---------------------------------------------------------------

@@ -8,7 +8,9 @@ from .. import params as P
 from ..functions import calendar as cal
 from ..functions.columns import flag_above, r6
 from ..operators import describe as D
+from ..operators import system
 from ..operators.prepare import assign_split
+from ..session import materialize
 from . import sql as S
 from .inputs import daily_system, hourly_system, wide_features
 from .registry import register
@@ -190,6 +192,43 @@ def monthly_resample(spark, sf_dir):
     return D.monthly_resample(daily_system(spark, sf_dir), "price", ["load"])
 
 
+def _profile_sql(ctes: str, src: str, cols, period: str) -> str:
+    rows = " UNION ALL ".join(f"SELECT date_trunc('{period}', ts) AS p, '{c}' AS col, CAST({c} AS DOUBLE) AS v FROM {src}" for c in cols)
+    return f"""WITH {ctes},
+lg AS ({rows}),
+sp AS (SELECT unnest(generate_series(min(p), max(p), INTERVAL 1 {period.upper()})) AS p FROM lg),
+nm AS (SELECT DISTINCT col FROM lg),
+ag AS (SELECT p, col, quantile_cont(v, 0.5) AS med, avg(v) AS mean, count(v) AS rows FROM lg GROUP BY ALL)
+SELECT CAST(sp.p AS TIMESTAMP) AS period, nm.col AS "column", {S.r6('med')} AS median, {S.r6('mean')} AS mean, coalesce(rows, 0) AS rows
+FROM sp CROSS JOIN nm LEFT JOIN ag ON ag.p = sp.p AND ag.col = nm.col"""
+
+
+DAILY_COLUMNS = ("price", "load", *[f"type{i}_total" for i in range(1, len(P.PRIORITIES) + 1)])
+SYSTEM_COLUMNS = (*P.BASE_COLUMNS, "net_export", "total_generation", "total_capability", "renewable_generation", "gas_mix", "solar_mix",
+                  "renewables_share", "capacity_gas", "net_load", "reserve_margin")
+
+
+@register("monthly_profile", _profile_sql(S.d_ctes(), "d", DAILY_COLUMNS, "month"))
+def monthly_profile(spark, sf_dir):
+    """A15 (T27): exact median and mean of every daily column in every month."""
+    return D.period_profile(daily_system(spark, sf_dir), DAILY_COLUMNS, "month")
+
+
+@register("daily_profile", _profile_sql(S.h_ctes() + "," + S.sys_cte("h", "s"), "s", SYSTEM_COLUMNS, "day"))
+def daily_profile(spark, sf_dir):
+    """A15 on the hourly table: exact median and mean of 27 columns (some with NULLs) in every day."""
+    return D.period_profile(system.system_features(hourly_system(spark, sf_dir)), SYSTEM_COLUMNS, "day")
+
+
+@register("monthly_sketch")
+def monthly_sketch(spark, sf_dir):
+    """A15 at scale: the monthly profile from stored daily KLL sketches; medians
+    within a stated share of ranks, means exact."""
+    d = daily_system(spark, sf_dir)
+    sketches = materialize(D.column_sketches(d, DAILY_COLUMNS, "day"), "sketches")
+    return D.merged_profile(sketches, d, DAILY_COLUMNS, "month")
+
+
 _CORR = ("price", "load", "total_generation", "total_capability", "gas_total", "wind_total", "solar_total",
          "renewable_generation", "net_load", "reserve_margin", "renewables_share", "gas_ratio", "net_export",
          "price_lag_1h", "price_lag_24h", "spike_lead_2")
