@@ -16,7 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import grid_bucket, grid_value, ratio0
+from ..functions.columns import grid_bucket, grid_value, r6, ratio0
+from ..session import join_small
 from . import series
 
 SCORE_BLOCKS = 4096
@@ -85,9 +86,30 @@ def confusion(preds: DataFrame, groups: Sequence[str], pred: Column | str, label
         F.sum(((y == 0) & (p == 1)).cast("long")).alias("fp"),
         F.sum(((y == 0) & (p == 0)).cast("long")).alias("tn"),
         F.sum(((y == 1) & (p == 0)).cast("long")).alias("fn"))
+    return with_metrics(counts)
+
+
+def with_metrics(counts: DataFrame) -> DataFrame:
+    """Metrics of confusion counts."""
     return counts.withColumns(_metrics(F.col("tp"), F.col("fp"), F.col("fn"), F.col("tn")))
 
 
+def compared(scores: DataFrame, grid) -> DataFrame:
+    """For each model of (model, split, y_true, y_prob) the threshold chosen on
+    validation, and six metrics on validation and on test; NULL scores do not count."""
+    bl = scores.filter(F.col("y_prob").isNotNull())
+    val = bl.filter(F.col("split") == "validation")
+    sel = threshold_select(threshold_sweep(val, ["model"], grid), ["model"]).select("model", F.col("threshold").alias("selected_threshold"))
+    scored = join_small(bl.filter(F.col("split") != "train"), sel, "model").withColumn(
+        "y_pred", (F.col("y_prob") >= F.col("selected_threshold")).cast("int"))
+    m = confusion(scored, ["model", "split"], "y_pred")
+    a = roc_auc_ap(scored, ["model", "split"]).select("model", "split", F.col("average_precision").alias("pr_auc"), "roc_auc")
+    cols = ("f1", "f2", "precision", "recall", "pr_auc", "roc_auc")
+    wide = m.join(a, ["model", "split"]).groupBy("model").pivot("split", ["validation", "test"]).agg(*[F.first(c).alias(c) for c in cols])
+    return sel.join(wide, "model").select("model", "selected_threshold",
+                                          *[r6(f"{s}_{c}").alias(f"{s}_{c}") for s in ("validation", "test") for c in cols])
+
+
 def score_table(preds: DataFrame, groups: Sequence[str], score: str = "y_prob", label: str = "y_true") -> DataFrame:
     """Per distinct score: positives, negatives, and ascending inclusive running sums."""
     groups = list(groups)

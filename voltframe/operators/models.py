@@ -9,13 +9,14 @@ literals.  No loop touches rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import join_small, materialize
+from ..session import join_small, materialize, scratch_path
 from . import moments, series
 
 
@@ -203,6 +204,12 @@ def var_two_step_expr(fit: dict, target: str) -> Column:
 
 # --- Spark ML classifiers ----------------------------------------------------------------------
 
+def filled(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Features as doubles, a NULL or NaN as 0: every row in gets a score."""
+    zero = F.lit(0.0)
+    return df.withColumns({c: F.nanvl(F.coalesce(F.col(c).cast("double"), zero), zero) for c in features})
+
+
 def fit_classifier(train: DataFrame, features: Sequence[str], label: str, kind: str = "logistic",
                    weight: str | None = None, reg_param: float = 0.0, seed: int = 607):
     """Pipeline(VectorAssembler, StandardScaler, LogisticRegression | GBT)."""
@@ -210,7 +217,7 @@ def fit_classifier(train: DataFrame, features: Sequence[str], label: str, kind:
     from pyspark.ml.classification import GBTClassifier, LogisticRegression
     from pyspark.ml.feature import StandardScaler, VectorAssembler
 
-    asm = VectorAssembler(inputCols=list(features), outputCol="_raw", handleInvalid="skip")
+    asm = VectorAssembler(inputCols=list(features), outputCol="_raw", handleInvalid="error")
     sc = StandardScaler(inputCol="_raw", outputCol="_features", withMean=True, withStd=True)
     if kind == "logistic":
         clf = LogisticRegression(featuresCol="_features", labelCol=label, maxIter=100, regParam=reg_param)
@@ -218,12 +225,71 @@ def fit_classifier(train: DataFrame, features: Sequence[str], label: str, kind:
         clf = GBTClassifier(featuresCol="_features", labelCol=label, maxIter=20, maxDepth=3, seed=seed)
     if weight:
         clf.setWeightCol(weight)
-    return Pipeline(stages=[asm, sc, clf]).fit(train.withColumn(label, F.col(label).cast("double")))
+    return Pipeline(stages=[asm, sc, clf]).fit(filled(train, features).withColumn(label, F.col(label).cast("double")))
 
 
 def score(model, df: DataFrame) -> DataFrame:
-    """Positive-class probability as ``y_prob`` (vector_to_array, no UDF)."""
+    """``df`` with the positive-class probability as ``y_prob`` (vector_to_array, no
+    UDF); as many rows as ``df`` has, its columns as they are."""
     from pyspark.ml.functions import vector_to_array
-    out = model.transform(df)
-    return (out.withColumn("y_prob", vector_to_array("probability")[1])
-               .drop("_raw", "_features", "probability", "rawPrediction", "prediction"))
+
+    features = model.stages[0].getInputCols()
+    inputs = {c: f"_in_{k}" for k, c in enumerate(features)}
+    kept = df.withColumns({inputs[c]: F.col(c) for c in features})
+    out = model.transform(filled(kept, features))
+    out = out.withColumn("y_prob", vector_to_array("probability")[1]).drop(*features, "_raw", "_features", "probability", "rawPrediction", "prediction")
+    return out.withColumnsRenamed({v: k for k, v in inputs.items()}).select(*[c for c in df.columns if c != "y_prob"], "y_prob")
+
+
+def store_model(model, spark, name: str) -> str:
+    """Writes a fitted pipeline to the shared folder; its path."""
+    path = scratch_path(spark, f"models/{name}-{uuid.uuid4().hex[:12]}")
+    model.write().overwrite().save(path)
+    return path
+
+
+def stored_model(path: str):
+    from pyspark.ml import PipelineModel
+
+    return PipelineModel.load(path)
+
+
+# --- permutation importance --------------------------------------------------------------------
+
+def linear_weights(model) -> list[float]:
+    """What one unit of each raw feature adds to the margin of a fitted logistic pipeline."""
+    scale, fitted = model.stages[1].std.toArray(), model.stages[2].coefficients.toArray()
+    return [float(w / s) if s > 0 else 0.0 for w, s in zip(fitted, scale)]
+
+
+def donors(rows: DataFrame, repeats: int, seed: int, idx: str = "idx") -> DataFrame:
+    """``rep``, ``idx`` and ``donor``: a permutation of the row numbers for each
+    repeat, the order of ``xxhash64(seed, rep, idx)`` by a two-level row index."""
+    reps = rows.select(idx, F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("rep"))
+    reps = reps.withColumn("_h", F.xxhash64(F.lit(seed), F.col("rep"), F.col(idx)))
+    ranked = series.add_row_index(reps, "_h", keys=["rep"], idx="pos", block_width=float(2 ** 58))
+    return ranked.select("rep", F.col("pos").alias(idx), F.col(idx).alias("donor"))
+
+
+def permuted_counts(rows: DataFrame, weights: dict[str, float], label: str, cut: float, repeats: int, seed: int,
+                    margin: str = "margin", idx: str = "idx") -> DataFrame:
+    """``feature``, ``rep`` and the confusion counts at ``cut`` where that one
+    feature's values are permuted.
+
+    A permuted feature moves the margin of a linear model by weight * (donor's
+    value - own value), so a row and repeat is one array of margins, whatever the
+    number of features; the counts of all features are one aggregate a repeat."""
+    features = list(weights)
+    values = filled(rows, features).select(idx, label, margin, F.array(*features).alias("x"))
+    given = values.select(F.col(idx).alias("donor"), F.col("x").alias("given"))
+    pairs = values.join(donors(rows, repeats, seed, idx), idx).join(given, "donor")
+    moved = F.zip_with(F.array(*[F.lit(weights[c]) for c in features]), F.zip_with("given", "x", lambda a, b: a - b), lambda w, d: w * d)
+    hits = pairs.select("rep", (F.col(label) == 1).alias("pos"),
+                        F.transform(moved, lambda m: 1.0 / (1.0 + F.exp(-(F.col(margin) + m))) >= F.lit(cut)).alias("hit"))
+    counts = [F.count_if(F.col("hit")[k] & F.col("pos")).alias(f"tp{k}") for k in range(len(features))]
+    counts += [F.count_if(F.col("hit")[k]).alias(f"pp{k}") for k in range(len(features))]
+    sums = hits.groupBy("rep").agg(F.count(F.lit(1)).alias("n"), F.count_if("pos").alias("p"), *counts)
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"tp{k}").alias("tp"), F.col(f"pp{k}").alias("pp")) for k, c in enumerate(features)]))
+    c = sums.select("rep", "n", "p", each.alias("c"))
+    return c.select("c.feature", "rep", "c.tp", (F.col("c.pp") - F.col("c.tp")).alias("fp"), (F.col("p") - F.col("c.tp")).alias("fn"),
+                    (F.col("n") - F.col("p") - F.col("c.pp") + F.col("c.tp")).alias("tn"))

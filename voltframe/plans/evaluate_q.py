@@ -177,7 +177,7 @@ def baseline_scores(spark, sf_dir):
     return b.select("ts", "split", "y_true", "naive_prob", "seasonal_naive_prob", r6("mean_prob").alias("mean_prob"))
 
 
-def _baselines_long(spark, sf_dir):
+def baselines_long(spark, sf_dir):
     """The four baselines, one row for each hour and baseline; hours without a
     walk-forward forecast (J04) have a NULL score of it."""
     h = hourly_system(spark, sf_dir)
@@ -227,20 +227,7 @@ mt AS (SELECT model, {_metric_sql()} FROM (SELECT bl.model, {_counts_sql('y_prob
 @register("baseline_comparison", _cmp_sql(), headline=True)
 def baseline_comparison(spark, sf_dir):
     """Per baseline (naive, seasonal naive, mean, walk-forward forecast), threshold tuned on validation, 12 metrics on both splits."""
-    bl = _baselines_long(spark, sf_dir).filter(F.col("y_prob").isNotNull())
-    val = bl.filter(F.col("split") == "validation")
-    sel = E.threshold_select(E.threshold_sweep(val, ["model"], GRID), ["model"]).select(
-        "model", F.col("threshold").alias("selected_threshold"))
-    scored = join_small(bl.filter(F.col("split") != "train"), sel, "model").withColumn(
-        "y_pred", (F.col("y_prob") >= F.col("selected_threshold")).cast("int"))
-    m = E.confusion(scored, ["model", "split"], "y_pred")
-    a = E.roc_auc_ap(scored, ["model", "split"]).select("model", "split", F.col("average_precision").alias("pr_auc"),
-                                                         "roc_auc")
-    j = m.join(a, ["model", "split"])
-    cols = ("f1", "f2", "precision", "recall", "pr_auc", "roc_auc")
-    wide = j.groupBy("model").pivot("split", ["validation", "test"]).agg(*[F.first(c).alias(c) for c in cols])
-    return sel.join(wide, "model").select("model", "selected_threshold",
-                                          *[r6(f"{s}_{c}").alias(f"{s}_{c}") for s in ("validation", "test") for c in cols])
+    return E.compared(baselines_long(spark, sf_dir), GRID)
 
 
 @register("error_groups", S.with_h("""

@@ -194,19 +194,41 @@ def _weighted(w, train):
     return w.withColumn("w", F.when(F.col("y_true") == 1, F.lit(float(cw["pos_weight"] or 1.0))).otherwise(F.lit(1.0)))
 
 
+def _fitted_models(spark, w, features) -> dict[str, str]:
+    """Kind -> path of the stored pipeline: class-weighted logistic regression and a
+    GBT, fitted on the train rows and written to the shared folder."""
+    train = _weighted(w, w.filter(F.col("split") == "train")).filter(F.col("split") == "train")
+    return {kind: M.store_model(M.fit_classifier(train, features, "y_true", kind=kind, weight="w", reg_param=REGULARISED), spark, kind)
+            for kind in ("logistic", "gbt")}
+
+
+def _stored_scores(rows, paths: dict[str, str]):
+    """Scores of ``rows`` by each stored pipeline, read back from its path."""
+    outs = [M.score(M.stored_model(path), rows).select(F.lit(kind).alias("model"), "ts", "split", "y_true", r6("y_prob").alias("y_prob"))
+            for kind, path in paths.items()]
+    return outs[0].unionByName(outs[1])
+
+
 @register("classifier_scores")
 def classifier_scores(spark, sf_dir):
-    """Class-weighted logistic regression and a GBT on the engineered
-    features (train fit, standardised inside the pipeline); scores on validation/test."""
+    """Class-weighted logistic regression and a GBT on the engineered
+    features (train fit, standardised inside the pipeline, a missing feature counts
+    as 0), stored in the shared folder; validation and test rows scored from there."""
     w, features = _clf_frame(spark, sf_dir)
-    w = _weighted(w, w.filter(F.col("split") == "train"))
-    train = w.filter(F.col("split") == "train")
-    rest = w.filter(F.col("split") != "train")
-    outs = []
-    for kind in ("logistic", "gbt"):
-        m = M.fit_classifier(train, features, "y_true", kind=kind, weight="w", reg_param=REGULARISED)
-        outs.append(M.score(m, rest).select(F.lit(kind).alias("model"), "ts", "split", "y_true", r6("y_prob").alias("y_prob")))
-    return outs[0].unionByName(outs[1])
+    return _stored_scores(w.filter(F.col("split") != "train"), _fitted_models(spark, w, features))
+
+
+@register("fitted_model_comparison")
+def fitted_model_comparison(spark, sf_dir):
+    """The stored classifiers beside the four baselines: thresholds chosen on
+    validation, twelve metrics each, the best test F1 first."""
+    from .evaluate_q import baselines_long
+
+    w, features = _clf_frame(spark, sf_dir)
+    fitted = _stored_scores(w.filter(F.col("split") != "train"), _fitted_models(spark, w, features))
+    base = baselines_long(spark, sf_dir).filter(F.col("split") != "train").select(*fitted.columns)
+    scores = materialize(fitted.unionByName(base), "model-scores")
+    return E.compared(scores, P.GRID_BASELINE).orderBy(F.desc("test_f1"), "model")
 
 
 CV_CANDIDATES = (0.001, 0.01, 0.1)
@@ -260,30 +282,18 @@ def permutation_importance(spark, sf_dir):
     """F1 change when one feature's validation values are permuted (3 repeats),
     at the threshold selected on validation; the 20 largest.
 
-    The permutation of repeat r is the row order of ``xxhash64(seed, r, idx)``
-    (a two-level row index per repeat); donors are joined back on the index.
-    All (feature, repeat) variants are scored in ONE transform: each row is
-    exploded into its variants, so no per-feature loop of jobs is needed.
-    """
+    The model is linear, so a permuted feature moves the margin by its weight times
+    the difference: one array of margins for each row and repeat, no row of its own
+    for each feature (``models.permuted_counts``)."""
     w, features = _clf_frame(spark, sf_dir)
-    w = _weighted(w, w.filter(F.col("split") == "train"))
-    model = M.fit_classifier(w.filter(F.col("split") == "train"), features, "y_true", weight="w", reg_param=REGULARISED)
-    rows = materialize(series.add_row_index(w.filter(F.col("split") == "validation").drop("w"), "ts", idx="idx"), "validation")
-    scored = M.score(model, rows).select(F.lit("m").alias("model"), "y_true", "y_prob")
+    model = M.fit_classifier(_weighted(w, w.filter(F.col("split") == "train")).filter(F.col("split") == "train"), features, "y_true", weight="w", reg_param=REGULARISED)
+    rows = series.add_row_index(w.filter(F.col("split") == "validation"), "ts", idx="idx")
+    rows = materialize(M.score(model, rows).withColumn("margin", F.log(F.col("y_prob")) - F.log1p(-F.col("y_prob"))), "validation")
+    scored = rows.select(F.lit("m").alias("model"), "y_true", "y_prob")
     best = E.threshold_select(E.threshold_sweep(scored, ["model"], P.GRID_BASELINE), ["model"]).first()
-    cut = F.lit(float(best["threshold"]) if best else 0.5)
-    reps = rows.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(PERM_REPEATS - 1))))
-    reps = reps.withColumn("_h", F.xxhash64(F.lit(PERM_SEED), F.col("rep"), F.col("idx")))
-    ranked = series.add_row_index(reps.select("rep", "idx", "_h"), "_h", keys=["rep"], idx="pos",
-                                  block_width=float(2 ** 58))
-    # recipient at position `pos` receives the donor row with natural index `idx`
-    donors = ranked.select("rep", F.col("pos").alias("idx"), F.col("idx").alias("donor"))
-    donor_vals = rows.select(F.col("idx").alias("donor"), *[F.col(c).alias(f"_p_{c}") for c in features])
-    perm = reps.drop("_h").join(donors, ["rep", "idx"]).join(donor_vals, "donor")
-    v = perm.withColumn("feature", F.explode(F.array(*[F.lit(c) for c in features])))
-    v = v.withColumns({c: F.when(F.col("feature") == c, F.col(f"_p_{c}")).otherwise(F.col(c)) for c in features})
-    permuted = E.confusion(M.score(model, v).withColumn("y_pred", (F.col("y_prob") >= cut).cast("int")), ["feature", "rep"], "y_pred")
-    base = E.confusion(scored.withColumn("y_pred", (F.col("y_prob") >= cut).cast("int")), [], "y_pred").first()
+    cut = float(best["threshold"]) if best else 0.5
+    permuted = E.with_metrics(M.permuted_counts(rows, dict(zip(features, M.linear_weights(model))), "y_true", cut, PERM_REPEATS, PERM_SEED))
+    base = E.confusion(scored.withColumn("y_pred", (F.col("y_prob") >= F.lit(cut)).cast("int")), [], "y_pred").first()
     b_f1, b_f2 = float(base["f1"] or 0.0), float(base["f2"] or 0.0)
     agg = permuted.groupBy("feature").agg(F.avg("f1").alias("permuted_f1"), F.avg("f2").alias("permuted_f2"))
     signed = F.lit(b_f1) - F.col("permuted_f1")
