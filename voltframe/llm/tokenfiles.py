@@ -43,7 +43,7 @@ from voltframe.operators import series
 from voltframe.session import scratch_path
 
 from . import common, eliasfano
-from .bpe import read_model
+from .bpe import byte_symbols, read_model
 
 MAGIC = b"EFTOKEN1"
 #: ids, documents, documents without id, first doc_id, bytes an id, sizes of the two codes
@@ -63,28 +63,34 @@ def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
 
 # --- encoding ---------------------------------------------------------------------------------
 
-class Units(dict):
-    """Ids of a unit (a space and what follows it up to the next one), remembered."""
+class Known(dict):
+    """Results of ``find``, remembered up to ``UNIT_MEMORY`` of them."""
 
-    def __init__(self, encode):
-        self.encode = encode
+    def __init__(self, find):
+        self.find = find
 
-    def __missing__(self, piece: str) -> bytes | None:
-        """None for a piece that a white space begins or ends, which the library
-        may join with what stands beside it."""
-        ids = None if not piece or piece[0].isspace() or piece[-1].isspace() else self.encode(" " + piece)
-        if len(piece) <= UNIT_LENGTH:
+    def __missing__(self, key: str):
+        out = self.find(key)
+        if len(key) <= UNIT_LENGTH:
             if len(self) >= UNIT_MEMORY:
                 self.clear()
-            self[piece] = ids
-        return ids
+            self[key] = out
+        return out
+
+
+#: fixed value: the library's byte-level pattern, for texts of ASCII and the letters of Latin-1 and Latin Extended
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+LATIN = re.compile(rf"[\x00-\x7f{LETTERS}]*").fullmatch
+WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^\t-\r 0-9{LETTERS}]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+").findall
 
 
 class Encoder:
     """The library's ids of whole texts.  Its byte-level pattern never joins a
     character other than white space with a space behind it, and a space before
-    such a character begins a token with it.  So a text cut before such spaces
-    gives the same ids unit by unit, and units recur."""
+    such a character begins a word with it.  So a text cut before such spaces
+    gives the same ids unit by unit, and units recur; of a new unit of plain
+    letters the words are looked up, and only a new word goes to the library's
+    model.  Units of other scripts go to the library as they are."""
 
     def __init__(self, raw: bytes):
         from tokenizers import Tokenizer
@@ -93,28 +99,44 @@ class Encoder:
         self.lib = Tokenizer.from_str(raw.decode())
         self.lib.no_truncation()
         self.lib.no_padding()
+        self.model = self.lib.model
+        self.symbols = dict(enumerate(byte_symbols()))
         self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.type = np.dtype("<u2" if self.lib.get_vocab_size() <= 1 << 16 else "<u4")
-        self.units = Units(self.plain)
+        self.units, self.words = Known(self.unit), Known(self.word)
 
     def plain(self, text: str) -> bytes:
         return np.array(self.lib.encode(text, add_special_tokens=False).ids, self.type).tobytes()
 
+    def word(self, word: str) -> bytes:
+        symbols = word.encode().decode("latin-1").translate(self.symbols)
+        ids = [t.id for t in self.model.tokenize(symbols)]
+        return struct.pack(f"<{len(ids)}{self.type.char}", *ids)
+
+    def part(self, text: str) -> bytes:
+        """Ids of a part of a text that no word crosses."""
+        return b"".join(map(self.words.__getitem__, WORDS(text))) if LATIN(text) else self.plain(text)
+
+    def unit(self, piece: str) -> bytes | None:
+        """None for a piece that a white space begins or ends, which the library
+        may join with what stands beside it."""
+        return None if not piece or piece[0].isspace() or piece[-1].isspace() else self.part(" " + piece)
+
     def encode(self, text: str) -> bytes:
         if any(s in text for s in self.special):
             return self.plain(text)
         pieces = text.split(" ")
         found = list(map(self.units.__getitem__, pieces[1:]))
         if pieces[0] and not pieces[0][-1].isspace() and None not in found:
-            return self.plain(pieces[0]) + b"".join(found)
+            return self.part(pieces[0]) + b"".join(found)
         out, unit = [], pieces[0]
-        for piece, ids in zip(pieces[1:], found):
+        for piece in pieces[1:]:
             if unit and not unit[-1].isspace() and piece and not piece[0].isspace():
-                out.append(self.plain(unit))
+                out.append(self.part(unit))
                 unit = " " + piece
             else:
                 unit += " " + piece
-        return b"".join([*out, self.plain(unit)])
+        return b"".join([*out, self.part(unit)])
 
 
 _ENCODERS: dict[bytes, Encoder] = {}
@@ -146,8 +168,8 @@ class FileWriter:
         else:
             self.doc_ids.append(doc_id)
 
-    def full(self) -> bool:
-        return self.starts[-1] >= FILE_IDS or len(self.starts) > FILE_DOCS
+    def full(self, file_ids: int) -> bool:
+        return self.starts[-1] >= file_ids or len(self.starts) > FILE_DOCS
 
     def close(self) -> tuple[int, int]:
         first = self.doc_ids[0] if self.doc_ids else 0
@@ -188,12 +210,12 @@ class TokenFile:
         named = self.names[np.arange(first + nulls - self.n_nulls, stop - self.n_nulls)]
         return [None] * nulls + (named + np.int64(self.first).astype(np.uint64)).astype(np.int64).tolist()
 
-    def runs(self) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
-        """doc_ids, starts (one more) and ids of runs of documents of about ``READ_IDS`` ids."""
+    def runs(self, read_ids: int = READ_IDS) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+        """doc_ids, starts (one more) and ids of runs of documents of up to ``read_ids`` ids, or of one longer document."""
         first, some = 0, 1 << 14
         while first < self.n_docs:
             starts = self.starts[np.arange(first, min(first + some, self.n_docs) + 1)].astype(np.int64)
-            stop = max(1, int(np.searchsorted(starts, starts[0] + READ_IDS, side="right")) - 1)
+            stop = max(1, int(np.searchsorted(starts, starts[0] + read_ids, side="right")) - 1)
             starts = starts[:stop + 1]
             yield self.doc_ids(first, first + stop), starts, self.ids(int(starts[0]), int(starts[-1]))
             first += stop
@@ -201,7 +223,7 @@ class TokenFile:
 
 # --- Spark jobs -------------------------------------------------------------------------------
 
-def write_tokens(docs: DataFrame, model_path: str, end_id: int, folder: str | None = None) -> DataFrame:
+def write_tokens(docs: DataFrame, model_path: str, end_id: int, folder: str | None = None, file_ids: int = FILE_IDS) -> DataFrame:
     """Writes the files, and gives the manifest: ``file``, ``part``, ``nth``,
     ``n_docs``, ``n_ids``, and ``docs_before`` and ``ids_before`` it."""
     if not isinstance(docs.schema["doc_id"].dataType, IntegralType):
@@ -223,7 +245,7 @@ def write_tokens(docs: DataFrame, model_path: str, end_id: int, folder: str | No
                     name = f"part-{part:06d}-{nth:04d}.tokens"
                     file = FileWriter(folder, name, task.taskAttemptId(), enc.type)
                 file.add(doc_id, enc.encode(text.as_py() or "") + end)
-                if file.full():
+                if file.full(file_ids):
                     yield done()
                     file, nth = None, nth + 1
         if file is not None:
@@ -241,15 +263,15 @@ def write_tokens(docs: DataFrame, model_path: str, end_id: int, folder: str | No
 MANIFEST = pa.schema([("file", pa.string()), ("part", pa.int32()), ("nth", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
 
 
-def read_tokens(manifest: DataFrame) -> DataFrame:
+def read_tokens(manifest: DataFrame, read_ids: int = READ_IDS, flush_bytes: int = FLUSH_BYTES) -> DataFrame:
     """``doc_id``, ``place`` (documents before it), ``start`` (ids before it) and
     ``ids`` (binary, little-endian unsigned 32-bit integers) of each document, from the files."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, docs_before, ids_before in zip(*(c.to_pylist() for c in batch.columns)):
                 place = docs_before
-                for doc_ids, starts, ids in TokenFile(path).runs():
-                    cuts = np.r_[0, np.flatnonzero(np.diff((starts[1:] - starts[0]) * 4 // FLUSH_BYTES)) + 1, len(doc_ids)]
+                for doc_ids, starts, ids in TokenFile(path).runs(read_ids):
+                    cuts = np.r_[0, np.flatnonzero(np.diff((starts[1:] - starts[0]) * 4 // flush_bytes)) + 1, len(doc_ids)]
                     for a, b in zip(cuts, cuts[1:]):
                         if a < b:
                             packed = [ids[starts[k] - starts[0]:starts[k + 1] - starts[0]].astype("<u4").tobytes() for k in range(a, b)]
