@@ -43,7 +43,7 @@ from voltframe.operators import series
 from voltframe.session import scratch_path
 
 from . import common, eliasfano
-from .bpe import byte_symbols, read_model
+from .bpe import Known, byte_symbols, read_model
 
 MAGIC = b"EFTOKEN1"
 #: ids, documents, documents without id, first doc_id, bytes an id, sizes of the two codes
@@ -51,8 +51,8 @@ FOOTER = struct.Struct("<QQQqIQQ8s")
 FILE_IDS, FILE_DOCS = 1 << 26, 1 << 20
 #: ids read at once, and bytes of output gathered before a batch is handed on
 READ_IDS, FLUSH_BYTES = 1 << 21, 8 << 20
-#: units that a worker remembers, and the longest of them
-UNIT_MEMORY, UNIT_LENGTH = 1 << 19, 64
+#: fresh words and units that a worker remembers (and as many older ones)
+UNIT_MEMORY = 1 << 18
 
 
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
@@ -63,34 +63,19 @@ def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
 
 # --- encoding ---------------------------------------------------------------------------------
 
-class Known(dict):
-    """Results of ``find``, remembered up to ``UNIT_MEMORY`` of them."""
-
-    def __init__(self, find):
-        self.find = find
-
-    def __missing__(self, key: str):
-        out = self.find(key)
-        if len(key) <= UNIT_LENGTH:
-            if len(self) >= UNIT_MEMORY:
-                self.clear()
-            self[key] = out
-        return out
-
-
 #: fixed value: the library's byte-level pattern, for texts of ASCII and the letters of Latin-1 and Latin Extended
 LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 LATIN = re.compile(rf"[\x00-\x7f{LETTERS}]*").fullmatch
-WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^\t-\r 0-9{LETTERS}]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+").findall
+WORDS = re.compile(rf" ?[{LETTERS}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[0-9]+| ?[^\t-\r 0-9{LETTERS}]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+").findall
 
 
 class Encoder:
-    """The library's ids of whole texts.  Its byte-level pattern never joins a
-    character other than white space with a space behind it, and a space before
-    such a character begins a word with it.  So a text cut before such spaces
-    gives the same ids unit by unit, and units recur; of a new unit of plain
-    letters the words are looked up, and only a new word goes to the library's
-    model.  Units of other scripts go to the library as they are."""
+    """The library's ids of whole texts.  A text of plain letters is cut into the
+    words of the byte-level pattern; words recur, and only a new one goes to the
+    library's model.  Of other texts, the pattern never joins a character other
+    than white space with a space behind it, and a space before such a character
+    begins a word with it: cut before such spaces, a text gives the same ids unit
+    by unit, and a new unit of another script goes to the library as it is."""
 
     def __init__(self, raw: bytes):
         from tokenizers import Tokenizer
@@ -103,7 +88,7 @@ class Encoder:
         self.symbols = dict(enumerate(byte_symbols()))
         self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.type = np.dtype("<u2" if self.lib.get_vocab_size() <= 1 << 16 else "<u4")
-        self.units, self.words = Known(self.unit), Known(self.word)
+        self.units, self.words = Known(self.unit, UNIT_MEMORY), Known(self.word, UNIT_MEMORY)
 
     def plain(self, text: str) -> bytes:
         return np.array(self.lib.encode(text, add_special_tokens=False).ids, self.type).tobytes()
@@ -125,10 +110,12 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         if any(s in text for s in self.special):
             return self.plain(text)
+        if LATIN(text):
+            return self.part(text)
         pieces = text.split(" ")
         found = list(map(self.units.__getitem__, pieces[1:]))
         if pieces[0] and not pieces[0][-1].isspace() and None not in found:
-            return self.part(pieces[0]) + b"".join(found)
+            return b"".join([self.part(pieces[0]), *found])
         out, unit = [], pieces[0]
         for piece in pieces[1:]:
             if unit and not unit[-1].isspace() and piece and not piece[0].isspace():
