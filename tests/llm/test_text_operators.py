@@ -1,6 +1,7 @@
 """Operators on one document at a time: BPE, unigram counts, quality, lines, toxicity."""
 
 import random
+import unicodedata
 
 import llm_fixtures as fx
 import numpy as np
@@ -31,6 +32,16 @@ def test_bpe_equals_library_on_odd_texts():
         assert model.decode(got) == lib.decode(want, skip_special_tokens=False)
 
 
+def test_bpe_equals_library_on_every_combining_mark():
+    lib, model = library(), bpe.BpeModel(bpe.read_model(P.path("word_bpe_49k.json")))
+    marks = [chr(cp) for cp in range(0x110000) if unicodedata.category(chr(cp)).startswith("M")]
+    assert len(marks) > 2000
+    for mark in marks:
+        for other in "\u0305\u0323\u0334\u094d\u3099\u05b0\u0301":
+            for text in (f"a{other}{mark}", f"e{mark}{other} x"):
+                assert np.frombuffer(model.encode(text), "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
 def test_bpe_memory_is_bounded_and_harmless():
     model = bpe.BpeModel(bpe.read_model(P.path("word_bpe_49k.json")))
     text = " ".join(f"word{k % 50}x{k}" for k in range(400))
@@ -109,14 +120,46 @@ def test_lines_ratio_is_exclusive(spark):
     assert out[200] == "" and out[250] == ""                # x on all pages, z on 89, y on 11
 
 
-def test_toxicity_held_out(spark, no_docs):
+def ranked_above(score, positive):
+    """Share of (positive, negative) pairs in which the positive one scores higher (ties half)."""
+    gap = score[positive].to_numpy()[:, None] - score[~positive].to_numpy()[None, :]
+    return (gap > 0).mean() + (gap == 0).mean() / 2
+
+
+def test_toxicity_held_out(spark):
+    """At sf0.01 some 200 rows train, 16 to 30 of them toxic, and some toxic words occur in the other half
+    alone, so no model finds all.  Guessing "never toxic" is right for the majority share; at least half of
+    its errors must go, and toxic rows must rank above others (0.5 by chance)."""
     sf = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
-    train, test = labels.filter("doc_id % 2 = 0"), labels.filter("doc_id % 2 = 1")
-    scored = toxicity.score_toxicity(docs, train).join(test.withColumnRenamed("toxic", "is_toxic"), "doc_id").toPandas()
-    assert len(scored) > 150
-    assert ((scored.is_toxic == 1) == scored.toxic).mean() > 0.95
-    assert scored[scored.is_toxic == 1].severity.mean() > 5 * scored[scored.is_toxic == 0].severity.mean()
+    for half in (0, 1):
+        train, test = labels.filter(F.col("doc_id") % 2 == half), labels.filter(F.col("doc_id") % 2 != half)
+        scored = toxicity.score_toxicity(docs, train).join(test.withColumnRenamed("toxic", "is_toxic"), "doc_id").toPandas()
+        assert len(scored) > 150
+        toxic = scored.is_toxic == 1
+        majority = max(toxic.mean(), 1 - toxic.mean())
+        assert (toxic == scored.toxic).mean() >= majority + (1 - majority) / 2
+        assert ranked_above(scored.score, toxic) > 0.87
+        assert scored[toxic].severity.mean() > 5 * scored[~toxic].severity.mean()
+
+
+def test_ordinal_gradient_equals_differences():
+    rng = np.random.default_rng(7)
+    rows, grades = [np.unique(rng.integers(0, 30, 6)) for _ in range(60)], rng.integers(0, 3, 60)
+    scales = rng.random(1 << toxicity.HASH_BITS) + 0.5
+
+    def loss(w, cuts, penalty):
+        score = np.array([(w[r]).sum() for r in rows])
+        above = toxicity.sigmoid(score[:, None] - np.r_[-np.inf, cuts, np.inf])
+        p = above[np.arange(60), grades] - above[np.arange(60), grades + 1]
+        return -np.log(p).mean() + penalty / 2 * ((w / scales) ** 2).sum()
+
+    w, cuts = toxicity.fit(rows, grades, 3, steps=3000, rate=0.02, penalty=0.05, scales=scales)
+    least = loss(w, cuts, 0.05)
+    for _ in range(200):                                    # no nearby point is better
+        near = w.copy()
+        near[:30] += rng.normal(0, 0.01, 30)
+        assert loss(near, cuts + rng.normal(0, 0.01, 2), 0.05) > least - 1e-7
 
 
 def test_toxicity_edges(spark, docs, no_docs, rows):
