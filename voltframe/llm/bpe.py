@@ -22,6 +22,7 @@ import json
 import os
 import re
 import struct
+import sys
 import unicodedata
 from collections.abc import Callable, Iterator
 
@@ -53,11 +54,22 @@ def byte_symbols() -> list[str]:
     return [out[b] for b in range(256)]
 
 
-def newer_characters() -> Callable[[str], bool]:
-    """Whether a text has code points that this Python's Unicode tables don't know."""
-    unknown = [chr(cp) for cp in range(0x10000) if unicodedata.category(chr(cp)) == "Cn"]
+#: marks of several combining classes, beside which every other mark is tried
+TRIED_BESIDE = "\u0305\u0323\u0334\u094d\u3099\u05b0\u0301"
+
+
+def other_marks(normalised: Callable[[str], str]) -> set[str]:
+    """Combining marks that the library's tables order otherwise than this Python's."""
+    marks = [c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c)[0] == "M"]
+    return {m for m in marks for o in TRIED_BESIDE for t in (f"a{o}{m}", f"a{m}{o}") if lower(unicodedata.normalize("NFC", t)) != normalised(t)}
+
+
+def newer_characters(others: set[str]) -> Callable[[str], bool]:
+    """Whether a text has code points that this Python's Unicode tables don't know,
+    or one of ``others``, of which they know something else than the library's."""
+    unknown = [c for c in map(chr, range(0x10000)) if unicodedata.category(c) == "Cn" or c in others]
     suspect = re.compile("[" + "".join(unknown) + "\U00010000-\U0010ffff]").search
-    return lambda text: bool(suspect(text)) and any(unicodedata.category(c) == "Cn" for c in set(text))
+    return lambda text: bool(suspect(text)) and any(c in others or unicodedata.category(c) == "Cn" for c in set(text))
 
 
 class Known(dict):
@@ -105,16 +117,15 @@ class BpeModel:
         by_length = sorted(special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, by_length)) + ")").split if special else lambda t: [t]
         self.known, self.word_ids = Known(self.packed, RUN_MEMORY), Known(self.merge, WORD_MEMORY)
-        self.lib = None
-        self.raw, self.byte_of, self.newer = raw, {s: b for b, s in enumerate(symbols)}, newer_characters()
+        from tokenizers import Tokenizer
 
-    def newer_words(self, part: str) -> list[str]:
-        """Words of a text with characters newer than Python's Unicode tables, by
-        the library's own normaliser and splitter, whose tables are newer."""
-        if self.lib is None:
-            from tokenizers import Tokenizer
+        self.lib = Tokenizer.from_str(raw.decode())
+        self.byte_of = {s: b for b, s in enumerate(symbols)}
+        self.newer = newer_characters(other_marks(self.lib.normalizer.normalize_str))
 
-            self.lib = Tokenizer.from_str(self.raw.decode())
+    def newer_words(self, part: str) -> list[str]:
+        """Words of a text with characters of which the two Unicode tables differ, by
+        the library's own normaliser and splitter."""
         lib = self.lib
         found = lib.pre_tokenizer.pre_tokenize_str(lib.normalizer.normalize_str(part))
         return [bytes(self.byte_of[c] for c in w).decode() for w, _ in found]
