@@ -76,11 +76,11 @@ def plain_near(rows, width=2, percent=80):
     return {i: (len(s), find(i)) for i, s in sets.items()}
 
 
-def plain_lines(rows, percent=10, least=10):
+def plain_lines(rows, percent=10):
     """doc_id -> text without the boilerplate lines of its source."""
     blank = " \t\x0b\x0c\r"
     pages, hold = Counter(r[3] for r in rows), Counter()
     for r in rows:
         hold.update({(r[3], x.strip(blank)) for x in (r[1] or "").split("\n") if x.strip(blank)})
-    bad = {k for k, n in hold.items() if n >= least and 100 * n > percent * pages[k[0]]}
+    bad = {k for k, n in hold.items() if n > 1 and 100 * n > percent * pages[k[0]]}
     return {r[0]: None if r[1] is None else "\n".join(x for x in r[1].split("\n") if (r[3], x.strip(blank)) not in bad) for r in rows}

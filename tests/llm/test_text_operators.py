@@ -120,6 +120,25 @@ def test_lines_ratio_is_exclusive(spark):
     assert out[200] == "" and out[250] == ""                # x on all pages, z on 89, y on 11
 
 
+def test_lines_on_small_hosts(spark):
+    rows = [(i, f"menu\nown {i}", "nine") for i in range(9)] + [(20, "menu\nmenu\none", "single"), (21, "same", "two"), (22, "same\nother", "two")]
+    out = {r.doc_id: r.text for r in lines.drop_boilerplate(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert all(out[i] == f"own {i}" for i in range(9))      # on all nine pages
+    assert out[20] == "menu\nmenu\none"                     # one page repeats nothing
+    assert out[21] == "" and out[22] == "other"
+
+
+def test_lines_keep_columns_of_any_name(spark):
+    names = ["b_host", "b_lines", "b_n", "lines", "hits", "rest", "page", "salt", "__row", "total"]
+    rows = [(i, "x\ny" if i < 9 else "z", "h", *range(len(names))) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"{n} int" for n in names))
+    found = lines.boilerplate(docs)
+    for most in (lines.MAX_BROADCAST_LINES, -1):
+        out = lines.strip(docs, found, max_broadcast=most)
+        assert out.columns == docs.columns and {tuple(r)[3:] for r in out.collect()} == {tuple(range(len(names)))}
+        assert {r.text for r in out.collect()} == {""}
+
+
 def ranked_above(score, positive):
     """Share of (positive, negative) pairs in which the positive one scores higher (ties half)."""
     gap = score[positive].to_numpy()[:, None] - score[~positive].to_numpy()[None, :]

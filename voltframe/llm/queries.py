@@ -92,7 +92,7 @@ WITH d AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS l FROM do
  p AS (SELECT source, count(*) AS total FROM documents GROUP BY source),
  x AS (SELECT DISTINCT doc_id, source, trim(u, chr(32) || chr(9) || chr(11) || chr(12) || chr(13)) AS k FROM d, unnest(l) AS t(u)),
  b AS (SELECT x.source, k FROM x JOIN p ON x.source IS NOT DISTINCT FROM p.source WHERE k <> ''
-       GROUP BY x.source, k HAVING count(*) >= 10 AND 100 * count(*) > 10 * any_value(total)),
+       GROUP BY x.source, k HAVING count(*) > 1 AND 100 * count(*) > 10 * any_value(total)),
  y AS (SELECT doc_id, source, i, l[i] AS u, trim(l[i], chr(32) || chr(9) || chr(11) || chr(12) || chr(13)) AS k
        FROM d, unnest(generate_series(1, len(l))) AS g(i)),
  z AS (SELECT y.*, b.k IS NOT NULL AS hit FROM y LEFT JOIN b ON y.source IS NOT DISTINCT FROM b.source AND y.k = b.k),
