@@ -39,6 +39,22 @@ def stream_hourly_totals(spark, sf_dir):
     return holder["df"].withColumn("volume", r6("volume"))
 
 
+@register("stream_finalised_hours", """
+SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS ts, event_type,
+       (round(CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE), 6) + 0.0) AS volume, count(*) AS readings
+FROM events WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR GROUP BY 1, 2""")
+def stream_finalised_hours(spark, sf_dir):
+    """ST1 = A01: append mode with watermark eviction, two arrival rounds: every
+    hour that ended before the watermark, written once."""
+    holder = {}
+
+    def run(src, run_dir):
+        holder["df"], _ = jobs.finalised_hours_stream(spark, src, run_dir)
+
+    _two_rounds(spark, sf_dir, "final", run)
+    return holder["df"].withColumn("volume", r6("volume"))
+
+
 @register("stream_dedupe", "SELECT event_id, ts, event_type, value FROM events")
 def stream_dedupe(spark, sf_dir):
     """ST2 = A30: the later days first, then every row: late rows that are new

@@ -3,9 +3,11 @@
 * ST1 ``hourly_totals_stream``: tumbling 1-hour windows per type with a
   watermark (late rows up to a bound), ``update`` mode into an idempotent
   per-batch sink; the latest row per window equals the batch aggregate A01.
-* ST2 ``dedupe_stream``: each batch drops repeats of its own and rows whose key
-  the target already holds, so a row that is new stays however late it comes
-  (equals A30 / distinct events).
+* ST1 finalised, ``finalised_hours_stream``: the same windows in ``append`` mode:
+  each is written once, when the watermark passes its end, and leaves the state.
+* ST2 ``dedupe_stream``: each batch drops repeats of its own, timely rows whose key
+  came within the bound, and late rows whose key the target holds, so a row that
+  is new stays however late it comes (equals A30 / distinct events).
 * ST3 ``incremental_daily``: file source + checkpoint + ``foreachBatch``; a
   second run over the same checkpoint only reads files that arrived since.
 
@@ -84,27 +86,79 @@ def hourly_totals_stream(spark: SparkSession, src: str, run_dir: str, delay: str
     return latest.select(F.col("w.start").cast("timestamp_ntz").alias("ts"), "event_type", "volume", "readings")
 
 
-def dedupe_stream(spark: SparkSession, src: str, run_dir: str, timeout_s: int | None = None) -> DataFrame:
+#: state store on local disk with changelogs in the checkpoint folder: state may exceed a worker's memory
+ROCKSDB = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+           "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+
+
+class settings:
+    """Session settings for the time of a block; those of before come back."""
+
+    def __init__(self, spark: SparkSession, values: dict[str, str]):
+        self.spark, self.values = spark, values
+
+    def __enter__(self):
+        self.before = {k: self.spark.conf.get(k, None) for k in self.values}
+        for k, v in self.values.items():
+            self.spark.conf.set(k, v)
+
+    def __exit__(self, *_):
+        for k, v in self.before.items():
+            self.spark.conf.unset(k) if v is None else self.spark.conf.set(k, v)
+
+
+def finalised_hours_stream(spark: SparkSession, src: str, run_dir: str, delay: str = "2 hours", max_files: int | None = None,
+                           timeout_s: int | None = None) -> tuple[DataFrame, dict]:
+    """ST1: windows that the watermark has passed, each written once by the
+    exactly-once file sink, and figures of the run: the most windows in the state
+    at once, and late groups of rows (a window and type within a batch) left out."""
+    s = _source(spark, src, max_files).withColumn("ets", F.col("ts").cast("timestamp")).withWatermark("ets", delay)
+    agg = (s.groupBy(F.window("ets", "1 hour").alias("w"), F.col("event_type"))
+             .agg(F.sum(money("value")).cast("double").alias("volume"), F.count(F.lit(1)).alias("readings")))
+    rows = agg.select(F.col("w.start").cast("timestamp_ntz").alias("ts"), "event_type", "volume", "readings")
+    out = os.path.join(run_dir, "final")
+    with settings(spark, ROCKSDB):
+        q = (rows.writeStream.outputMode("append").format("parquet").option("path", out)
+                 .option("checkpointLocation", os.path.join(run_dir, "ckpt-final")).trigger(availableNow=True).start())
+        _finish(q, timeout_s)
+    state = [op for p in q.recentProgress for op in p["stateOperators"]]
+    figures = {"most_windows": max((op["numRowsTotal"] for op in state), default=0), "late_groups": sum(op["numRowsDroppedByWatermark"] for op in state)}
+    return spark.read.schema(rows.schema).parquet(out), figures
+
+
+def dedupe_stream(spark: SparkSession, src: str, run_dir: str, bound: str = "INTERVAL 1 DAY", max_files: int | None = None,
+                  timeout_s: int | None = None) -> DataFrame:
     """ST2: every event once, late ones included.
 
-    A keyed merge: repeats within a batch go, then rows whose key stands in the
-    target's same day (a re-delivered row keeps its time, so only the days of the
-    batch are read).  A replayed batch overwrites its own folder, which it does
-    not compare with.
-    """
-    out = os.path.join(run_dir, "out")
+    Keys live beside the target, a folder a batch.  A row is timely if it is at most
+    ``bound`` behind the newest row of earlier batches: it is compared with the keys
+    that came within the bound, and with no row of the target.  Only late rows are
+    compared with the target, on their own days (a re-delivered row keeps its
+    time).  So what a batch reads depends on the bound and on its late rows, not on
+    the number of batches before it.  A replayed batch overwrites its own folders,
+    which it does not compare with."""
+    out, keys, marks = (os.path.join(run_dir, name) for name in ("out", "keys", "marks"))
     target = EVENT_SCHEMA + ", batch INT, day DATE"
 
     def write(df: DataFrame, batch_id: int) -> None:
         new = df.dropDuplicates(["day", "event_id"])
         if batch_id > 0:
-            seen = spark.read.schema(target).parquet(out).filter(F.col("batch") < batch_id)
-            days = new.select("day").distinct()
-            seen = seen.join(days, "day", "left_semi").select("day", "event_id")
-            new = new.join(seen, ["day", "event_id"], "left_anti")
+            seen = spark.read.schema("newest TIMESTAMP_NTZ, batch INT").parquet(marks).filter(F.col("batch") < batch_id)
+            mark = seen.agg((F.max("newest") - F.expr(bound)).alias("mark")).first()["mark"]
+            late = F.lit(False) if mark is None else F.coalesce(F.col("ts") < F.lit(mark), F.lit(True))
+            recent = [r["batch"] for r in seen.filter(F.lit(True) if mark is None else F.col("newest") >= F.lit(mark)).select("batch").collect()]
+            near = spark.read.schema("event_id BIGINT, ts TIMESTAMP_NTZ, day DATE, batch INT").parquet(keys).filter(F.col("batch").isin(recent))
+            timely = new.filter(~late).join(near.select("day", "event_id"), ["day", "event_id"], "left_anti")
+            behind = new.filter(late)
+            days = [r["day"] for r in behind.select("day").distinct().collect()]
+            old = spark.read.schema(target).parquet(out).filter((F.col("batch") < batch_id) & F.col("day").isin(days))
+            new = timely.unionByName(behind.join(old.select("day", "event_id"), ["day", "event_id"], "left_anti"))
         new.write.mode("overwrite").partitionBy("day").parquet(os.path.join(out, f"batch={batch_id}"))
+        done = spark.read.schema(EVENT_SCHEMA + ", day DATE").parquet(os.path.join(out, f"batch={batch_id}"))
+        done.select("event_id", "ts", "day").write.mode("overwrite").parquet(os.path.join(keys, f"batch={batch_id}"))
+        done.agg(F.max("ts").alias("newest")).write.mode("overwrite").parquet(os.path.join(marks, f"batch={batch_id}"))
 
-    q = (_source(spark, src).writeStream.foreachBatch(write)
+    q = (_source(spark, src, max_files).writeStream.foreachBatch(write)
          .option("checkpointLocation", os.path.join(run_dir, "ckpt")).trigger(availableNow=True).start())
     _finish(q, timeout_s)
     return spark.read.schema(target).parquet(out).drop("batch")
