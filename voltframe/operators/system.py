@@ -51,6 +51,25 @@ def merge_hourly(price: DataFrame, gen_wide: DataFrame) -> DataFrame:
     return price.join(gen_wide, "ts", "inner").select("ts", *P.BASE_COLUMNS)
 
 
+def hourly_wide(events: DataFrame, fuel_map: dict = P.FUEL_MAP, solar: str = "solar", dead_band: float = P.SOLAR_DEAD_BAND) -> DataFrame:
+    """The merged hourly table where prices and readings are rows of one source: one
+    scan and one aggregate by (hour, type) give both sides, and the hour's row is
+    put together from its few types.  Equal to ``merge_hourly`` of the two."""
+    v, unit = money("value"), F.col("user_id") % 10
+    cells = events.groupBy(hour_floor("ts").alias("ts"), "event_type").agg(
+        F.sum(v).alias("volume"), (F.count_distinct("user_id") * 100).cast("double").alias("capability"), F.max("value").alias("top"),
+        F.sum(F.when(unit == 0, v)).alias("imp"), F.sum(F.when(unit == 1, v)).alias("exp"))
+    is_fuel = F.col("event_type").isin(list(fuel_map))
+    aggs = [F.max("top").alias("price"), F.sum("volume").cast("double").alias("load")]
+    for t, fuel in fuel_map.items():
+        own = F.coalesce(F.max(F.when(F.col("event_type") == t, F.col("volume"))).cast("double"), F.lit(0.0))
+        aggs.append((clip_lower_dead_band(own, dead_band) if fuel == solar else own).alias(f"{fuel}_total"))
+        aggs.append(F.coalesce(F.max(F.when(F.col("event_type") == t, F.col("capability"))), F.lit(0.0)).alias(f"{fuel}_cap"))
+    aggs += [F.coalesce(F.sum(c), F.lit(0)).cast("double").alias(c) for c in ("imp", "exp")]
+    hours = cells.groupBy("ts").agg(F.count_if(is_fuel).alias("_fuels"), *aggs).filter("_fuels > 0")
+    return hours.select("ts", *P.BASE_COLUMNS)
+
+
 def system_totals(df: DataFrame) -> DataFrame:
     """P10: row-wise totals."""
     fuels = P.FUELS

@@ -114,7 +114,7 @@ def null_profile(spark, sf_dir):
 @register("value_counts", S.with_h("SELECT spike_lead_2, count(*) AS count FROM wt GROUP BY 1", extra=WIDE))
 def value_counts(spark, sf_dir):
     """Value counts of the target."""
-    return D.value_counts(wide_features(spark, sf_dir), "spike_lead_2")
+    return D.value_counts(wide_features(spark, sf_dir, materialized=False), "spike_lead_2")
 
 
 def _quality_sql():
@@ -248,7 +248,7 @@ def _corr_sql():
 @register("correlation_matrix", _corr_sql())
 def correlation_matrix(spark, sf_dir):
     """Lower-triangle correlation matrix of 16 key features, long form."""
-    return D.correlation_long(wide_features(spark, sf_dir), _CORR)
+    return D.correlation_long(wide_features(spark, sf_dir, columns=_CORR), _CORR)
 
 
 def _hist_sql():
@@ -285,7 +285,7 @@ j AS (SELECT q.label, CAST(wt.load AS DOUBLE) AS v, q1, median, q3 FROM wt JOIN
 @register("box_stats", _box_sql())
 def box_stats(spark, sf_dir):
     """Box statistics of load by the t+2 label."""
-    w = wide_features(spark, sf_dir).withColumn("label", F.col("spike_lead_2"))
+    w = wide_features(spark, sf_dir, columns=["load", "spike_lead_2"]).withColumn("label", F.col("spike_lead_2"))
     return D.box_stats(w, "load", "label")
 
 
@@ -298,5 +298,5 @@ _UNPIV = ("price", "net_load", "wind_total", "reserve_margin")
                          for m in _UNPIV) + ")", extra=WIDE))
 def unpivot_conditions(spark, sf_dir):
     """Melt measures to long form by label."""
-    w = wide_features(spark, sf_dir).withColumnRenamed("spike_lead_2", "label")
+    w = wide_features(spark, sf_dir, columns=["ts", "spike_lead_2", *_UNPIV], materialized=False).withColumnRenamed("spike_lead_2", "label")
     return D.unpivot_measures(w, ["ts", "label"], _UNPIV).withColumn("value", r6("value"))

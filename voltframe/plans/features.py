@@ -177,14 +177,14 @@ def _wide_sql():
 def wide_features_q(spark, sf_dir):
     """Entry point A: the full engineered hourly table (leap day removed after
     the shifts, Fourier with leap adjustment, event flag, edge rows trimmed)."""
-    return _r6_all(wide_features(spark, sf_dir))
+    return _r6_all(wide_features(spark, sf_dir, materialized=False))
 
 
 @register("complete_rows", S.with_h("SELECT count(*) AS rows_kept, min(ts) AS first_ts, max(ts) AS last_ts FROM wt",
                                     extra=S.wide_ctes()))
 def complete_rows(spark, sf_dir):
     """Edge trim on the lead/lag 24 columns."""
-    w = wide_features(spark, sf_dir)
+    w = wide_features(spark, sf_dir, columns=["ts"], materialized=False)
     return w.agg(F.count(F.lit(1)).alias("rows_kept"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
 
 

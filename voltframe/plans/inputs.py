@@ -28,8 +28,7 @@ def hourly_system(spark: SparkSession, sf_dir: str, materialized: bool = True) -
     consume their input in several differently pruned branches, which Catalyst
     cannot dedupe, so a lazy H would re-scan the raw table per branch.  Plain
     single-consumer projections pass ``materialized=False`` and fuse it instead."""
-    gen = system.pivot_fuels(system.hourly_by_type(tables.generation_long(spark, sf_dir)))
-    h = system.merge_hourly(tables.price_wide(spark, sf_dir), gen)
+    h = system.hourly_wide(tables.events(spark, sf_dir))
     return materialize(h, "hourly") if materialized else h
 
 
@@ -40,7 +39,10 @@ def daily_system(spark: SparkSession, sf_dir: str, materialized: bool = True) ->
 
 def wide_features(spark: SparkSession, sf_dir: str, drop_leap: str = "after",
                   leap_adjust: bool = True, event_ranges=P.HOURLY_EVENT_RANGES,
-                  threshold: float = P.SPIKE_THRESHOLD) -> DataFrame:
+                  threshold: float = P.SPIKE_THRESHOLD, columns=None, materialized: bool = True) -> DataFrame:
+    """The engineered table, written once by default.  A reader of some columns names
+    them, and neither the others nor the windows behind them are computed; a plan
+    that reads it once passes ``materialized=False``."""
     h = hourly_system(spark, sf_dir)
     if drop_leap == "before":
         h = h.filter(~cal.is_leap_day("ts"))
@@ -60,7 +62,9 @@ def wide_features(spark: SparkSession, sf_dir: str, drop_leap: str = "after",
     w = w.withColumns(cal.fourier_terms("ts", leap_adjust=leap_adjust))
     w = cal.event_flag(w, event_ranges, "ts", "is_event")
     w = w.filter(F.col(f"spike_lead_{n}").isNotNull() & F.col(f"spike_lag_{n}").isNotNull())
-    return materialize(w, "wide")
+    if columns is not None:
+        w = w.select(*columns)
+    return materialize(w, "wide") if materialized else w
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

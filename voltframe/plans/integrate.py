@@ -119,7 +119,9 @@ def dead_band(spark, sf_dir):
 
 @register("merge_hourly", S.with_h(f"SELECT ts, price, load, {S.fuel_cols()}, imp, exp FROM h"), headline=True)
 def merge_hourly(spark, sf_dir):
-    return hourly_system(spark, sf_dir, materialized=False)
+    """J01 + J02: the price table joined with the pivoted generation on the hour."""
+    gen = system.pivot_fuels(system.hourly_by_type(tables.generation_long(spark, sf_dir)))
+    return system.merge_hourly(tables.price_wide(spark, sf_dir), gen)
 
 
 @register("src_file_counts", S.with_h("""
