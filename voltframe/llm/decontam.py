@@ -1,13 +1,15 @@
 """Operator 1: benchmark decontamination.
 
-Seeds are the ``SEED``-word grams of the test items.  A first pass counts every
-seed over the whole corpus; a seed is rare if it is no more than ``RARE`` times
-as frequent as the median of its item's seeds that occur (so at least half of
-those stay, where an item has leaked thousands of times or as an edited copy
-that lacks most of its seeds).  A second pass joins
-passages and items on rare seeds: two different seeds of an item at close
-diagonals make a candidate window, whose Smith-Waterman alignment with the item
-scores verbatim, edited and partly rewritten copies alike.
+Seeds are the word pairs of the test items.  An alignment that scores a share s of
+the whole item holds at least T = (2s - 1) * length - 1 pairs of the item: each of
+its R runs of equal words but the first costs one edit, so 2 * matches - (R - 1)
+>= 2 * s * length, and the runs hold matches - R pairs.  A first pass counts every
+pair over the whole corpus.  Of T pairs one is not among the T - 1 most frequent
+ones of the item; the others are its rare seeds, and no leak lacks them all.  A
+second pass joins passages and items on rare seeds; where at least T pairs of the
+item stand in the window around them, the Smith-Waterman alignment of the window
+with the item scores verbatim, edited and partly rewritten copies alike.  So the
+seeds and the count lose no alignment, however often an item has leaked.
 
 Words are compared in lower case without punctuation at either end; words of
 punctuation only are left out of positions.
@@ -18,7 +20,7 @@ The items are broadcast in blocks of about ``BLOCK_WORDS`` words, one pair of
 passes a block, whatever the size of the benchmark.
 
 Defined results: null and empty texts or items match nothing, nor do items of
-fewer than ``SEED`` words; a document has one row for each item it leaks (its
+fewer than two words; a document has one row for each item it leaks (its
 best alignment; the first of equal ones); rows with a null doc_id are reported
 with it; repeated rows give one row for each doc_id and item; other columns are
 not read.
@@ -37,7 +39,6 @@ from pyspark.sql import functions as F
 
 from .common import materialize, row_keyed, words_col
 
-SEED, RARE = 3, 8
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: least score, as a share of the score of the whole item
 SIMILARITY = 0.6
@@ -85,7 +86,7 @@ class Items:
         self.item_ids, self.words = [], []
         for item, text in rows:
             words = [w.encode() for raw in (text or "").encode().split() if (w := normal(raw.decode()))]
-            if len(words) >= SEED:
+            if len(words) > 1:
                 self.item_ids.append(item)
                 self.words.append(np.array([ids.setdefault(w, len(ids) + 1) for w in words], np.int64))
         self.base = np.int64(len(ids) + 1)
@@ -98,25 +99,27 @@ class Items:
         self.name = uuid.uuid4().hex
 
     def keys(self, words: np.ndarray) -> np.ndarray:
-        out = words[:-2] * self.base + words[1:-1]
-        return out * self.base + words[2:]
+        return words[:-1] * self.base + words[1:]
 
     def hits(self, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions of seeds in a sequence (0: a word of no item), and which seeds."""
-        if len(flat) < SEED or not len(self.seeds):
+        if len(flat) < 2 or not len(self.seeds):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        at = np.flatnonzero((flat[:-2] > 0) & (flat[1:-1] > 0) & (flat[2:] > 0))
-        key = (flat[at] * self.base + flat[at + 1]) * self.base + flat[at + 2]
+        at = np.flatnonzero((flat[:-1] > 0) & (flat[1:] > 0))
+        key = flat[at] * self.base + flat[at + 1]
         slot = np.minimum(np.searchsorted(self.seeds, key), len(self.seeds) - 1)
         real = self.seeds[slot] == key
         return at[real], slot[real]
 
-    def keep_rare(self, counts: np.ndarray, rare: int) -> None:
-        often = counts[np.searchsorted(self.seeds, self.key)]
-        for k in range(len(self.words)):
-            mine = self.item == k
-            seen = often[mine][often[mine] > 0]
-            self.rare[mine] = often[mine] <= rare * np.median(seen) if len(seen) else True
+    def keep_rare(self, counts: np.ndarray, similarity: float) -> None:
+        """Marks as rare all but the T - 1 most frequent seeds of each item."""
+        length = np.array([len(w) for w in self.words], np.int64)
+        self.least = np.maximum(1, np.ceil((2 * similarity - 1) * length - 1 - 1e-9)).astype(np.int64)
+        if len(self.key):
+            often = counts[np.searchsorted(self.seeds, self.key)]
+            order = np.lexsort((self.at, -often, self.item))
+            first = np.searchsorted(self.item[order], self.item[order])
+            self.rare[order] = np.arange(len(order)) - first >= self.least[self.item[order]] - 1
 
 
 def align(item: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -164,25 +167,26 @@ def leaks(items: Items, ids: list[int | None], texts: list[str | None], similari
     many = items.end[slot] - items.begin[slot]
     entry = np.repeat(items.begin[slot] - np.r_[0, np.cumsum(many)[:-1]], many) + np.arange(many.sum())
     at = np.repeat(at, many)
+    doc, item = np.searchsorted(begin, at, "right") - 1, items.item[entry]
+    place = (doc * len(items.words) + item) * (len(flat) + 1)
+    every = np.sort(place + at)                             # all hits by document, item and position
     rare = items.rare[entry]
-    at, entry = at[rare], entry[rare]
+    at, doc, item, place, diagonal = at[rare], doc[rare], item[rare], place[rare], (at - items.at[entry])[rare]
     if not len(at):
         return
-    doc, item = np.searchsorted(begin, at, "right") - 1, items.item[entry]
-    diagonal = at - items.at[entry]
     order = np.lexsort((diagonal, item, doc))
-    at, entry, doc, item, diagonal = at[order], entry[order], doc[order], item[order], diagonal[order]
+    doc, item, place, diagonal = doc[order], item[order], place[order], diagonal[order]
     length = np.array([len(w) for w in items.words])[item]
+    pad = length - length // 5                              # an alignment has at most 0.8 edits a word of its item
     new = np.r_[True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (diagonal[1:] - diagonal[:-1] > np.maximum(4, length[1:] // 4))]
     first = np.flatnonzero(new)
-    past = np.r_[first[1:], len(new)]
+    last = np.r_[first[1:], len(new)] - 1
+    low = np.maximum(begin[doc[first]], diagonal[first] - pad[first])
+    high = np.minimum(begin[doc[first] + 1] - 1, diagonal[last] + length[first] + pad[first])
+    pairs = np.searchsorted(every, place[first] + high) - np.searchsorted(every, place[first] + low)
     windows: dict[int, list[tuple[int, int, int]]] = {}
-    for a, b in zip(first.tolist(), past.tolist()):
-        if b - a > 1 and (entry[a:b] != entry[a]).any() or length[a] <= SEED:
-            pad = max(4, int(length[a]) // 4)
-            low = max(int(begin[doc[a]]), int(diagonal[a]) - pad)
-            high = min(int(begin[doc[a] + 1]) - 1, int(diagonal[b - 1] + length[a]) + pad)
-            windows.setdefault(int(item[a]), []).append((int(doc[a]), low, high))
+    for a in np.flatnonzero(pairs >= items.least[item[first]]).tolist():
+        windows.setdefault(int(item[first[a]]), []).append((int(doc[first[a]]), int(low[a]), int(high[a])))
     for k, found in windows.items():
         found.sort(key=lambda w: w[2] - w[1])
         for s in range(0, len(found), 256):
@@ -200,7 +204,7 @@ def leaks(items: Items, ids: list[int | None], texts: list[str | None], similari
                     yield (ids[d], items.item_ids[k], low + wide - b - int(begin[d]), low + int(end[r]) - int(begin[d]), int(score[r]), float(score[r]) / (MATCH * len(items.words[k])))
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, rare: int = RARE, block_words: int = BLOCK_WORDS) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, block_words: int = BLOCK_WORDS) -> DataFrame:
     """One row for each document and test item that it contains: ``FOUND``."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
@@ -215,7 +219,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
         counts = np.zeros(len(held.seeds), np.int64)
         for slot, n in narrow.select("text").mapInArrow(_counter(shipped), "slot long, n long").groupBy("slot").agg(F.sum("n")).collect():
             counts[slot] = n
-        held.keep_rare(counts, rare)
+        held.keep_rare(counts, similarity)
         found = narrow.mapInArrow(_finder(spark.sparkContext.broadcast(held), similarity), FOUND)
         out = found if out is None else out.union(found)
     row = F.struct("score", (-F.col("first")).alias("late"), "first", "past", "similarity")
