@@ -97,7 +97,27 @@ def test_quality_thresholds_follow_their_group(spark):
     rows += [(600, plain().replace(" ", " # "), "en", "a"), (601, plain().replace(" ", " # "), "en", "tiny")]
     kept = {r.doc_id: r.kept for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
     assert all(kept[i] for i in range(600)) and not kept[600]
-    assert kept[601]            # too small a source: the thresholds of its language
+    assert kept[601]            # one document of a source: nearly the thresholds of its language
+
+
+def test_quality_does_not_jump_with_the_group(spark):
+    """As a group grows, its thresholds move towards its own in small steps, from those of its language."""
+    names = [f"{r}_{k}" for r, (low, _) in quality.RATES.items() for k in ("low", "high") if k == "high" or low is not None]
+    sizes, level = [1, 19, 98, 99, 100, 101, 10 ** 6], lambda k, g, n, v: (k, "en" if k else None, g, n, *[v] * len(names))
+    rows = [level(0, None, 10 ** 7, 500), level(1, None, 10 ** 6, 1000)] + [level(2, f"s{n}", n, 3000) for n in sizes]
+    limits = spark.createDataFrame(rows, "level int, g_lang string, g_source string, docs long, " + ", ".join(f"{n} long" for n in names))
+    got = {int(r.g_source[1:]): r.symbol_rate_high for r in quality.group_thresholds(limits).collect()}
+    lang = (10 ** 6 * 1000 + quality.PRIOR * 500) // (10 ** 6 + quality.PRIOR)
+    assert got == {n: (n * 3000 + quality.PRIOR * lang) // (n + quality.PRIOR) for n in sizes}
+    assert max(abs(got[b] - got[a]) for a, b in ((98, 99), (99, 100), (100, 101))) < 10
+
+
+def test_quality_keeps_columns_of_any_name(spark):
+    names = ["doc", "d_lang", "g_lang", "__words", "__text", "level", "rate", "cell", "n", "own"]
+    rows = [(i, f"some plain words of a text that is long enough {i} times", "en", "a", "mine", *range(len(names))) for i in range(5)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, base_failed string, " + ", ".join(f"{n} int" for n in names))
+    out = quality.judge(table).collect()
+    assert all(tuple(r[n] for n in names) == tuple(range(len(names))) and r.base_failed is False and r.kept for r in out) and len(out) == 5
 
 
 def test_lines(spark, docs, no_docs, rows, same_as_sql):

@@ -7,8 +7,10 @@ documents are joined with the thresholds of their group.
 The sketch is a histogram with cells of one ten-thousandth (exact within a
 cell, at most ``TOP`` + 1 cells a group and rate); sketches merge by adding
 counts, so sources add up to languages and languages to everything, whatever
-the order of tasks.  A group of fewer than ``min_group`` documents takes the
-sketch of its language, a small language that of everything.
+the order of tasks.  A group's thresholds are blended with those of its language,
+and these with those of everything, by the number of documents: n of a group weigh
+against ``PRIOR`` of the level above, so no group size switches from one to the
+other.
 
 Scale: one pass over the texts writes the narrow measures to the shared folder;
 counts are combined before each shuffle, so a hot source costs no more than its
@@ -17,7 +19,7 @@ cells; the join carries no text.
 Defined results: null text counts as empty (base rule fails, not kept); null
 language and null source are groups of their own; repeated rows are judged
 alike; ties at a threshold pass; an empty table gives no rows; other columns
-are not read.
+are returned as they are, but those named like a measure or verdict give way to it.
 """
 
 from __future__ import annotations
@@ -36,7 +38,8 @@ TOP = 20000
 RATES = {"symbol_rate": (None, 200), "dup_line_rate": (None, 3500), "repeat_rate": (None, 1500), "stutter_rate": (None, 800), "word_length": (150, 150)}
 #: quartile distances added to a quartile
 REACH = 3
-MIN_GROUP = 100
+#: documents that the thresholds of the level above count for
+PRIOR = 20
 
 
 def _rate(part: Column, whole: Column, scale: int = 10000) -> Column:
@@ -114,32 +117,42 @@ def thresholds(cells: DataFrame, reach: int = REACH) -> DataFrame:
     spread = F.lit(reach) * (F.col("q3") - F.col("q1"))
     out = quartiles.groupBy("level", "g_lang", "g_source").agg(
         F.max("docs").alias("docs"),
-        *[F.max(F.when(F.col("rate") == r, F.col("q1") - spread - F.lit(low))).alias(f"{r}_low") for r, (low, _) in RATES.items() if low is not None],
+        *[F.max(F.when(F.col("rate") == r, F.greatest(F.col("q1") - spread - F.lit(low), F.lit(0)))).alias(f"{r}_low") for r, (low, _) in RATES.items() if low is not None],
         *[F.max(F.when(F.col("rate") == r, F.col("q3") + spread + F.lit(high))).alias(f"{r}_high") for r, (_, high) in RATES.items()],
     )
     return out
 
 
-def group_thresholds(limits: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
-    """For each language and source the thresholds of the smallest level that is large enough."""
+def group_thresholds(limits: DataFrame, prior: int = PRIOR) -> DataFrame:
+    """For each language and source its thresholds, blended with those of the levels above."""
     names = [c for c in limits.columns if c.endswith(("_low", "_high"))]
-    level = lambda k: limits.filter(F.col("level") == k)
-    own = level(2).select("g_lang", "g_source", F.struct("docs", *names).alias("own"))
-    lang = level(1).select(F.col("g_lang").alias("l"), F.struct("docs", *names).alias("mid"))
-    whole = level(0).select(F.struct("docs", *names).alias("top"), F.lit(0).alias("t"))
-    best = (own.join(lang, F.col("g_lang").eqNullSafe(F.col("l"))).withColumn("z", F.lit(0)).join(whole, F.col("z") == F.col("t"), "left"))
-    enough = lambda s: F.col(s)["docs"] >= min_group
-    return best.select("g_lang", "g_source", *[F.when(enough("own"), F.col("own")[c]).when(enough("mid"), F.col("mid")[c]).otherwise(F.col("top")[c]).alias(c) for c in names])
+    level = lambda k, *keys: limits.filter(F.col("level") == k).select(*keys, F.struct("docs", *names).alias(f"at{k}"))
+    top = level(0).scalar()                                 # one row, or none where no document passes the base rule
+    langs = level(1, F.col("g_lang").alias("l"))
+    both = level(2, "g_lang", "g_source").join(langs, F.col("g_lang").eqNullSafe(F.col("l"))).withColumn("at0", top)
 
+    def blended(name: str) -> Column:
+        weigh = lambda k, above: F.call_function("div", F.col(f"at{k}")["docs"] * F.col(f"at{k}")[name] + prior * above, F.col(f"at{k}")["docs"] + prior)
+        return weigh(2, weigh(1, F.col("at0")[name])).alias(name)
 
-def judge(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text", min_group: int = MIN_GROUP, reach: int = REACH) -> DataFrame:
+    return both.select("g_lang", "g_source", *map(blended, names))
+
+
+#: what ``judge`` adds to the columns of its table
+ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stutters", "base_failed", *RATES, "kept")
+
+
+def judge(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text", prior: int = PRIOR, reach: int = REACH) -> DataFrame:
     """The other columns of ``docs`` with its measures, ``base_failed`` and ``kept``."""
-    rated = materialize(with_rates(measures(docs, text)), "quality")
-    limits = group_thresholds(thresholds(sketches(rated, lang, source), reach), min_group)
-    joined = rated.join(limits, F.col(lang).eqNullSafe(F.col("g_lang")) & F.col(source).eqNullSafe(F.col("g_source")), "left")
+    own = [c for c in docs.columns if c != text and c not in ADDED]
+    packed = docs.select(F.struct(*own).alias("doc"), F.col(lang).alias("d_lang"), F.col(source).alias("d_source"), F.col(text).alias("text"))
+    rated = materialize(with_rates(measures(packed)), "quality")
+    limits = group_thresholds(thresholds(sketches(rated, "d_lang", "d_source"), reach), prior)
+    joined = rated.join(limits, F.col("d_lang").eqNullSafe(F.col("g_lang")) & F.col("d_source").eqNullSafe(F.col("g_source")), "left")
     passes = F.lit(True)
     for r, (low, _) in RATES.items():
         passes = passes & (F.col(r) <= F.col(f"{r}_high"))
         if low is not None:
             passes = passes & (F.col(r) >= F.col(f"{r}_low"))
-    return joined.withColumn("kept", ~F.col("base_failed") & F.coalesce(passes, F.lit(False))).drop("g_lang", "g_source", *[c for c in limits.columns if c.endswith(("_low", "_high"))])
+    judged = joined.withColumn("kept", ~F.col("base_failed") & F.coalesce(passes, F.lit(False)))
+    return judged.select(*[F.col("doc")[c].alias(c) for c in own], *ADDED)

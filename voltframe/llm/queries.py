@@ -41,6 +41,14 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_limits():
+    """Name and SQL of each threshold of a level (an alias of its quartiles)."""
+    for r, (low, high) in quality.RATES.items():
+        yield f"{r}_high", lambda q, r=r, high=high: f"({q}.{r}_3 + 3 * ({q}.{r}_3 - {q}.{r}_1) + {high})"
+        if low is not None:
+            yield f"{r}_low", lambda q, r=r, low=low: f"greatest({q}.{r}_1 - 3 * ({q}.{r}_3 - {q}.{r}_1) - {low}, 0)"
+
+
 SQL_QUALITY = r"""
 WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t,
              list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
@@ -64,7 +72,7 @@ WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t,
         UNION ALL SELECT 1, lang, NULL, * FROM r WHERE NOT base_failed
         UNION ALL SELECT 0, NULL, NULL, * FROM r WHERE NOT base_failed),
  q AS (SELECT lvl, gl, gs, count(*) AS docs, {quartiles} FROM lv GROUP BY lvl, gl, gs),
- j AS (SELECT r.*, coalesce(a.docs, 0) >= 100 AS own, coalesce(b.docs, 0) >= 100 AS mid, {picked}
+ j AS (SELECT r.*, {picked}
        FROM r LEFT JOIN q a ON a.lvl = 2 AND a.gl IS NOT DISTINCT FROM r.lang AND a.gs IS NOT DISTINCT FROM r.source
               LEFT JOIN q b ON b.lvl = 1 AND b.gl IS NOT DISTINCT FROM r.lang
               LEFT JOIN q c ON c.lvl = 0)
@@ -74,9 +82,8 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM j
 """.format(
     quartiles=", ".join(f"quantile_disc({r}, 0.25) AS {r}_1, quantile_disc({r}, 0.75) AS {r}_3" for r in quality.RATES),
-    picked=", ".join(f"CASE WHEN coalesce(a.docs, 0) >= 100 THEN a.{r}_{k} WHEN coalesce(b.docs, 0) >= 100 THEN b.{r}_{k} ELSE c.{r}_{k} END AS {r}_{k}" for r in quality.RATES for k in (1, 3)),
-    passes=" AND ".join([f"{r} <= {r}_3 + 3 * ({r}_3 - {r}_1) + {high}" for r, (_, high) in quality.RATES.items()]
-                        + [f"{r} >= {r}_1 - 3 * ({r}_3 - {r}_1) - {low}" for r, (low, _) in quality.RATES.items() if low is not None]),
+    picked=", ".join(f"(a.docs * {at('a')} + {quality.PRIOR} * ((b.docs * {at('b')} + {quality.PRIOR} * {at('c')}) // (b.docs + {quality.PRIOR}))) // (a.docs + {quality.PRIOR}) AS {name}" for name, at in quality_limits()),
+    passes=" AND ".join([f"{r} <= {r}_high" for r in quality.RATES] + [f"{r} >= {r}_low" for r, (low, _) in quality.RATES.items() if low is not None]),
 )
 
 
