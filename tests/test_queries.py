@@ -36,7 +36,7 @@ def test_every_oracle_has_a_query():
     assert len(E.queries()) >= 90
 
 
-SMOKE = ["confusion", "history_tail", "quality_report", "feature_catalog", "event_flag", "top_features", "prediction_export",
+SMOKE = ["confusion", "history_tail", "quality_report", "feature_catalog", "model_feature_lists", "event_flag", "top_features", "prediction_export",
          "mean_by_calendar", "box_stats", "stream_dedupe",
          "spike_rate_by_hour", "merge_hourly", "wide_features", "threshold_sweep", "roc_auc_ap",
          "baseline_comparison", "price_describe", "monthly_resample", "correlation_matrix", "cv_folds",

@@ -192,6 +192,21 @@ def test_p23_required_columns(spark):
         require_columns(df, ["a", "b"])
 
 
+def test_p24_model_feature_lists():
+    cols = ["ts", "price", "spike", "spike_lag_1", "spike_lagging", "spike_lead_2", "price_lag_6h", "price_lags",
+            "price_rolling_mean_6h", "is_event", "sin_day", "hour_of_day", "split", "y_true"]
+    names = lambda m: [c for _, c, _ in prepare.model_features(cols, m)]
+    assert names("mlp") == names("CNN") == ["price", "spike", "spike_lag_1", "spike_lagging", "price_lag_6h", "price_lags",
+                                            "price_rolling_mean_6h", "is_event", "sin_day", "hour_of_day"]
+    assert names("LSTM") == ["price", "spike", "spike_lagging", "price_lags", "is_event", "sin_day", "hour_of_day"]
+    lists = prepare.model_features(cols, "lstm")
+    assert [k for k, _, _ in lists] == list(range(7))
+    assert [c for _, c, scaled in lists if not scaled] == ["spike", "is_event"]
+    assert prepare.model_features([], "mlp") == []
+    with pytest.raises(ValueError, match="unknown model"):
+        prepare.model_features(cols, "tree")
+
+
 def test_dedupe_first_keeps_earliest(spark):
     rows = [(1, "2024-01-02", 10, 1.0), (1, "2024-01-01", 11, 2.0), (1, "2024-01-01", 9, 3.0), (2, "2024-01-05", 1, 4.0)]
     df = spark.createDataFrame(rows, "k int, d string, o int, v double")

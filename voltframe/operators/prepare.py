@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -51,6 +52,23 @@ def feature_catalog(columns: Sequence[str], exclude_prefixes=("spike_lead_",),
     return out
 
 
+#: families of columns that a kind of model leaves out, by pattern (a sequence model sees the past itself)
+MODEL_DROPS = {"mlp": (), "cnn": (), "lstm": (r"spike_lag_\d+", r"price_lag_\d+h", r"price_rolling_mean_\d+h")}
+
+
+def model_features(columns: Sequence[str], model: str, exclude: Sequence[str] = ("ts", "split", "y_true"),
+                   exclude_pattern: str = r"spike_lead_\d+", flag_pattern: str = r"spike|is_weekend|is_event|spike_lag_\d+",
+                   drops: dict[str, Sequence[str]] = MODEL_DROPS) -> list[tuple]:
+    """(position, column, scaled) of the inputs of a kind of model, in table
+    order; flags stay as they are, every other input is standardised."""
+    if model.lower() not in drops:
+        raise ValueError(f"unknown model {model!r}; known: {', '.join(sorted(drops))}")
+    out = re.compile("|".join([exclude_pattern, *drops[model.lower()]]))
+    flag = re.compile(flag_pattern)
+    inputs = [c for c in columns if c not in exclude and not out.fullmatch(c)]
+    return [(k, c, not flag.fullmatch(c)) for k, c in enumerate(inputs)]
+
+
 def scaler_fit(df: DataFrame, cols: Sequence[str], ddof: int = 1, fill_na: float | None = None) -> DataFrame:
     """One global aggregate -> long (column, mean, std) table.
 

@@ -197,6 +197,22 @@ def feature_catalog(spark, sf_dir):
     return roles.join(D.null_profile(w), "column").select("position", "column", "role", "nulls")
 
 
+@register("model_feature_lists", S.with_h(f"""
+SELECT model, CAST(row_number() OVER (PARTITION BY model ORDER BY place) - 1 AS BIGINT) AS position, column_name AS "column",
+  NOT regexp_full_match(column_name, 'spike|is_weekend|is_event|spike_lag_[0-9]+') AS scaled, nulls
+FROM (SELECT row_number() OVER () AS place, column_name FROM (DESCRIBE SELECT * FROM wt))
+  JOIN ({_nulls_sql()}) n ON n.c = column_name, (VALUES ('mlp'), ('cnn'), ('lstm')) m(model)
+WHERE column_name <> 'ts' AND NOT regexp_full_match(column_name, 'spike_lead_[0-9]+')
+  AND NOT (model = 'lstm' AND regexp_full_match(column_name, '(spike_lag_[0-9]+)|(price_lag_[0-9]+h)|(price_rolling_mean_[0-9]+h)'))""", extra=WIDE))
+def model_feature_lists(spark, sf_dir):
+    """The inputs of each kind of model, which of them are scaled, and the
+    NULLs to be filled in each."""
+    w = wide_features(spark, sf_dir)
+    lists = [(m, *f) for m in prepare.MODEL_DROPS for f in prepare.model_features(w.columns, m)]
+    inputs = spark.createDataFrame(lists, "model string, position bigint, column string, scaled boolean")
+    return inputs.join(D.null_profile(w), "column").select("model", "position", "column", "scaled", "nulls")
+
+
 DICT_RULES = (  # (predicate kind, pattern, units, definition, transformation)
     ("eq", "ts", "hour", "operating hour (market time)", "floor to hour"),
     ("eq", "price", "currency/MWh", "hourly pool price", "max of readings"),
