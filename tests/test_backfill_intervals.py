@@ -4,6 +4,7 @@ import datetime as dt
 import os
 import random
 import shutil
+from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from voltframe.functions import arrays as A
 from voltframe.operators import backfill, intervals
+from voltframe.plans import QUERIES
 
 DAY0 = dt.date(2024, 1, 1)
 
@@ -115,6 +117,55 @@ def test_interval_join_of_nothing(spark):
     assert intervals.interval_join(some, none, "ts", "a", "b").count() == 0
 
 
+@pytest.mark.parametrize("closed", [False, True])
+@pytest.mark.parametrize("blocks", [None, 7])
+def test_interval_sums_equal_all_pairs(spark, closed, blocks):
+    """Sums of each interval row: equal rows, equal times, NULL values, empty and reversed intervals."""
+    rng, t0 = random.Random(6), dt.datetime(2023, 12, 31, 23)
+    at = lambda minutes: t0 + dt.timedelta(minutes=minutes)
+    points = [(at(rng.randrange(0, 900)), rng.choice([None, Decimal(rng.randrange(-500, 500)) / 100])) for _ in range(400)]
+    points += [(None, Decimal(1)), (at(2000), None), (at(2000), None), (at(3000), Decimal("0.01"))]
+    spans = [(rng.randrange(20), at(a), at(a + rng.choice([0, 1, 30, 700]))) for a in (rng.randrange(-50, 950) for _ in range(60))]
+    spans += [spans[0], (None, at(5), at(80)), (100, at(2000), at(2000)), (101, at(2000), at(2001)), (102, at(9), at(1)), (103, None, at(4)), (104, at(4), None), (105, at(5000), at(6000))]
+    got = intervals.interval_join(spark.createDataFrame(points, "ts timestamp_ntz, v decimal(18,2)"), spark.createDataFrame(spans, "s int, a timestamp_ntz, b timestamp_ntz"),
+                                  "ts", "a", "b", closed, totals={"n": F.lit(1), "total": "v"}, blocks=blocks)
+    want = []
+    for s, a, b in spans:
+        held = [v for t, v in points if t and a and b and (a <= t <= b if closed else a <= t < b)]
+        if held:
+            want.append((s, a, b, len(held), sum(v for v in held if v is not None) if any(v is not None for v in held) else None))
+    assert got.columns == ["s", "a", "b", "n", "total"]
+    key = lambda r: tuple((v is None, v if v is not None else 0) for v in r)
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
+
+
+def test_interval_sums_of_nothing_and_of_doubles(spark):
+    none = spark.createDataFrame([], "s int, a timestamp_ntz, b timestamp_ntz")
+    some = spark.createDataFrame([(1.5, dt.datetime(2024, 1, 1))], "p double, ts timestamp_ntz")
+    assert intervals.interval_join(some, none, "ts", "a", "b", totals={"n": F.lit(1)}).count() == 0
+    with pytest.raises(TypeError, match="total"):
+        intervals.interval_join(some, none, "ts", "a", "b", totals={"total": "p"})
+
+
+def test_interval_query_forms_no_pairs(spark, tmp_path, monkeypatch):
+    """Dense purchases in long intervals: rows out of the join grow with the intervals, not with the pairs."""
+    t0, n = dt.datetime(2024, 1, 1), 200
+    rows = [(i, t0 + dt.timedelta(seconds=i), 50, "error" if i % 2 else "purchase", 1.0 + i % 3) for i in range(2 * n)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double").write.parquet(str(tmp_path / "events.parquet"))
+    out, join = [], intervals.interval_join
+
+    def counted(*args, **options):
+        hits = join(*args, **options)
+        out.append(hits.count())
+        return hits
+
+    monkeypatch.setattr(intervals, "interval_join", counted)
+    got = {r.interval_id: (r.events, r.total) for r in QUERIES["interval_join"](spark, str(tmp_path)).collect()}
+    later = {i: [1.0 + j % 3 for j in range(i + 1, 2 * n, 2)] for i in range(1, 2 * n - 1, 2)}
+    assert got == {i: (len(v), sum(v)) for i, v in later.items()}
+    assert out == [n - 1]
+
+
 def test_array_functions_equal_numpy(spark):
     rng = np.random.default_rng(5)
     rows = [(i, rng.integers(0, 4, n).astype(float).tolist()) for i, n in enumerate([0, 1, 2, 3, 5, 8, 13])] + [(99, None)]

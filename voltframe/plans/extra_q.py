@@ -52,8 +52,8 @@ def interval_join(spark, sf_dir):
     spans = ev.filter((F.col("event_type") == "error") & F.col("value").isNotNull()).select(
         F.col("event_id").alias("interval_id"), F.col("ts").alias("start"), (F.col("ts") + F.make_dt_interval(secs=seconds)).alias("stop"))
     points = ev.filter(F.col("event_type") == "purchase").select("ts", F.col("value").cast("decimal(18,2)").alias("value"))
-    hits = intervals.interval_join(points, spans, "ts", "start", "stop")
-    return hits.groupBy("interval_id").agg(F.count(F.lit(1)).alias("events"), F.sum("value").cast("double").alias("total"))
+    hits = intervals.interval_join(points, spans, "ts", "start", "stop", totals={"events": F.lit(1), "total": "value"})
+    return hits.groupBy("interval_id").agg(F.sum("events").alias("events"), F.sum("total").cast("double").alias("total"))
 
 
 @register("scalar_array", S.with_h(f"""
